@@ -23,6 +23,7 @@ def session(app: str = "sparkloom", cores: str = "*", shuffle_partitions: int =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.host", "127.0.0.1")
         .getOrCreate()
