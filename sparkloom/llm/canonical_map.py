@@ -129,8 +129,13 @@ def verb_variants(value: str) -> list[tuple[str, float]]:
     return [(p, 0.0), (re.sub(r"(?<=..)[을를](?=..)", "", p, count=1), 0.1)] if re.search(r"(?<=..)[을를](?=..)", p) else [(p, 0.0)]
 
 
+#: Edits that a name and a verb stand at most; a verb's ending makes it longer, not clearer.
+MOST_EDITS = {"name": 3, "verb": 2}
+_NEGATED = re.compile("않|아니|못|안[하한함]|하지")
+
+
 def allowed(length: int, most: int) -> int:
-    """Edits allowed for a text of that many characters: long texts stand more of them."""
+    """Edits allowed against an alias of that many characters: long ones stand more of them."""
     if length >= 8:
         return most
     return min(most, 2 if length >= 5 else 1 if length >= 3 else 0)
@@ -149,6 +154,7 @@ class Dictionary:
     index: dict[str, tuple[int, ...]]
     kind: str
     most: int
+    longest: int
 
     @classmethod
     def build(cls, entries: list[tuple[str, str, int]], kind: str, most: int) -> Dictionary:
@@ -163,7 +169,7 @@ class Dictionary:
                 aliases.append((text, e))
                 for d in deletions(text, allowed(len(text), most)):
                     index.setdefault(d, []).append(len(aliases) - 1)
-        return cls(ids, freq, aliases, {k: tuple(v) for k, v in index.items()}, kind, most)
+        return cls(ids, freq, aliases, {k: tuple(v) for k, v in index.items()}, kind, most, max((len(a) for a, _ in aliases), default=0))
 
     def lookup(self, value: str | None) -> tuple[str, int, float] | None:
         """(entry id, edits, weight) of the best entry, or None for a value that means none."""
@@ -171,19 +177,22 @@ class Dictionary:
             return None
         best = None
         for text, extra in (verb_variants if self.kind == "verb" else name_variants)(value):
-            limit = allowed(len(text), self.most)
+            if not text or len(text) > self.longest + self.most:
+                continue
+            negated = bool(_NEGATED.search(text))
             tried: set[int] = set()
-            for d in deletions(text, limit):
+            for d in deletions(text, self.most):
                 for a in self.index.get(d, ()):
                     if a in tried:
                         continue
                     tried.add(a)
                     alias, e = self.aliases[a]
-                    if best and best[0] == 0 and best[1] == 0.0:
-                        break
-                    far = edits(text, alias, min(limit, allowed(len(alias), self.most)))
+                    # a verb's polarity is no spelling: text and alias must both show a negation or both none
+                    apart = self.kind == "verb" and negated != bool(_NEGATED.search(alias))
+                    limit = allowed(len(alias), self.most) - apart
+                    far = edits(text, alias, limit) if limit >= 0 else None
                     if far:
-                        rank = (far[0], round(far[1] + extra, 3), -self.freq[e], self.ids[e])
+                        rank = (far[0] + apart, round(far[1] + extra + apart, 3), -self.freq[e], self.ids[e])
                         if best is None or rank < best:
                             best = rank
         return None if best is None else (best[3], best[0], best[1])
@@ -215,7 +224,7 @@ def map_to_list(
     value: str,
     entries: DataFrame,
     kind: str = "name",
-    most_edits: int = 3,
+    most_edits: int | None = None,
     entries_per_block: int = ENTRIES_PER_BLOCK,
 ) -> DataFrame:
     """``values`` with (ref_id, edits, weight) of the entry each value means, null where it means none.
@@ -245,7 +254,7 @@ def map_to_list(
     rows = listed.toLocalIterator()
     columns = []
     while block := list(itertools.islice(rows, entries_per_block)):
-        shared = spark.sparkContext.broadcast(Dictionary.build([(r[0], r[1], r[2]) for r in block], kind, most_edits))
+        shared = spark.sparkContext.broadcast(Dictionary.build([(r[0], r[1], r[2]) for r in block], kind, MOST_EDITS[kind] if most_edits is None else most_edits))
         column = f"_hit{len(columns)}"
 
         out = out.withColumn(column, _look_up(shared)(F.col(value)))
