@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm.canonical_map import map_to_list
 from sparkloom.llm.format_dupes import canonical_key, copies, duplicate_ledger, single_relation
+from sparkloom.llm.leaks import find_leaks
 from sparkloom.llm.lookalikes import match_vocabulary
 from sparkloom.llm.split_text import LIMIT, split_texts
+from sparkloom.llm.stuffing import stuffed_pages
 from sparkloom.llm.term_counts import term_counts
+from sparkloom.llm.tokenize import encode
 from sparkloom.operators.skew import salted_join
 from sparkloom.runtime import materialise, table
 
@@ -173,6 +176,48 @@ g AS (SELECT response_id, min(response_id) OVER w AS keep_id, count(*) OVER w AS
   WHERE s IS NOT NULL AND p IS NOT NULL AND o IS NOT NULL WINDOW w AS (PARTITION BY semantic_unit_id, s, p, o))"""
 
 
+# -- 8: token ids ---------------------------------------------------------------------------------
+
+
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    return encode(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+# -- 9: leaked test items -------------------------------------------------------------------------
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the test items that leaked into them."""
+    return find_leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
+
+
+def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaked items with the number of documents holding them."""
+    return p9_found(spark, sf_dir).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_documents"))
+
+
+_P9 = r"""SELECT DISTINCT d.doc_id, r.item_id FROM (
+  SELECT doc_id, unnest(list_transform(range(1, length(t) - 58), lambda i: substring(t, i, 60))) AS g FROM (
+    SELECT doc_id, regexp_replace(lower(text), '[^\p{L}\p{N}]', '', 'g') AS t FROM documents) WHERE length(t) >= 60) d
+JOIN (SELECT item_id, unnest(list_transform(range(1, length(t) - 58), lambda i: substring(t, i, 60))) AS g FROM (
+    SELECT item_id, regexp_replace(lower(text), '[^\p{L}\p{N}]', '', 'g') AS t FROM benchmark) WHERE length(t) >= 60) r
+  ON d.g = r.g"""
+
+
+# -- 10: keyword-stuffed pages --------------------------------------------------------------------
+
+
+def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of link, tag and menu words of every document."""
+    return stuffed_pages(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which more than half is not prose."""
+    return p10_shares(spark, sf_dir).filter("stuffed").select("doc_id").distinct()
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_term_counts": p2_term_counts,
@@ -184,6 +229,11 @@ QUERIES = {
     "p6_pieces": p6_pieces,
     "p7_found": p7_found,
     "p7_ledger": p7_ledger,
+    "p8_ids": p8_ids,
+    "p9_found": p9_found,
+    "p9_items": p9_items,
+    "p10_found": p10_found,
+    "p10_shares": p10_shares,
 }
 SQL = {
     "p2_found": f"WITH {_P2} SELECT field_name, term, mark FROM x WHERE mark IS NOT NULL",
@@ -192,5 +242,7 @@ SQL = {
   SELECT semantic_unit_id, 'unit_text' AS f, unit_text AS t FROM semantic_units
   UNION ALL SELECT semantic_unit_id, 'context_text', context_text FROM semantic_units) WHERE length(t) > {LIMIT}""",
     "p7_found": f"WITH {_P7} SELECT keep_id, response_id AS copy_id FROM g WHERE response_id <> keep_id",
+    "p9_found": _P9,
+    "p9_items": f"SELECT item_id, count(*)::BIGINT AS n_documents FROM ({_P9}) GROUP BY item_id",
     "p7_ledger": f"WITH {_P7} SELECT keep_id, max(copies)::BIGINT AS copies FROM g GROUP BY keep_id",
 }
