@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +34,24 @@ def session(app: str = "sparkloom", cores: str = "*", shuffle_partitions: int =
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the workers, once a context, so that their Python can import what functions refer to."""
+    sc = spark.sparkContext
+    if getattr(sc, "_sparkloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    # the driver serves this file to executors for the life of the context
+    archive = Path(tempfile.mkdtemp(prefix="sparkloom-code-"), "sparkloom_package.zip")
+    atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent).as_posix())
+    sc.addPyFile(str(archive))
+    sc._sparkloom_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
