@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
 import unicodedata
@@ -11,11 +12,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.operators.skew import salted_join
+
 #: Entries of the list that one broadcast dictionary may hold; a longer list is used in blocks.
 ENTRIES_PER_BLOCK = 5_000
-#: Distinct values a Python worker remembers before it forgets them all.
-CACHE_VALUES = 200_000
-
 # Endings of a Korean verb in -하다, positive and negated, without spaces.
 POSITIVE_ENDINGS = (
     "하다 한다 함 합니다 하였다 했다 하며 하고 하는 하여야한다 하여야하다 해야한다 해야하다 할수있다 하여야함 해야함 할수있음 하도록한다 하게한다"
@@ -43,6 +43,7 @@ def plain(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKC", text).lower() if c.isalnum())
 
 
+@functools.lru_cache(maxsize=65_536)
 def substitution(a: str, b: str) -> float:
     """0.4 for one differing letter of a syllable, 0.7 for two, 1 for all."""
     x, y = jamo(a), jamo(b)
@@ -155,21 +156,41 @@ class Dictionary:
     kind: str
     most: int
     longest: int
+    chars: dict[str, tuple[int, ...]]
+    needed: list[int]
 
     @classmethod
     def build(cls, entries: list[tuple[str, str, int]], kind: str, most: int) -> Dictionary:
         make = verb_aliases if kind == "verb" else name_aliases
         ids, freq, aliases, index = [], [], [], {}
+        chars: dict[str, list[int]] = {}
+        needed = []
         for e, (ref_id, canonical, n) in enumerate(entries):
             ids.append(ref_id)
             freq.append(n)
-            for text in dict.fromkeys(make(canonical)):
-                if not text:
-                    continue
+            texts = [t for t in dict.fromkeys(make(canonical)) if t]
+            core = set.intersection(*map(set, texts)) if texts else set()
+            needed.append(len(core) - most)
+            for ch in core:
+                chars.setdefault(ch, []).append(e)
+            for text in texts:
                 aliases.append((text, e))
                 for d in deletions(text, allowed(len(text), most)):
                     index.setdefault(d, []).append(len(aliases) - 1)
-        return cls(ids, freq, aliases, {k: tuple(v) for k, v in index.items()}, kind, most, max((len(a) for a, _ in aliases), default=0))
+        return cls(ids, freq, aliases, {k: tuple(v) for k, v in index.items()}, kind, most, max((len(a) for a, _ in aliases), default=0), {k: tuple(v) for k, v in chars.items()}, needed)
+
+    def possible(self, text: str) -> bool:
+        """Whether some entry can be within the edits at all: an edit takes at most one of the distinct characters
+        that all aliases of an entry share, so ``most`` edits leave the rest of them in the text."""
+        if min(self.needed, default=1) <= 0:
+            return True
+        seen: dict[int, int] = {}
+        for ch in set(text):
+            for e in self.chars.get(ch, ()):
+                n = seen[e] = seen.get(e, 0) + 1
+                if n >= self.needed[e]:
+                    return True
+        return False
 
     def lookup(self, value: str | None) -> tuple[str, int, float] | None:
         """(entry id, edits, weight) of the best entry, or None for a value that means none."""
@@ -177,7 +198,7 @@ class Dictionary:
             return None
         best = None
         for text, extra in (verb_variants if self.kind == "verb" else name_variants)(value):
-            if not text or len(text) > self.longest + self.most:
+            if not text or len(text) > self.longest + self.most or not self.possible(text):
                 continue
             negated = bool(_NEGATED.search(text))
             tried: set[int] = set()
@@ -202,44 +223,30 @@ def _look_up(shared):
     @F.pandas_udf("struct<edits:int,weight:double,nfreq:long,ref_id:string>")
     def look_up(s: pd.Series) -> pd.DataFrame:
         d = shared.value
-        memo = d.__dict__.setdefault("_memo", {})
-        if len(memo) > CACHE_VALUES:
-            memo.clear()
-        freq = d.__dict__.setdefault("_freq", dict(zip(d.ids, d.freq)))
-        got = []
-        for v in s:
-            if v not in memo:
-                memo[v] = d.lookup(v)
-            hit = memo[v]
-            got.append((hit[1], hit[2], -freq[hit[0]], hit[0]) if hit else (None, None, None, None))
+        freq = dict(zip(d.ids, d.freq))
+        got = [(h[1], h[2], -freq[h[0]], h[0]) if (h := d.lookup(v)) else (None, None, None, None) for v in s]
         return pd.DataFrame(got, columns=["edits", "weight", "nfreq", "ref_id"]).astype(
             {"edits": "Int32", "weight": "float64", "nfreq": "Int64", "ref_id": "object"}
         )
 
-    return look_up
+    # named non-deterministic so that no filter on its result is moved below the distinct, nor the call repeated
+    return look_up.asNondeterministic()
 
 
-def map_to_list(
-    values: DataFrame,
-    value: str,
-    entries: DataFrame,
-    kind: str = "name",
-    most_edits: int | None = None,
-    entries_per_block: int = ENTRIES_PER_BLOCK,
+def look_up_values(
+    names: DataFrame, entries: DataFrame, kind: str = "name", most_edits: int | None = None, entries_per_block: int = ENTRIES_PER_BLOCK
 ) -> DataFrame:
-    """``values`` with (ref_id, edits, weight) of the entry each value means, null where it means none.
+    """Rows (name, ref_id, edits, weight) of the distinct ``names.name``, null where a name means no entry.
 
     ``entries``: rows (ref_id, canonical_name[, frequency]). ``kind`` is ``name`` or ``verb`` (endings of a
     verb are set aside, its negation is not). A symmetric-delete dictionary of the list is broadcast, in
     blocks of at most ``entries_per_block`` entries, so that its size is bounded whatever the list; with
-    more blocks than one the best rank over the blocks is kept. Values are looked up where they are, in
-    Arrow batches, each worker remembering distinct values; no row is shuffled.
+    more blocks than one the best rank over the blocks is kept. Every distinct name is looked up once.
 
-    Null, blank and sign-only values mean no entry. Ties go to fewer edits, less weight, the entry with
-    the higher reference frequency, then the smaller id. An empty list maps nothing. Repeated values are
-    looked up once per worker. All other columns pass through untouched.
+    Null, blank and sign-only names mean no entry. Ties go to fewer edits, less weight, the entry with
+    the higher reference frequency, then the smaller id. An empty list maps nothing. Other columns are not read.
     """
-    spark = values.sparkSession
+    spark = names.sparkSession
     has_freq = "frequency" in entries.columns
     listed = (
         entries.select(
@@ -250,22 +257,29 @@ def map_to_list(
         .groupBy("ref_id", "canonical_name").agg(F.max("n").alias("n"))
         .orderBy("ref_id", "canonical_name")
     )
-    out = values
+    # a fixed number of partitions: few bytes, much work a name, so they must not be coalesced by size
+    out = names.select("name").filter(F.col("name").isNotNull()).distinct().repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "name")
     rows = listed.toLocalIterator()
     columns = []
     while block := list(itertools.islice(rows, entries_per_block)):
         shared = spark.sparkContext.broadcast(Dictionary.build([(r[0], r[1], r[2]) for r in block], kind, MOST_EDITS[kind] if most_edits is None else most_edits))
         column = f"_hit{len(columns)}"
-
-        out = out.withColumn(column, _look_up(shared)(F.col(value)))
+        out = out.withColumn(column, _look_up(shared)(F.col("name")))
         columns.append(column)
     if not columns:
-        return values.select(
-            "*", F.lit(None).cast("string").alias("ref_id"), F.lit(None).cast("int").alias("edits"), F.lit(None).cast("double").alias("weight")
-        )
-    hits = F.array_sort(F.filter(F.array(*columns), lambda h: h["ref_id"].isNotNull()))
-    best = F.get(hits, F.lit(0))
-    return out.withColumn("_best", best).select(
-        *[F.col(f"`{c}`") for c in values.columns], F.col("_best.ref_id").alias("ref_id"),
-        F.col("_best.edits").alias("edits"), F.col("_best.weight").alias("weight"),
-    )
+        return out.select("name", F.lit(None).cast("string").alias("ref_id"), F.lit(None).cast("int").alias("edits"), F.lit(None).cast("double").alias("weight"))
+    best = F.get(F.array_sort(F.filter(F.array(*columns), lambda h: h["ref_id"].isNotNull())), F.lit(0))
+    return out.withColumn("_best", best).select("name", "_best.ref_id", "_best.edits", "_best.weight")
+
+
+def map_to_list(values: DataFrame, value: str, spread: str, entries: DataFrame, kind: str = "name", most_edits: int | None = None, entries_per_block: int = ENTRIES_PER_BLOCK) -> DataFrame:
+    """Rows of ``values`` that mean an entry, with its (ref_id, edits, weight); see ``look_up_values``.
+
+    Hits are few rows a name and meet the values in a join salted by ``spread``, as one value may hold a third of all
+    rows. Columns of ``values`` pass through; one named like an added column is given back as ``<name>_input``."""
+    for c in ("ref_id", "edits", "weight"):
+        if c in values.columns and c != value:
+            values = values.withColumnRenamed(c, c + "_input")
+            spread = c + "_input" if spread == c else spread
+    found = look_up_values(values.select(F.col(value).alias("name")), entries, kind, most_edits, entries_per_block).filter(F.col("ref_id").isNotNull())
+    return salted_join(values, found.withColumnRenamed("name", value), [value], F.col(spread))

@@ -158,6 +158,7 @@ def match_vocabulary(names: DataFrame, names_per_shard: int = NAMES_PER_SHARD) -
     it), so every trie holds about ``names_per_shard`` names however large the vocabulary is, and no
     vocabulary is broadcast. Null names give no row; the empty text is a name. No names give no rows.
     """
+    names = names.select("name", "n_vocab")
     n = names.count()
     shards = max(12, -(-n // names_per_shard))
     formed = with_table_form(names.filter(F.col("name").isNotNull()), "name", "form")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.canonical_map import map_to_list
+from sparkloom.llm.canonical_map import look_up_values, map_to_list
 from sparkloom.llm.format_dupes import canonical_key, copies, duplicate_ledger, single_relation
 from sparkloom.llm.leaks import find_leaks
 from sparkloom.llm.lookalikes import match_vocabulary
@@ -101,29 +101,33 @@ def _lists(spark: SparkSession, sf_dir: str) -> list[tuple[list[str], DataFrame,
     return [(["predicate"], verbs, "verb"), (["subject", "object"], names, "name")]
 
 
-def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Field values that are not themselves entries, with the entry they mean (or null)."""
-    parts = []
-    for fields, entries, kind in _lists(spark, sf_dir):
-        values = _mention_fields(spark, sf_dir, fields)
-        used = values.groupBy("name").agg(F.count(F.lit(1)).alias("frequency"))
-        ranked = entries.join(used, entries["canonical_name"] == used["name"], "left").select("ref_id", "canonical_name", "frequency")
-        # the list is fixed by definition; map_to_list bounds what it broadcasts, this only drops equal names
-        own = values.join(entries.select(F.col("canonical_name").alias("name")).distinct(), "name", "left_anti")
-        parts.append(map_to_list(own, "name", ranked, kind))
-    return reduce(DataFrame.unionByName, parts)
+def _typed_values(spark: SparkSession, sf_dir: str, fields: list[str], entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(values that are not themselves entries, entries with their frequency among the values)."""
+    values = _mention_fields(spark, sf_dir, fields)
+    used = values.groupBy("name").agg(F.count(F.lit(1)).alias("frequency"))
+    ranked = entries.join(used, entries["canonical_name"] == used["name"], "left").select("ref_id", "canonical_name", "frequency")
+    return values.join(entries.select(F.col("canonical_name").alias("name")).distinct(), "name", "left_anti"), ranked
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields that are a misspelt or otherwise written form of a list entry."""
-    hit = _mapped(spark, sf_dir).filter(F.col("ref_id").isNotNull())
+    parts = []
+    for fields, entries, kind in _lists(spark, sf_dir):
+        own, ranked = _typed_values(spark, sf_dir, fields, entries)
+        parts.append(map_to_list(own, "name", "row_id", ranked, kind))
+    hit = reduce(DataFrame.unionByName, parts)
     return hit.select(F.col("row_id").alias("relation_mention_id"), "field_name", "ref_id").distinct()
 
 
 def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values that mean no entry, with their number of mentions."""
-    miss = _mapped(spark, sf_dir).filter(F.col("ref_id").isNull()).select("field_name", "name", "row_id").distinct()
-    return miss.groupBy("field_name", "name").agg(F.count(F.lit(1)).alias("n_mentions"))
+    parts = []
+    for fields, entries, kind in _lists(spark, sf_dir):
+        own, ranked = _typed_values(spark, sf_dir, fields, entries)
+        n = own.distinct().groupBy("field_name", "name").agg(F.count(F.lit(1)).alias("n_mentions"))
+        miss = look_up_values(own, ranked, kind).filter(F.col("ref_id").isNull()).select("name")
+        parts.append(n.join(miss, "name").select("field_name", "name", "n_mentions"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # -- 6: oversized items ---------------------------------------------------------------------------
