@@ -78,10 +78,14 @@ def salted_join(
 
     Each row of ``big`` gets a salt from the hash of ``spread`` (a record id, so a re-run of a lost
     task gives the same salt); ``small`` is repeated once per salt. A hot key's rows are thereby
-    dealt to ``salts`` tasks whatever the planner does. ``how`` may be inner, left, left_semi or left_anti.
+    dealt to ``salts`` tasks whatever the planner does. ``how`` may be inner, left, left_semi or left_anti. Null keys
+    match nothing. Apart from ``on`` the sides must not share column names.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} would repeat unmatched rows of the salted side")
-    b = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return b.join(s, [*on, "_salt"], how).drop("_salt")
+    salt = "_salt"
+    while salt in big.columns or salt in small.columns:
+        salt += "_"
+    b = big.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    s = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return b.join(s, [*on, salt], how).drop(salt)
