@@ -94,7 +94,10 @@ class LookTrie:
 
     def matches(self, text: str, budget: int = 0) -> list[tuple[str, int]]:
         """(spelling, cost) of every vocabulary spelling within the budget."""
-        states = self._close({0: 0})
+        states = {0: 0}
+        if budget:
+            self._skip(states, budget)
+        states = self._close(states)
         for ch in unicodedata.normalize("NFD", text):
             k = self._plain(ch)
             if k == IGNORABLE:
@@ -117,8 +120,6 @@ class LookTrie:
             states = self._close(nxt)
             if not states:
                 return []
-        if budget:
-            self._skip(states, budget)
         return sorted((w, c) for n, c in states.items() for w in self.words[n])
 
     def _skip(self, states: dict[int, int], budget: int) -> None:

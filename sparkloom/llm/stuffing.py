@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 STATES = ("prose", "links", "tags", "menu")
-#: Words of one line at most; a longer line is cut into lines of so many words.
+#: Words of one line at most; a longer line is cut into lines of like length.
 LINE_WORDS = 14
 #: A page is flagged when more than this share of its words is not prose.
 SHARE = 0.5
@@ -48,8 +48,9 @@ def lines(text: str) -> list[str]:
             if len(words) <= LINE_WORDS:
                 if words:
                     out.append(part)
-            else:
-                out.extend(" ".join(words[i : i + LINE_WORDS]) for i in range(0, len(words), LINE_WORDS))
+            else:  # lines of like length: a short rest would say little
+                n = -(-len(words) // LINE_WORDS)
+                out.extend(" ".join(words[len(words) * i // n : len(words) * (i + 1) // n]) for i in range(n))
     return out
 
 
