@@ -276,9 +276,12 @@ def invalid_citations(answer: Column, allowed: Column) -> Column:
     return F.array_except(citation_keys(answer), allowed)
 
 
+# Fixed value: characters by which a wrongly decoded name is suspected.
+MOJIBAKE = "[\u00c0-\u024f\ufffd]"
+
+
 def looks_mojibake(x: Column) -> Column:
-    """Replacement characters, controls of the C1 block, or Latin letters with accents next to each other."""
-    return x.rlike("[�\u0080-\u009F]|[À-ÿ]{2}")
+    return x.rlike(MOJIBAKE)
 
 
 def run_id(stamp: Column, query: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparkloom.functions.ids import stable_id
-from sparkloom.functions.text import infer_polarity, trim_all
+from sparkloom.functions.text import infer_polarity, looks_mojibake, trim_all
 
 SAMPLES = 5
 
@@ -173,15 +173,19 @@ def seeded_mapping(names: DataFrame, seeds: DataFrame) -> DataFrame:
     """(name, canonical_name, normalization_status) from earlier dictionaries.
 
     seeds: alias, canonical_name. A name that is itself a seed's canonical name keeps it; an alias of one canonical
-    name takes it; an alias of several stays as it is, as does a name no seed knows."""
-    per = seeds.groupBy("alias").agg(F.count_distinct("canonical_name").alias("n"), F.min("canonical_name").alias("target"))
-    own = seeds.select(F.col("canonical_name").alias("name"), F.lit(True).alias("is_canonical")).distinct()
-    j = names.select("name").distinct().join(per.withColumnRenamed("alias", "name"), "name", "left").join(own, "name", "left")
+    name takes it; an alias of several stays as it is, as does a name no seed knows. Seeds whose canonical name looks
+    wrongly decoded lend it to no alias."""
+    own = seeds.select(trim_all(F.col("canonical_name")).alias("name")).filter(F.col("name") != "").distinct()
+    sound = seeds.select(trim_all(F.col("alias")).alias("alias"), trim_all(F.col("canonical_name")).alias("c")).filter((F.col("c") != "") & ~looks_mojibake(F.col("c")))
+    pairs = sound.filter(F.col("alias") != "").unionByName(sound.select(F.col("c").alias("alias"), "c"))
+    per = pairs.groupBy("alias").agg(F.count_distinct("c").alias("n"), F.min("c").alias("target"))
+    j = names.select("name").distinct().join(per.withColumnRenamed("alias", "name"), "name", "left").join(own.withColumn("is_canonical", F.lit(True)), "name", "left")
     known = F.coalesce("is_canonical", F.lit(False))
     return j.select(
         "name",
         F.when(known, F.col("name")).when(F.col("n") == 1, F.col("target")).otherwise(F.col("name")).alias("canonical_name"),
-        F.when(known, "seed_canonical").when(F.col("n") == 1, "seed_alias").when(F.col("n") > 1, "seed_ambiguous").otherwise("unseeded").alias("normalization_status"),
+        F.when(known, "seed_exact_canonical").when(F.col("n") == 1, "seed_unique_alias")
+        .when(F.col("n") > 1, "fallback_source_name_ambiguous_seed_alias").otherwise("fallback_source_name_no_seed_match").alias("normalization_status"),
     )
 
 

@@ -203,10 +203,13 @@ def clustered_entities(spark: SparkSession, d: str) -> DataFrame:
 _SEED = f"{_ENT}, seeds AS (SELECT DISTINCT a.name AS alias, canonical_name FROM (SELECT unnest(aliases) AS a, canonical_name FROM ent))"
 
 
-@query(f"""WITH {_ENDS}, {_SEED}, per AS (SELECT alias, count(DISTINCT canonical_name) AS n, min(canonical_name) AS target FROM seeds GROUP BY alias),
-own AS (SELECT DISTINCT canonical_name FROM seeds), names AS (SELECT DISTINCT name FROM ends WHERE name IS NOT NULL)
+@query(f"""WITH {_ENDS}, {_SEED}, own AS (SELECT DISTINCT canonical_name FROM seeds),
+pr AS (SELECT alias, canonical_name AS c FROM seeds UNION SELECT canonical_name, canonical_name FROM seeds),
+per AS (SELECT alias, count(DISTINCT c) AS n, min(c) AS target FROM pr WHERE NOT regexp_matches(c, '[\\x{{00C0}}-\\x{{024F}}\\x{{FFFD}}]') GROUP BY alias),
+names AS (SELECT DISTINCT name FROM ends WHERE name IS NOT NULL)
 SELECT n.name, CASE WHEN o.canonical_name IS NOT NULL THEN n.name WHEN p.n = 1 THEN p.target ELSE n.name END AS canonical_name,
-  CASE WHEN o.canonical_name IS NOT NULL THEN 'seed_canonical' WHEN p.n = 1 THEN 'seed_alias' WHEN p.n > 1 THEN 'seed_ambiguous' ELSE 'unseeded' END AS normalization_status
+  CASE WHEN o.canonical_name IS NOT NULL THEN 'seed_exact_canonical' WHEN p.n = 1 THEN 'seed_unique_alias' WHEN p.n > 1 THEN 'fallback_source_name_ambiguous_seed_alias'
+    ELSE 'fallback_source_name_no_seed_match' END AS normalization_status
 FROM names n LEFT JOIN per p ON p.alias = n.name LEFT JOIN own o ON o.canonical_name = n.name""")
 def seeded_entity_mapping(spark: SparkSession, d: str) -> DataFrame:
     names = endpoints(_mentions(spark, d)).select("name").filter(F.col("name").isNotNull())
