@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -193,10 +194,9 @@ def guard_contextual(source: Column, canonical: Column, status: Column) -> Colum
 
 
 def _strip_first_particle(word: Column, particles: list[str]) -> Column:
-    out = F.when(F.lit(False), word)
-    for p in particles:
-        out = out.when(word.endswith(p) & (F.length(word) - len(p) >= 2), F.substring(word, F.lit(1), F.length(word) - len(p)))
-    return out.otherwise(word)
+    """Without the first listed particle that leaves two characters. The list names longer particles before their own
+    ends, so the alternation of the pattern, tried from the left of the word, takes the same one."""
+    return F.regexp_replace(word, rf"\A(.{{2,}}?)(?:{'|'.join(particles)})\z", "$1")
 
 
 def _terms(text: Column, particles: list[str], stop: list[str], most: int) -> Column:
@@ -214,6 +214,16 @@ def search_terms(text: Column) -> Column:
     return _terms(F.lower(text), SEARCH_PARTICLES, SEARCH_STOP_WORDS, SEARCH_TERMS)
 
 
+def search_terms_of(text: str) -> list[str]:
+    """``search_terms`` of a text known on the driver."""
+    out: list[str] = []
+    for w in re.findall(_WORDS, text.lower()):
+        w = next((w[: -len(p)] for p in SEARCH_PARTICLES if w.endswith(p) and len(w) - len(p) >= 2), w)
+        if len(w) >= 2 and w not in SEARCH_STOP_WORDS and w not in out:
+            out.append(w)
+    return out[:SEARCH_TERMS]
+
+
 def compact(x: Column) -> Column:
     return F.regexp_replace(F.lower(x), "[^0-9a-z가-힣]", "")
 

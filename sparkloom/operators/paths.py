@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparkloom.functions.text import compact, match_strength, search_terms
-from sparkloom.runtime import materialise
+from sparkloom.functions.text import compact, match_strength, search_terms_of
 
 # Cues by which a question asks for the actor, the target, a way through.
 ACTOR_CUES = ["누가", "주체", "어느 기관", "어떤 기관"]
@@ -97,7 +96,8 @@ def find_paths(seeds: DataFrame, edges: DataFrame, query: str, bounds: SearchBou
 
     seeds: entity_id, name, score (1 at most). Each hop expands the beam's end entities within the bounds, ranks the
     edges at every state by relevance, and continues with the ``beam`` best states; all paths stay eligible for the
-    ranking. Only the beam, of bounded width, passes through the driver between hops, which keeps lineage short."""
+    ranking. At most ``beam`` states, MAX_EDGES edges and beam * per_entity paths of a hop pass through the driver, whatever
+    the size of the graph; that cuts lineage between hops."""
     spark = edges.sparkSession
     rel = relation_scores if relation_scores is not None else spark.createDataFrame([], "relation_id string, rscore double")
     preferred = [r[0] for r in rel.orderBy(F.desc("rscore"), "relation_id").select("relation_id").limit(MAX_EDGES).collect()]
@@ -105,38 +105,37 @@ def find_paths(seeds: DataFrame, edges: DataFrame, query: str, bounds: SearchBou
         F.array("entity_id").alias("entity_ids"), F.array("name").alias("entity_names"), F.array().cast("array<string>").alias("relation_ids"),
         F.array().cast("array<string>").alias("type_names"), F.col("score").cast("double").alias("score"))
     generations = []
+    kept = [tuple(r) for r in states.collect()]
     for hop in range(1, bounds.hops + 1):
-        beam = spark.createDataFrame(states.collect(), STATE)
-        at = beam.withColumn("cur", F.element_at("entity_ids", -1))
-        frontier = at.select(F.col("cur").alias("entity_id")).distinct()
-        n_front = len({r[0] for r in frontier.collect()})
-        if not n_front:
+        by_end = sorted({s[0][-1] for s in kept})
+        if not by_end:
             break
-        found = expand(frontier, edges, bounds.per_entity, max(1, min(MAX_EDGES, n_front * bounds.per_entity * 2)), preferred)
-        found = materialise(found.join(rel, "relation_id", "left").withColumn("rscore", F.coalesce("rscore", F.lit(0.0))), f"hop{hop}")
-        f = frontier.withColumnRenamed("entity_id", "cur")
-        ends = found.join(f, found["source_entity_id"] == f["cur"]).unionByName(found.join(f, found["target_entity_id"] == f["cur"]))
+        frontier = spark.createDataFrame([(e,) for e in by_end], "cur string")
+        limit = max(1, min(MAX_EDGES, len(by_end) * bounds.per_entity * 2))
+        found = expand(frontier.withColumnRenamed("cur", "entity_id"), edges, bounds.per_entity, limit, preferred)
+        found = found.join(F.broadcast(rel), "relation_id", "left").withColumn("rscore", F.coalesce("rscore", F.lit(0.0)))
         # a self-loop stands twice in its entity's adjacency, and is then passed over as a revisit
+        end = F.explode(F.array(
+            F.struct(F.col("source_entity_id").alias("cur"), F.col("target_entity_id").alias("other"), F.col("target_name").alias("name")),
+            F.struct(F.col("target_entity_id").alias("cur"), F.col("source_entity_id").alias("other"), F.col("source_name").alias("name"))))
+        ends = found.select("*", end.alias("e")).select(*found.columns, "e.*").join(F.broadcast(frontier), "cur", "left_semi")
         ends = ends.withColumn("branching", F.count(F.lit(1)).over(W.partitionBy("cur")))
-        ends = ends.withColumn("rel", F.round(edge_relevance(query, F.col("branching"), F.col("cur"), F.col("rscore")), 9))
-        ends = ends.withColumn("rn", F.row_number().over(W.partitionBy("cur").orderBy(F.desc("rel"), "relation_id"))).filter(F.col("rn") <= bounds.per_entity)
-        other = F.when(F.col("source_entity_id") == F.col("cur"), F.col("target_entity_id")).otherwise(F.col("source_entity_id"))
-        other_name = F.when(F.col("source_entity_id") == F.col("cur"), F.col("target_name")).otherwise(F.col("source_name"))
-        nxt = at.join(ends, "cur").withColumn("other", other).withColumn("other_name", other_name).filter(~F.array_contains("entity_ids", F.col("other")))
-        nxt = materialise(nxt.select(
-            F.array_append("entity_ids", F.col("other")).alias("entity_ids"), F.array_append("entity_names", F.col("other_name")).alias("entity_names"),
-            F.array_append("relation_ids", F.col("relation_id")).alias("relation_ids"), F.array_append("type_names", F.col("relation_type_name")).alias("type_names"),
-            F.round(F.col("score") + F.col("rel") / hop, 9).alias("score")), f"paths{hop}")
-        generations.append(nxt.withColumn("hops", F.lit(hop)))
-        states = nxt.orderBy(F.desc("score"), "entity_ids", "relation_ids").limit(bounds.beam)
+        ends = ends.withColumn("step", F.round(edge_relevance(query, F.col("branching"), F.col("cur"), F.col("rscore")), 9))
+        ends = ends.withColumn("rn", F.row_number().over(W.partitionBy("cur").orderBy(F.desc("step"), "relation_id", "other"))).filter(F.col("rn") <= bounds.per_entity)
+        # one job a hop; its rows are bounded by MAX_EDGES, and the paths made of them by beam * per_entity
+        near: dict[str, list] = {}
+        for r in ends.select("cur", "rn", "relation_id", "relation_type_name", "other", "name", "step").collect():
+            near.setdefault(r["cur"], []).append(r)
+        made = []
+        for ids, names, rels, types, score in kept:
+            for r in sorted(near.get(ids[-1], ()), key=lambda r: r["rn"]):
+                if r["other"] not in ids:
+                    made.append(([*ids, r["other"]], [*names, r["name"]], [*rels, r["relation_id"]], [*types, r["relation_type_name"]], round(score + r["step"] / hop, 9)))
+        generations += [(*m, hop) for m in made]
+        kept = sorted(made, key=lambda m: (-m[4], m[0], m[2]))[: bounds.beam]
         if trace is not None:
-            trace.hops.append({"hop": hop, "frontier_entities": n_front, "fetched_edges": found.count(), "generated_paths": nxt.count()})
-    if not generations:
-        return spark.createDataFrame([], STATE).withColumn("hops", F.lit(0))
-    out = generations[0]
-    for g in generations[1:]:
-        out = out.unionByName(g)
-    return out
+            trace.hops.append({"hop": hop, "frontier_entities": len(by_end), "query_edge_limit": limit, "generated_paths": len(made), "retained_paths": len(kept)})
+    return spark.createDataFrame(generations, STATE + ", hops int")
 
 
 def score_paths(paths: DataFrame, query: str) -> DataFrame:
@@ -186,7 +185,8 @@ def attach_evidence(relation_ids: DataFrame, evidence: DataFrame, units: DataFra
 def rank_by_evidence(pool: DataFrame, attached: DataFrame, query: str, limit: int) -> DataFrame:
     """The pool with document titles, evidence score and final rank."""
     q = F.lit(query)
-    terms = F.transform(search_terms(q), compact)
+    own = search_terms_of(query)
+    terms = F.transform(F.array(*[F.lit(t) for t in own]).cast("array<string>"), compact)
     text = compact(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("document_title", "context_text", "unit_text", "raw_subject", "raw_predicate", "raw_object")]))
     cover = F.when(F.size(terms) > 0, F.size(F.filter(terms, lambda t: F.instr(text, t) > 0)) / F.size(terms)).otherwise(0.0)
     title = F.when(F.size(terms) > 0, match_strength(F.coalesce("document_title", F.lit("")), q)).otherwise(0.0)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +38,7 @@ def search(spark: SparkSession, store: GraphStore, question: str, bounds: paths.
     Keyword (and, with vectors and an embedder, vector) ranks are fused; relation candidates lend their endpoints as seeds; paths are
     generated within the bounds; evidence is joined for the pool of paths only."""
     q = spark.createDataFrame([(0, question.strip())], "query_id long, text string")
+    store = replace(store, edges=store.edges.persist())  # read by every hop; lost parts are computed anew
     ranked = {"keyword": retrieval.keyword_names(store.entities, "entity_id", "canonical_name", q, top * 2)}
     if store.entity_vectors is not None and embedder is not None:
         qv = embed(q, "query_id", "text", embedder)
