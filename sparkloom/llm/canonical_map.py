@@ -53,41 +53,43 @@ def substitution(a: str, b: str) -> float:
 
 
 def edits(a: str, b: str, most: int) -> tuple[int, float] | None:
-    """(edits, weighted edits) of the optimal-alignment Damerau-Levenshtein distance, or None beyond ``most``.
+    """(edits, weighted edits) of the Damerau-Levenshtein distance, or None beyond ``most``.
 
-    A transposition of neighbours is one edit of weight 0.6; inserting or deleting a repetition of the
-    neighbour weighs 0.5, any other insertion or deletion 1. The weight breaks ties among equal edits."""
+    The unrestricted distance: characters may be inserted or deleted between two that change places. A
+    transposition is one edit of weight 0.6; inserting or deleting a repetition of the neighbour weighs 0.5, any
+    other insertion or deletion 1. The weight breaks ties among equal edits."""
     n, m = len(a), len(b)
     if abs(n - m) > most:
         return None
-    inf = (most + 1, 99.0)
-    before: list = []
-    prev = [(j, _gap_sum(b, j)) for j in range(m + 1)]
+    gap_a = [0.5 if i > 1 and a[i - 1] == a[i - 2] else 1.0 for i in range(n + 1)]
+    gap_b = [0.5 if j > 1 and b[j - 1] == b[j - 2] else 1.0 for j in range(m + 1)]
+    rows = [[(0, 0.0)]]
+    for j in range(1, m + 1):
+        rows[0].append((j, rows[0][-1][1] + gap_b[j]))
+    last_row: dict[str, int] = {}  # last row whose character is that one
     for i in range(1, n + 1):
-        gap_a = 0.5 if i > 1 and a[i - 1] == a[i - 2] else 1.0
-        row = [(i, prev[0][1] + gap_a)]
-        least = row[0][0]
+        prev = rows[-1]
+        row = [(i, prev[0][1] + gap_a[i])]
+        last_col = 0  # last column of this row whose character is a's
         for j in range(1, m + 1):
             d, w = prev[j - 1]
             s = substitution(a[i - 1], b[j - 1])
             best = (d + (s > 0), w + s)
             d, w = prev[j]
-            best = min(best, (d + 1, w + gap_a))
+            best = min(best, (d + 1, w + gap_a[i]))
             d, w = row[j - 1]
-            best = min(best, (d + 1, w + (0.5 if j > 1 and b[j - 1] == b[j - 2] else 1.0)))
-            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
-                d, w = before[j - 2]
-                best = min(best, (d + 1, w + 0.6))
+            best = min(best, (d + 1, w + gap_b[j]))
+            k, at = last_row.get(b[j - 1], 0), last_col
+            if k and at:
+                d, w = rows[k - 1][at - 1]
+                between = (i - k - 1) + (j - at - 1)
+                best = min(best, (d + between + 1, w + between + 0.6))
+            if a[i - 1] == b[j - 1]:
+                last_col = j
             row.append(best)
-            least = min(least, best[0])
-        if least > most:
-            return None
-        before, prev = prev, row
-    return prev[m] if prev[m] < inf and prev[m][0] <= most else None
-
-
-def _gap_sum(b: str, j: int) -> float:
-    return sum(0.5 if k > 0 and b[k] == b[k - 1] else 1.0 for k in range(j))
+        last_row[a[i - 1]] = i
+        rows.append(row)
+    return rows[n][m] if rows[n][m][0] <= most else None
 
 
 def deletions(word: str, most: int) -> set[str]:
