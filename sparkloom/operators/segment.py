@@ -20,14 +20,12 @@ LINE_BREAK = "\r\n|[\n\r\u000b\u000c\u001c-\u001e\u0085  ]"
 
 
 def text_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, line_no, line) of every document, hashed by document so that all later windows need no shuffle. A
-    trailing line break makes no further line; null and empty texts have no lines."""
-    body = F.regexp_replace(F.col(text), f"(?:{LINE_BREAK})\\z", "")
-    return (
-        docs.filter(F.col(text).isNotNull() & (F.col(text) != ""))
-        .select(F.col(key).alias("doc"), F.posexplode(F.split(body, LINE_BREAK)).alias("line_no", "line"))
-        .repartition("doc")
-    )
+    """(doc, line_no, line) of every document. Whole texts are shuffled by document, before they are cut, so that all
+    later windows need no shuffle; repeated rows of a document count once. A trailing line break makes no further
+    line; null and empty texts have no lines."""
+    one = docs.filter(F.col(key).isNotNull() & F.col(text).isNotNull() & (F.col(text) != "")).groupBy(F.col(key).alias("doc")).agg(F.min(text).alias("_text"))
+    body = F.regexp_replace("_text", f"(?:{LINE_BREAK})\\z", "")
+    return one.select("doc", F.posexplode(F.split(body, LINE_BREAK)).alias("line_no", "line"))
 
 
 def _meta(found: Column, name: str) -> Column:
@@ -80,7 +78,7 @@ def segment(docs: DataFrame, key: str, text: str, path: Column | None = None, fa
     path = F.col(key).cast("string") if path is None else path
     fallback = F.col(key).cast("string") if fallback_title is None else fallback_title
     lines = text_lines(docs, key, text)
-    doc = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("doc"), path.alias("source_path"), fallback.alias("_fallback"))
+    doc = docs.filter(F.col(text).isNotNull()).groupBy(F.col(key).alias("doc")).agg(F.min(path).alias("source_path"), F.min(fallback).alias("_fallback"))
     meta = front_matter(lines).join(doc, "doc").withColumn("document_title", F.coalesce("title", "_fallback"))
     ident = document_identity(F.col("official_id"), F.col("source"), F.col("document_title"), F.col("source_path"))
     meta = meta.select("doc", "body_from", "document_title", "source_path", stable_id("document", ident).alias("document_id"))

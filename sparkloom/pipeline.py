@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from pathlib import Path
@@ -95,6 +96,39 @@ def written_answer(spark: SparkSession, question: str, result: dict[str, DataFra
     return answer, "written"
 
 
+class TimeBudget:
+    """Shrinks limits as a deadline nears: to a half from 67 % of the time on, to a quarter from 84 % on, 1 at least."""
+
+    def __init__(self, seconds: float, clock: Callable[[], float] = time.monotonic):
+        self._clock, self.started, self.seconds = clock, clock(), seconds
+        self.notes: list[str] = []
+
+    def used(self) -> float:
+        return (self._clock() - self.started) / self.seconds if self.seconds else 1.0
+
+    def limit(self, base: int, label: str) -> int:
+        used = self.used()
+        value = max(1, int(base * (0.25 if used >= 0.84 else 0.5 if used >= 0.67 else 1.0)))
+        note = f"{label}:{base}->{value}"
+        if value < base and note not in self.notes:
+            self.notes.append(note)
+        return value
+
+
+def bounds_within(budget: TimeBudget, bounds: paths.SearchBounds) -> paths.SearchBounds:
+    return paths.SearchBounds(bounds.hops, budget.limit(bounds.per_entity, "per_entity"), budget.limit(bounds.beam, "beam"), budget.limit(bounds.paths, "paths"), budget.limit(bounds.evidence, "evidence"))
+
+
+def evaluate_question(question: dict, ranked: DataFrame) -> str | None:
+    """How a search answers a discovered question: ``exact_relations``, ``same_entities_alternative_relations`` or not at all."""
+    wanted = F.array(*[F.lit(x) for x in question["expected_relation_ids"]])
+    ends = F.array(*[F.lit(question[k]) for k in ("start_id", "middle_id", "end_id")])
+    rows = ranked.filter(F.size("document_ids") >= 2).agg(
+        F.bool_or(F.size(F.array_except(wanted, F.col("relation_ids"))) == 0).alias("exact"),
+        F.bool_or(F.size(F.array_except(ends, F.col("entity_ids"))) == 0).alias("ends")).first()
+    return "exact_relations" if rows["exact"] else "same_entities_alternative_relations" if rows["ends"] else None
+
+
 class DictionaryBuild:
     """Raw mentions to dictionaries."""
 

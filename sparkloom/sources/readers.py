@@ -30,12 +30,10 @@ def read_markdown(spark: SparkSession, path: str) -> DataFrame:
     p = Path(path)
     if p.is_file() and p.suffix.lower() != ".md":
         raise ValueError(f"no Markdown file: {path}")
-    r = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-    if not p.is_file():
-        r = r.option("pathGlobFilter", "*.md")
+    only = {} if p.is_file() else {"pathGlobFilter": "*.md"}
     root = (p if p.is_dir() else p.parent).resolve().as_posix()
     name = F.regexp_replace(F.input_file_name(), r"^file:/*", "/")
-    return r.text(path).select(F.ltrim(F.replace(F.url_decode(name), F.lit(root), F.lit("")), F.lit("/")).alias("source_path"), F.col("value").alias("text"))
+    return spark.read.text(path, wholetext=True, recursiveFileLookup=True, **only).select(F.ltrim(F.replace(F.url_decode(name), F.lit(root), F.lit("")), F.lit("/")).alias("source_path"), F.col("value").alias("text"))
 
 
 def source_manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -93,16 +93,16 @@ def rdb_load(schema: str, names: list[str]) -> str:
 def numbered(df: DataFrame, order: list[str], out: str = "node_number", parts: int = 64) -> DataFrame:
     """Consecutive numbers from 1 in order, without a single-task window: rows are dealt to ranges, numbered within
     each, and shifted by the sizes of the ranges before (as many rows as ranges on the driver)."""
-    ranged = df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id())
-    inside = ranged.withColumn("_n", F.row_number().over(W.partitionBy("_p").orderBy(*order)))
-    sizes = inside.groupBy("_p").agg(F.max("_n").alias("n")).orderBy("_p").collect()
+    part, inner, shift_by = (f"_numbered_{x}_{out}" for x in ("part", "inner", "shift"))
+    ranged = df.repartitionByRange(parts, *order).withColumn(part, F.spark_partition_id())
+    inside = ranged.withColumn(inner, F.row_number().over(W.partitionBy(part).orderBy(*order)))
+    sizes = inside.groupBy(part).agg(F.max(inner).alias("n")).orderBy(part).collect()
     shift, total = {}, 0
     for r in sizes:
-        shift[r["_p"]] = total
+        shift[r[part]] = total
         total += r["n"]
-    spark = df.sparkSession
-    table = spark.createDataFrame(list(shift.items()) or [(0, 0)], "_p int, _s long")
-    return inside.join(F.broadcast(table), "_p").withColumn(out, (F.col("_n") + F.col("_s")).cast("long")).drop("_p", "_n", "_s")
+    table = df.sparkSession.createDataFrame(list(shift.items()) or [(0, 0)], f"{part} int, {shift_by} long")
+    return inside.join(F.broadcast(table), part).withColumn(out, (F.col(inner) + F.col(shift_by)).cast("long")).drop(part, inner, shift_by)
 
 
 def write_property_graph(entities: DataFrame, relations: DataFrame, folder: str) -> None:
