@@ -286,6 +286,16 @@ def invalid_citations(answer: Column, allowed: Column) -> Column:
     return F.array_except(citation_keys(answer), allowed)
 
 
+def entity_embedding_text(canonical: Column, aliases: Column, most: int = 20) -> Column:
+    """Canonical name with up to ``most`` distinct other names."""
+    others = F.slice(F.array_except(F.array_distinct(F.filter(aliases, lambda a: a.isNotNull())), F.array(canonical)), 1, most)
+    return F.concat_ws("\n", canonical, F.nullif(F.array_join(others, ", "), F.lit("")))
+
+
+def relation_embedding_text(source: Column, relation_type: Column, target: Column) -> Column:
+    return F.concat_ws(" ", source, relation_type, target)
+
+
 # Fixed value: characters by which a wrongly decoded name is suspected.
 MOJIBAKE = "[\u00c0-\u024f\ufffd]"
 

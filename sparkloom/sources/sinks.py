@@ -148,3 +148,25 @@ def write_manifest(folder: str, extra: dict | None = None) -> dict:
     out = {"files": files, **(extra or {})}
     (base / "manifest.json").write_text(json.dumps(out, ensure_ascii=False, indent=2, sort_keys=True), encoding="utf-8")
     return out
+
+
+def write_search(result: dict[str, DataFrame], question: str, answer: str, nodes: DataFrame, edges: DataFrame, folder: str) -> dict:
+    """Artifacts of one search on the driver's disk: candidates, ranked paths, evidence, answer.md, graph.json, manifest.
+
+    All of them are bounded by the search's bounds."""
+    base = Path(folder)
+    base.mkdir(parents=True, exist_ok=False)
+
+    def rows(df: DataFrame, *order: str) -> list[dict]:
+        return [r.asDict(recursive=True) for r in df.orderBy(*order).collect()]
+
+    def put(name: str, value: object) -> None:
+        (base / name).write_text(json.dumps(value, ensure_ascii=False, indent=2, sort_keys=True, default=str), encoding="utf-8")
+
+    put("entity_candidates.json", rows(result["candidates"], "rank"))
+    put("relation_candidates.json", rows(result["relations"], "ord"))
+    put("ranked_paths.json", rows(result["paths"], "rank"))
+    put("evidence.json", rows(result["evidence"], "relation_id", "evidence_rank"))
+    put("graph.json", {"nodes": rows(nodes, "id"), "edges": rows(edges, "relation_id")})
+    (base / "answer.md").write_text(f"# {question}\n\n{answer}\n", encoding="utf-8")
+    return write_manifest(folder, {"question": question})

@@ -187,7 +187,7 @@ def store(spark):
     return GraphStore(ents, spark.createDataFrame(edges, EDGES), ev, units, docs, embed(ents, "entity_id", "canonical_name", HashEmbedding))
 
 
-def test_search_of_a_chain(spark):
+def test_search_of_a_chain(spark, tmp_path):
     s = store(spark)
     s.entity_vectors = None
     r = search(spark, s, "가람원은 라온청과 어떻게 연결되는가?", paths.SearchBounds(paths=20))
@@ -200,6 +200,8 @@ def test_search_of_a_chain(spark):
     assert written_answer(spark, "q", r, StubCompletion(lambda p: "답 [E99]"))[1] == "invalid_citations"
     nodes, links = paths.graph_payload(r["paths"], r["candidates"])
     assert {n.id for n in nodes.collect()} == {"a", "b", "c", "d"} and links.count() == 3
+    m = sinks.write_search(r, "질문", text, nodes, links, str(tmp_path / "run"))
+    assert len(m["files"]) == 6 and len(json.loads((tmp_path / "run/graph.json").read_text())["edges"]) == 3
     with pytest.raises(ValueError):
         paths.SearchBounds(hops=4)
 

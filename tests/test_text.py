@@ -50,6 +50,11 @@ def test_small_functions(spark):
     assert column(spark, ["Ã©", "가람", "a�"], T.looks_mojibake) == [True, False, True]
 
 
+def test_embedding_texts(spark):
+    df = spark.createDataFrame([("a", ["a", "b", None, "b"]), ("a", [])], "c string, x array<string>")
+    assert [r[0] for r in df.select(T.entity_embedding_text(F.col("c"), F.col("x"))).collect()] == ["a\nb", "a"]
+
+
 def test_guards(spark):
     cases = {
         ("특정 조치", "사항"): ("특정 조치", "guarded_generic_only_result"),
