@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.operators.skew import salted_join
-from sparkloom.runtime import materialise, shared_path
+from sparkloom.runtime import materialise, remove_path, shared_path
 
 #: Buckets of the ledger; fixed for its life, as a batch is dealt to the same ones.
 LEDGER_BUCKETS = 48
@@ -58,6 +58,7 @@ class Ledger:
     def __init__(self, spark, buckets: int = LEDGER_BUCKETS):
         self.spark, self.buckets, self.version, self.name = spark, buckets, 0, f"ledger_{uuid.uuid4().hex}"
         self.table: str | None = None
+        self.path = ""
 
     def read(self) -> DataFrame:
         if self.table is None:
@@ -76,14 +77,15 @@ class Ledger:
             )
         self.version += 1
         table = f"{self.name}_v{self.version}"
+        path = shared_path(self.spark, table)
         (
             # rows arrive hashed by key; one file per task and bucket
-            new.repartition(self.buckets, "key").write.bucketBy(self.buckets, "key").sortBy("key")
-            .option("path", shared_path(self.spark, table)).saveAsTable(table)
+            new.repartition(self.buckets, "key").write.bucketBy(self.buckets, "key").sortBy("key").option("path", path).saveAsTable(table)
         )
         if self.table is not None:
             self.spark.sql(f"DROP TABLE {self.table}")
-        self.table = table
+            remove_path(self.spark, self.path)
+        self.table, self.path = table, path
 
 
 def duplicate_ledger(records: DataFrame, key: str, row_id: str, batch: Column) -> tuple[DataFrame, DataFrame]:
