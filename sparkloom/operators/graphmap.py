@@ -12,6 +12,7 @@ from sparkloom.functions.text import resolve_self_reference, trim_all
 from sparkloom.functions.typing_rules import entity_type
 from sparkloom.operators.dictionary import SAMPLES, order_aliases, samples_by_name
 from sparkloom.operators.mentions import endpoints
+from sparkloom.operators.skew import salted_join
 
 
 class UnmappedRelationError(ValueError):
@@ -39,13 +40,12 @@ def resolve_endpoints(ends: DataFrame, entity_index: DataFrame) -> DataFrame:
     """Endpoint rows with raw_name, resolved_name, method, entity_id, canonical_name and mapping_status.
 
     entity_index: name, id, canonical_name. A name the dictionary lacks becomes an entity of its own. Null and blank
-    names give no row. The index is joined by hash of the name; equal names of many mentions are spread by the
-    planner's skew split, as the index holds one row per name."""
+    names give no row. The index holds one row per name and is joined salted, as few names hold many mentions."""
     r = ends.filter(F.col("name").isNotNull() & (trim_all(F.col("name")) != "")).withColumn("raw_name", trim_all(F.col("name")))
     r = r.withColumn("_res", resolve_self_reference(F.col("raw_name"), F.coalesce("document_title", F.lit(""))))
     r = r.withColumn("resolved_name", F.col("_res.name")).withColumn("method", F.col("_res.method")).drop("_res", "name")
     ix = entity_index.select(F.col("name").alias("resolved_name"), F.col("id").alias("_id"), F.col("canonical_name").alias("_canon"))
-    j = r.join(ix, "resolved_name", "left")
+    j = salted_join(r, ix, ["resolved_name"], F.col("relation_mention_id"), "left")
     own = F.col("method") == "current_document_self_reference"
     return j.select(
         *r.columns,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pandas as pd
@@ -17,6 +18,8 @@ K1, B = 1.2, 0.75
 RRF = 60
 #: Query vectors that one broadcast block holds.
 VECTORS_PER_BLOCK = 1024
+#: Keyword queries of one block; their words and weights are broadcast.
+QUERIES_PER_BLOCK = 512
 #: Boosts of a whole-name match, a term equal to the name and a term inside it.
 WHOLE, EQUAL, INSIDE = 8.0, 10.0, 2.0
 _WORDS = r"[0-9A-Za-z가-힣]+"
@@ -29,22 +32,65 @@ def words(text: Column) -> Column:
 def bm25(docs: DataFrame, key: str, text: str, queries: DataFrame, top: int) -> DataFrame:
     """(query_id, doc, score, rank): the ``top`` documents of each query by BM25 over lower-case words.
 
-    queries: (query_id, text). Document lengths come from the word arrays without exploding them; only words that
-    some query holds are exploded and shuffled. Ties go to the smaller key. Null texts match nothing."""
-    d = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("doc"), words(F.col(text)).alias("w")).withColumn("len", F.size("w"))
-    stats = d.agg(F.count(F.lit(1)).alias("n"), F.avg("len").alias("mean")).first()
+    queries: (query_id, text), used in blocks of bounded size. One pass counts how many documents hold each query word
+    (combined in every task); in a second pass every task scores its documents against the block and keeps ``top`` a query,
+    so neither the words of documents nor their scores are shuffled, and a word held by most documents is no hot key. Ties go
+    to the smaller key. Null texts match nothing; repeated queries count once."""
+    spark = docs.sparkSession
+    d = docs.filter(F.col(text).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("doc"), words(F.col(text)).alias("w"))
+    kind = d.schema["doc"].dataType.simpleString()
+    empty = spark.createDataFrame([], f"query_id long, doc {kind}, score double, rank long")
+    stats = d.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("w")).alias("mean")).first()
     if not stats["n"]:
-        return d.select(F.lit(None).cast("long").alias("query_id"), "doc", F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("rank")).limit(0)
-    q = queries.select("query_id", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
-    wanted = q.select("term").distinct()
-    tf = d.select("doc", "len", F.explode("w").alias("term")).join(wanted, "term", "left_semi").groupBy("term", "doc", "len").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log1p((F.lit(stats["n"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.lit(stats["mean"])))
-    per = tf.join(df, "term").select("term", "doc", weight.alias("s")).join(q, "term")
-    score = per.groupBy("query_id", "doc").agg(F.round(F.sum("s"), 6).alias("score"))
+        return empty
+    asked = queries.select("query_id", F.array_distinct(words(F.col("text"))).alias("terms")).filter(F.col("terms").isNotNull()).distinct().orderBy("query_id").toLocalIterator()
+    out = None
+    while block := list(itertools.islice(asked, QUERIES_PER_BLOCK)):
+        terms = sorted({t for q in block for t in q["terms"]})
+        held = d.select(F.explode(F.array_distinct("w")).alias("term")).join(F.broadcast(spark.createDataFrame([(t,) for t in terms], "term string")), "term", "left_semi")
+        df = {r["term"]: r["n"] for r in held.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
+        at = {t: i for i, t in enumerate(terms)}
+        weight = np.zeros((len(terms), len(block)))
+        for j, q in enumerate(block):
+            for t in q["terms"]:
+                n = df.get(t, 0)
+                weight[at[t], j] = math.log1p((stats["n"] - n + 0.5) / (n + 0.5))
+        shared = spark.sparkContext.broadcast(([q["query_id"] for q in block], at, weight, stats["mean"] or 1.0))
+        part = d.mapInPandas(_score_block(shared, top), f"query_id long, doc {kind}, score double")
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        return empty
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "doc"))
-    return score.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= top)
+    return out.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= top)
+
+
+def _score_block(shared, top: int):
+    def run(batches):
+        ids, at, weight, mean = shared.value
+        for pdf in batches:
+            scores = np.zeros((len(pdf), len(ids)))
+            for i, ws in enumerate(pdf["w"]):
+                tf: dict[int, int] = {}
+                for w in ws:
+                    t = at.get(w)
+                    if t is not None:
+                        tf[t] = tf.get(t, 0) + 1
+                if tf:
+                    rows = sorted(tf)
+                    n = np.array([tf[t] for t in rows], dtype=np.float64)
+                    scores[i] = (n * (K1 + 1) / (n + K1 * (1 - B + B * len(ws) / mean))) @ weight[rows]
+            scores = np.round(scores, 6)
+            docs = pdf["doc"].to_numpy()
+            out = []
+            for j, q in enumerate(ids):
+                col = scores[:, j]
+                hit = np.flatnonzero(col > 0)
+                if len(hit) > top:  # with all that tie at the last place
+                    hit = hit[col[hit] >= np.partition(col[hit], len(hit) - top)[len(hit) - top]]
+                out.extend((q, docs[i], col[i]) for i in sorted(hit, key=lambda i: (-col[i], docs[i]))[:top])
+            yield pd.DataFrame(out, columns=["query_id", "doc", "score"])
+
+    return run
 
 
 def keyword_names(names: DataFrame, key: str, name: str, queries: DataFrame, top: int) -> DataFrame:
