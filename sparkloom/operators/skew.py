@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Salts by which a hot key is spread over tasks in a salted join.
-SALTS = 8
+#: Least and most salts by which a hot key is spread over tasks in a salted join; between them an eighth of the cores.
+SALTS = (8, 64)
 
 
 def combine_by_key(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
@@ -72,17 +72,19 @@ def hot_keys(totals: DataFrame, one_in: int = 40) -> DataFrame:
 
 
 def salted_join(
-    big: DataFrame, small: DataFrame, on: list[str], spread: Column, how: str = "inner", salts: int = SALTS
+    big: DataFrame, small: DataFrame, on: list[str], spread: Column, how: str = "inner", salts: int | None = None
 ) -> DataFrame:
     """Equi-join of a skewed ``big`` side with a side of few rows per key.
 
     Each row of ``big`` gets a salt from the hash of ``spread`` (a record id, so a re-run of a lost
     task gives the same salt); ``small`` is repeated once per salt. A hot key's rows are thereby
-    dealt to ``salts`` tasks whatever the planner does. ``how`` may be inner, left, left_semi or left_anti. Null keys
+    dealt to ``salts`` tasks whatever the planner does (its own split of skewed partitions comes on top). ``how`` may be inner, left, left_semi or left_anti. Null keys
     match nothing. Apart from ``on`` the sides must not share column names.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} would repeat unmatched rows of the salted side")
+    if salts is None:
+        salts = min(SALTS[1], max(SALTS[0], big.sparkSession.sparkContext.defaultParallelism // 8))
     salt = "_salt"
     while salt in big.columns or salt in small.columns:
         salt += "_"
