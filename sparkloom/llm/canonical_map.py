@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators.skew import salted_join
 
-#: Entries of the list that one broadcast dictionary may hold; a longer list is used in blocks.
-ENTRIES_PER_BLOCK = 5_000
+#: Entries of the list that one broadcast dictionary may hold (some 100 MB); a longer list is used in blocks.
+ENTRIES_PER_BLOCK = {"name": 2_000, "verb": 300}
 # Endings of a Korean verb in -하다, positive and negated, without spaces.
 POSITIVE_ENDINGS = (
     "하다 한다 함 합니다 하였다 했다 하며 하고 하는 하여야한다 하여야하다 해야한다 해야하다 할수있다 하여야함 해야함 할수있음 하도록한다 하게한다"
@@ -236,7 +236,7 @@ def _look_up(shared):
 
 
 def look_up_values(
-    names: DataFrame, entries: DataFrame, kind: str = "name", most_edits: int | None = None, entries_per_block: int = ENTRIES_PER_BLOCK
+    names: DataFrame, entries: DataFrame, kind: str = "name", most_edits: int | None = None, entries_per_block: int | None = None
 ) -> DataFrame:
     """Rows (name, ref_id, edits, weight) of the distinct ``names.name``, null where a name means no entry.
 
@@ -249,6 +249,7 @@ def look_up_values(
     the higher reference frequency, then the smaller id. An empty list maps nothing. Other columns are not read.
     """
     spark = names.sparkSession
+    entries_per_block = entries_per_block or ENTRIES_PER_BLOCK[kind]
     has_freq = "frequency" in entries.columns
     listed = (
         entries.select(
@@ -274,7 +275,7 @@ def look_up_values(
     return out.withColumn("_best", best).select("name", "_best.ref_id", "_best.edits", "_best.weight")
 
 
-def map_to_list(values: DataFrame, value: str, spread: str, entries: DataFrame, kind: str = "name", most_edits: int | None = None, entries_per_block: int = ENTRIES_PER_BLOCK) -> DataFrame:
+def map_to_list(values: DataFrame, value: str, spread: str, entries: DataFrame, kind: str = "name", most_edits: int | None = None, entries_per_block: int | None = None) -> DataFrame:
     """Rows of ``values`` that mean an entry, with its (ref_id, edits, weight); see ``look_up_values``.
 
     Hits are few rows a name and meet the values in a join salted by ``spread``, as one value may hold a third of all
