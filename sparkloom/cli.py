@@ -15,6 +15,7 @@ from sparkloom.operators import audit, dictionary, mentions, paths, proposals
 from sparkloom.operators.segment import segment
 from sparkloom.pipeline import DictionaryBuild, GraphStore, evaluate_question, grounded_answer, ingest, search
 from sparkloom.runtime import session, ship_package
+from sparkloom.server import make_server
 from sparkloom.sources import sinks
 from sparkloom.sources.readers import load_environment, load_prompt, read_markdown, read_overrides
 
@@ -93,6 +94,11 @@ def run(a: argparse.Namespace, spark: SparkSession) -> int:  # noqa: C901
             put(dictionary.direct_alias_map(get("input"), "entity_id", keep_zero=True))
         case "build-relation-map":
             put(dictionary.direct_alias_map(get("input"), "relation_type_id", keep_zero=False))
+        case "audit-candidates":
+            return verdict(audit.audit_surface_lists(get("input"), mentions.endpoints(mentions.mentions(get("second")))))
+        case "audit":
+            t = {n: load(spark, f"{a.input}/{n}.parquet") for n in ("relation", "evidence", "entity", "relation_type")}
+            return verdict(audit.audit_graph(t["relation"], t["evidence"], t["entity"], t["relation_type"]))
         case "audit-dictionaries":
             return verdict(audit.audit_dictionary(get("input")))
         case "build-load-files":
@@ -101,12 +107,20 @@ def run(a: argparse.Namespace, spark: SparkSession) -> int:  # noqa: C901
         case "document-ingest":
             bundle = ingest(spark, a.input, a.output, client, dictionary.alias_index(get("second"), "entity_id"), get("third"))
             return verdict(audit.audit_graph(bundle.relations, bundle.evidence, bundle.entities, bundle.relation_types))
-        case "search-query" | "search-cross-document-qa":
+        case "search-query" | "search-cross-document-qa" | "search-web":
             t = {n: load(spark, f"{a.input}/{n}.parquet") for n in ("entity", "relation", "relation_type", "evidence", "semantic_units", "source_document")}
             edges = paths.with_type_names(t["relation"], t["relation_type"])
             store = GraphStore(t["entity"].select("entity_id", "canonical_name").distinct(), edges, t["evidence"], t["semantic_units"], t["source_document"])
             bounds = paths.SearchBounds(a.hops)
-            if a.command == "search-query":
+            if a.command == "search-web":
+
+                def answer(question: str) -> dict:
+                    result = search(spark, store, question, bounds)
+                    text, cited = grounded_answer(result)
+                    return {"answer": text, "evidence": cited, "paths": [r.asDict() for r in result["paths"].orderBy("rank").collect()]}
+
+                make_server(answer, port=a.port).serve_forever()
+            elif a.command == "search-query":
                 print(grounded_answer(search(spark, store, a.query, bounds))[0])
             else:
                 chosen = paths.select_questions(paths.cross_document_candidates(edges, t["evidence"]), a.count)
@@ -141,9 +155,10 @@ def parser() -> argparse.ArgumentParser:
     for name in ("align-svo", "normalize", "seed-entity-map", "refresh-relations"):
         add(name, True)
     add("cluster-entities", True).add_argument("--overrides")
-    for name in ("audit-context", "audit-svo"):
+    for name in ("audit-context", "audit-svo", "audit-candidates"):
         add(name, True, output=False)
-    add("audit-dictionaries", output=False)
+    for name in ("audit-dictionaries", "audit"):
+        add(name, output=False)
     for name in ("resolve-context", "normalize-relation-surfaces", "renormalize-entities", "classify-entity-types"):
         add(name, model=True)
     add("compress-relations", True, True)
@@ -158,11 +173,12 @@ def parser() -> argparse.ArgumentParser:
     c = add("build-load-files")
     c.add_argument("--tables", nargs="+", default=list(sinks.RDB_TABLES))
     add("document-ingest", True, True).add_argument("--third", required=True)
-    for name in ("search-query", "search-cross-document-qa"):
+    for name in ("search-query", "search-cross-document-qa", "search-web"):
         c = add(name, output=False)
         c.add_argument("--hops", type=int, default=3)
         c.add_argument("--query", required=name == "search-query")
         c.add_argument("--count", type=int, default=10)
+        c.add_argument("--port", type=int, default=8765)
     return p
 
 

@@ -120,6 +120,32 @@ def audit_contexts(units: DataFrame, resolved: DataFrame) -> DataFrame:
     )
 
 
+def audit_surface_lists(listed: DataFrame, ends: DataFrame) -> DataFrame:
+    """A surface list (name, mention_count, semantic_unit_id) against the endpoints it was made of: every name once, with its
+    number of mentions and a unit that holds it."""
+    e = ends.filter(F.col("name").isNotNull())
+    own = e.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    j = listed.select("name", "mention_count").join(own, "name")
+    held = listed.select("name", "semantic_unit_id").join(e.select("name", "semantic_unit_id").distinct(), ["name", "semantic_unit_id"], "left_anti")
+    return side_by_side(
+        missing=missing_and_extra(own, listed, "name").select("missing"), extra=missing_and_extra(own, listed, "name").select("extra"),
+        doubled=count(doubled(listed, "name")), wrong_counts=j.agg(F.count_if(F.col("mention_count") != F.col("n"))), foreign_evidence=count(held),
+    )
+
+
+def audit_closed_dictionary(closed: DataFrame, source: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """A closed relation dictionary against its sources and taxonomy: names of the taxonomy only, ids recomputed, unique, all
+    mentions kept."""
+    names = taxonomy.select(F.explode(F.array("positive_name", "negative_name")).alias("canonical_name")).distinct()
+    kept = mentions_preserved(source, closed)
+    return side_by_side(
+        outside_taxonomy=count(closed.join(names, "canonical_name", "left_anti")),
+        wrong_ids=closed.agg(F.count_if(F.col("relation_type_id") != stable_id("relation_type", F.col("canonical_name")))),
+        doubled_ids=count(doubled(closed, "relation_type_id")),
+        lost_mentions=kept.select((F.coalesce("n_before", F.lit(0)) - F.coalesce("n_after", F.lit(0))).alias("n")),
+    )
+
+
 def audit_types(entities: DataFrame) -> DataFrame:
     """Every entity type with its number of entities, types without any as 0, unknown and null ones as UNKNOWN."""
     spark = entities.sparkSession
@@ -136,4 +162,4 @@ def mentions_preserved(before: DataFrame, after: DataFrame, column: str = "menti
     return out.withColumn("passed", F.col("n_before").eqNullSafe(F.col("n_after")))
 
 
-__all__ = ["audit_contexts", "audit_dictionary", "audit_graph", "audit_raw", "audit_types", "coverage", "mentions_preserved", "missing_and_extra", "raw_quality"]
+__all__ = ["audit_closed_dictionary", "audit_contexts", "audit_dictionary", "audit_graph", "audit_raw", "audit_surface_lists", "audit_types", "coverage", "mentions_preserved", "missing_and_extra", "raw_quality"]

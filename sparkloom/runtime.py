@@ -63,7 +63,9 @@ def shared_dir(spark: SparkSession) -> str:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return str(current.get())
-        named = "file://" + tempfile.mkdtemp(prefix="sparkloom-")
+        folder = tempfile.mkdtemp(prefix="sparkloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        named = "file://" + folder
         spark.sparkContext.setCheckpointDir(named)
     elif not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(named)

@@ -106,6 +106,22 @@ def test_audits_fail_where_they_should(spark):
     assert r.empty_texts == 1 and not r.passed and audit.audit_contexts(u.limit(1), u.limit(1)).first().passed
 
 
+def test_audits_of_lists_and_closed_dictionaries(spark):
+    ends = endpoints(mentions(raw(spark, UNITS)))
+    listed = dictionary.surface_lists(ends)
+    assert audit.audit_surface_lists(listed, ends).first().passed
+    r = audit.audit_surface_lists(listed.withColumn("mention_count", F.lit(99)).filter("name <> 'x'").withColumn("semantic_unit_id", F.lit("u9")), ends).first()
+    assert r.missing == 1 and r.wrong_counts == r.foreign_evidence == listed.count() - 1 and not r.passed
+    tax = spark.createDataFrame([("R1", "하다", "하지 않다")], "family_id string, positive_name string, negative_name string")
+    src = spark.createDataFrame([("한다", "POSITIVE", 3), ("한다아", "POSITIVE", 2), ("않다", "NEGATIVE", 1)], "canonical_name string, polarity string, mention_count long")
+    mp = src.select(F.col("canonical_name").alias("source_canonical_name"), F.col("polarity").alias("source_polarity"), F.lit("R1").alias("family_id"))
+    closed = dictionary.closed_relation_dictionary(src, mp, tax)
+    assert audit.audit_closed_dictionary(closed, src, tax).first().passed
+    assert dictionary.unmapped_relations(src, mp.limit(2)).count() == 1
+    r = audit.audit_closed_dictionary(dictionary.closed_relation_dictionary(src, mp.limit(2), tax), src, tax).first()
+    assert r.lost_mentions > 0 and not r.passed
+
+
 EDGES = "relation_id string, source_entity_id string, source_name string, relation_type_id string, relation_type_name string, target_entity_id string, target_name string, evidence_count long"
 
 

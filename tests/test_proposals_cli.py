@@ -110,5 +110,8 @@ def test_command_line(spark, tmp_path, capsys):
     sf = "/root/testdata/sf0.001"
     assert main(["audit-svo", "--input", f"{sf}/semantic_units.parquet", "--second", f"{sf}/raw_svo.parquet"]) == 1
     assert json.loads(capsys.readouterr().out.splitlines()[-1])["units_without_record"] >= 0
+    assert main(["audit", "--input", sf]) == 1
+    assert main(["surface-lists", "--input", f"{sf}/raw_svo.parquet", "--output", str(tmp_path / "l.parquet")]) == 0
+    assert main(["audit-candidates", "--input", str(tmp_path / "l.parquet"), "--second", f"{sf}/raw_svo.parquet"]) == 0
     assert main(["search-query", "--input", sf, "--query", "보건의료운영준칙", "--hops", "1"]) == 0
     assert re.search(r"^1\. ", capsys.readouterr().out, re.M)
