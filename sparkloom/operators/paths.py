@@ -91,21 +91,25 @@ class SearchTrace:
 STATE = "entity_ids array<string>, entity_names array<string>, relation_ids array<string>, type_names array<string>, score double"
 
 
-def find_paths(seeds: DataFrame, edges: DataFrame, query: str, bounds: SearchBounds, relation_scores: DataFrame | None = None, trace: SearchTrace | None = None) -> DataFrame:
+def find_paths(seeds: DataFrame | list, edges: DataFrame, query: str, bounds: SearchBounds, relation_scores: DataFrame | dict[str, float] | None = None, trace: SearchTrace | None = None) -> DataFrame:
     """All generated simple paths: (entity_ids, entity_names, relation_ids, type_names, hops, score).
 
-    seeds: entity_id, name, score (1 at most). Each hop expands the beam's end entities within the bounds, ranks the
+    seeds: rows (entity_id, name, score), score 1 at most; relation_scores: relation_id -> score of preferred relations
+    (rows relation_id, rscore). Each hop expands the beam's end entities within the bounds, ranks the
     edges at every state by relevance, and continues with the ``beam`` best states; all paths stay eligible for the
     ranking. At most ``beam`` states, MAX_EDGES edges and beam * per_entity paths of a hop pass through the driver, whatever
     the size of the graph; that cuts lineage between hops."""
     spark = edges.sparkSession
-    rel = relation_scores if relation_scores is not None else spark.createDataFrame([], "relation_id string, rscore double")
-    preferred = [r[0] for r in rel.orderBy(F.desc("rscore"), "relation_id").select("relation_id").limit(MAX_EDGES).collect()]
-    states = seeds.orderBy(F.desc("score"), "entity_id").limit(bounds.beam).select(
-        F.array("entity_id").alias("entity_ids"), F.array("name").alias("entity_names"), F.array().cast("array<string>").alias("relation_ids"),
-        F.array().cast("array<string>").alias("type_names"), F.col("score").cast("double").alias("score"))
-    generations = []
-    kept = [tuple(r) for r in states.collect()]
+    if isinstance(relation_scores, DataFrame):
+        relation_scores = {r["relation_id"]: r["rscore"] for r in relation_scores.orderBy(F.desc("rscore"), "relation_id").limit(MAX_EDGES).collect()}
+    scores = relation_scores or {}
+    preferred = sorted(scores, key=lambda r: (-scores[r], r))[:MAX_EDGES]
+    rel = spark.createDataFrame([(r, float(scores[r])) for r in preferred], "relation_id string, rscore double")
+    if isinstance(seeds, DataFrame):
+        seeds = [(r["entity_id"], r["name"], r["score"]) for r in seeds.orderBy(F.desc("score"), "entity_id").limit(bounds.beam).collect()]
+    first = sorted(seeds, key=lambda x: (-x[2], x[0]))[: bounds.beam]
+    kept = [([e], [n], [], [], float(s)) for e, n, s in first]
+    generations: list[tuple] = []
     for hop in range(1, bounds.hops + 1):
         by_end = sorted({s[0][-1] for s in kept})
         if not by_end:

@@ -54,13 +54,13 @@ def search(spark: SparkSession, store: GraphStore, question: str, bounds: paths.
         (F.lit(1.0) / (F.lit(retrieval.RRF) + F.col("rank"))).alias("score"), F.col("rank").alias("ord"))
     # candidate lists are of bounded length; they are kept as rows to cut lineage before the hops
     entities = spark.createDataFrame(entities.collect(), "entity_id string, name string, score double, rank long")
-    rel = spark.createDataFrame(rel.collect(), "relation_id string, source_entity_id string, source_name string, target_entity_id string, target_name string, score double, ord long")
-    seeds = retrieval.merge_seeds(entities, rel)
-    most = seeds.agg(F.max("score")).first()[0] or 1.0
-    seeds = seeds.select("entity_id", "name", (F.col("score") / F.lit(most)).alias("score"))
-    top_rel = rel.agg(F.max("score")).first()[0] or 1.0
-    rscores = rel.select("relation_id", (F.col("score") / F.lit(top_rel)).alias("rscore"))
-    found = paths.score_paths(paths.find_paths(seeds, store.edges, question, bounds, rscores), question)
+    rel_rows = rel.collect()
+    rel = spark.createDataFrame(rel_rows, "relation_id string, source_entity_id string, source_name string, target_entity_id string, target_name string, score double, ord long")
+    seeds = [(r["entity_id"], r["name"], r["score"]) for r in retrieval.merge_seeds(entities, rel).collect()]
+    most = max((x[2] for x in seeds), default=1.0) or 1.0
+    top_rel = max((r["score"] for r in rel_rows), default=1.0) or 1.0
+    made = paths.find_paths([(e, n, x / most) for e, n, x in seeds], store.edges, question, bounds, {r["relation_id"]: r["score"] / top_rel for r in rel_rows})
+    found = paths.score_paths(made, question)
     pool = paths.reserve_preferred(found, rel.select("relation_id", "ord"), bounds.paths * 3)
     used = pool.select(F.explode("relation_ids").alias("relation_id")).distinct()
     attached = paths.attach_evidence(used, store.evidence, store.units, store.documents, bounds.evidence)
