@@ -208,3 +208,24 @@ def merge_first_wins(shards: list[DataFrame], key: str, order: list[str]) -> Dat
         out = part if out is None else out.unionByName(part)
     rest = [c for c in out.columns if c not in (key, "_shard")]
     return out.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct("_shard", *order)).alias("r")).select(key, "r.*")
+
+
+def merge_last_wins(older: DataFrame, newer: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Union of two tables of equal columns, the newer row of a key kept; within one table the last in ``order``."""
+    both = older.withColumn("_newer", F.lit(0)).unionByName(newer.withColumn("_newer", F.lit(1))).filter(F.col(key).isNotNull())
+    rest = [c for c in both.columns if c not in (key, "_newer")]
+    return both.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct("_newer", *order)).alias("r")).select(key, "r.*")
+
+
+def evidence_samples(ends: DataFrame, units: DataFrame, limit: int = 3, excerpt: int = 500) -> DataFrame:
+    """(name, samples): excerpts of the first ``limit`` distinct units of each name, as context for a model's prompt.
+
+    ends: name, semantic_unit_id, document_id, unit_seq, rel_ord, end_ord. The texts are joined for the chosen units only."""
+    e = ends.filter(F.col("name").isNotNull())
+    picked = samples_by_name(e, "name", "semantic_unit_id", ["semantic_unit_id"], ["unit_seq", "rel_ord", "end_ord"], limit)
+    rows = picked.select("name", F.posexplode("samples").alias("i", "s")).select("name", "i", "s.semantic_unit_id")
+    text = units.groupBy("semantic_unit_id").agg(F.max(F.struct("unit_text", "context_text")).alias("t"))
+    j = rows.join(text, "semantic_unit_id", "left")
+    cut = lambda c: F.substring(F.coalesce(c, F.lit("")), 1, excerpt)
+    one = F.struct("i", "semantic_unit_id", cut(F.col("t.context_text")).alias("context_text"), cut(F.col("t.unit_text")).alias("unit_text"))
+    return j.groupBy("name").agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: x.dropFields("i")).alias("samples"))

@@ -170,3 +170,28 @@ def write_search(result: dict[str, DataFrame], question: str, answer: str, nodes
     put("graph.json", {"nodes": rows(nodes, "id"), "edges": rows(edges, "relation_id")})
     (base / "answer.md").write_text(f"# {question}\n\n{answer}\n", encoding="utf-8")
     return write_manifest(folder, {"question": question})
+
+
+def verify_manifest(folder: str) -> list[str]:
+    """What differs between a folder on the driver's disk and its manifest: missing, changed and unlisted files."""
+    base = Path(folder)
+    listed = {f["path"]: f for f in json.loads((base / "manifest.json").read_text(encoding="utf-8"))["files"]}
+    there = {p.relative_to(base).as_posix(): p for p in base.rglob("*") if p.is_file() and p.name != "manifest.json" and not p.name.startswith((".", "_"))}
+    out = [f"missing {n}" for n in listed if n not in there] + [f"unlisted {n}" for n in there if n not in listed]
+    out += [f"changed {n}" for n in listed if n in there and hashlib.sha256(there[n].read_bytes()).hexdigest().upper() != listed[n]["sha256"]]
+    return sorted(out)
+
+
+def publish(root: str, version: str) -> str:
+    """Makes a written version the current one by replacing the pointer file in one step; the folder it names."""
+    target = Path(root, version)
+    if differences := verify_manifest(str(target)):
+        raise ValueError(f"version {version} differs from its manifest: {differences[:5]}")
+    new = Path(root, ".current.new")
+    new.write_text(version, encoding="utf-8")
+    new.replace(Path(root, "current"))
+    return str(target)
+
+
+def current(root: str) -> str:
+    return str(Path(root, Path(root, "current").read_text(encoding="utf-8").strip()))

@@ -276,6 +276,30 @@ def test_readers_and_sinks(spark, tmp_path):
         readers.read_overrides(spark, str(tmp_path / "o.jsonl"))
 
 
+def test_published_versions(tmp_path):
+    for v in ("v1", "v2"):
+        (tmp_path / v).mkdir()
+        (tmp_path / v / "a.txt").write_text(v)
+        sinks.write_manifest(str(tmp_path / v))
+    assert sinks.publish(str(tmp_path), "v1") == sinks.current(str(tmp_path))
+    (tmp_path / "v2/a.txt").write_text("changed")
+    (tmp_path / "v2/b.txt").write_text("new")
+    assert sinks.verify_manifest(str(tmp_path / "v2")) == ["changed a.txt", "unlisted b.txt"]
+    with pytest.raises(ValueError):
+        sinks.publish(str(tmp_path), "v2")
+    assert sinks.current(str(tmp_path)).endswith("v1")
+
+
+def test_merging_and_evidence_samples(spark):
+    a = spark.createDataFrame([("k", 1, 1), ("k", 2, 2), ("l", 5, 1)], "k string, v int, seq int")
+    b = spark.createDataFrame([("k", 9, 0), (None, 1, 1)], a.schema)
+    assert sorted((r.k, r.v) for r in dictionary.merge_last_wins(a, b, "k", ["seq"]).collect()) == [("k", 9), ("l", 5)]
+    ends = endpoints(mentions(raw(spark, [[("가", "p", "나")]] * 5)))
+    units = spark.createDataFrame([(f"u{i}", f"본문 {i} " * 300, None) for i in range(4)], "semantic_unit_id string, unit_text string, context_text string")
+    got = {r["name"]: r.samples for r in dictionary.evidence_samples(ends, units, 2).collect()}
+    assert [(s.semantic_unit_id, len(s.unit_text), s.context_text) for s in got["가"]] == [("u0", 500, ""), ("u1", 500, "")]
+
+
 def test_clients(spark):
     units = spark.createDataFrame([("u1", "맥락", "본문", "paragraph"), ("u2", "맥락", "깨짐", "terminal_item"), ("u3", None, "오류", "terminal_item")], "semantic_unit_id string, context_text string, unit_text string, unit_kind string")
 
