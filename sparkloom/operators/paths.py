@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -83,6 +85,25 @@ class SearchBounds:
             raise ValueError("bounds must be positive")
 
 
+class TimeBudget:
+    """Shrinks limits as a deadline nears: to a half from 67 % of the time on, to a quarter from 84 % on, 1 at least."""
+
+    def __init__(self, seconds: float, clock: Callable[[], float] = time.monotonic):
+        self._clock, self.started, self.seconds = clock, clock(), seconds
+        self.notes: list[str] = []
+
+    def used(self) -> float:
+        return (self._clock() - self.started) / self.seconds if self.seconds else 1.0
+
+    def limit(self, base: int, label: str) -> int:
+        used = self.used()
+        value = max(1, int(base * (0.25 if used >= 0.84 else 0.5 if used >= 0.67 else 1.0)))
+        note = f"{label}:{base}->{value}"
+        if value < base and note not in self.notes:
+            self.notes.append(note)
+        return value
+
+
 @dataclass
 class SearchTrace:
     hops: list[dict] = field(default_factory=list)
@@ -91,15 +112,17 @@ class SearchTrace:
 STATE = "entity_ids array<string>, entity_names array<string>, relation_ids array<string>, type_names array<string>, score double"
 
 
-def find_paths(seeds: DataFrame | list, edges: DataFrame, query: str, bounds: SearchBounds, relation_scores: DataFrame | dict[str, float] | None = None, trace: SearchTrace | None = None) -> DataFrame:
+def find_paths(seeds: DataFrame | list, edges: DataFrame, query: str, bounds: SearchBounds, relation_scores: DataFrame | dict[str, float] | None = None, trace: SearchTrace | None = None, budget: TimeBudget | None = None) -> DataFrame:
     """All generated simple paths: (entity_ids, entity_names, relation_ids, type_names, hops, score).
 
     seeds: rows (entity_id, name, score), score 1 at most; relation_scores: relation_id -> score of preferred relations
     (rows relation_id, rscore). Each hop expands the beam's end entities within the bounds, ranks the
     edges at every state by relevance, and continues with the ``beam`` best states; all paths stay eligible for the
     ranking. At most ``beam`` states, MAX_EDGES edges and beam * per_entity paths of a hop pass through the driver, whatever
-    the size of the graph; that cuts lineage between hops."""
+    the size of the graph; that cuts lineage between hops. A ``budget`` shrinks the bounds as its time runs out and ends the
+    search between hops when none is left."""
     spark = edges.sparkSession
+    limit_by = budget.limit if budget else (lambda base, label: base)
     if isinstance(relation_scores, DataFrame):
         relation_scores = {r["relation_id"]: r["rscore"] for r in relation_scores.orderBy(F.desc("rscore"), "relation_id").limit(MAX_EDGES).collect()}
     scores = relation_scores or {}
@@ -112,11 +135,12 @@ def find_paths(seeds: DataFrame | list, edges: DataFrame, query: str, bounds: Se
     generations: list[tuple] = []
     for hop in range(1, bounds.hops + 1):
         by_end = sorted({s[0][-1] for s in kept})
-        if not by_end:
+        if not by_end or (budget and budget.used() >= 1):
             break
+        per_entity, beam = limit_by(bounds.per_entity, f"hop_{hop}_neighbors"), limit_by(bounds.beam, f"hop_{hop}_beam")
         frontier = spark.createDataFrame([(e,) for e in by_end], "cur string")
-        limit = max(1, min(MAX_EDGES, len(by_end) * bounds.per_entity * 2))
-        found = expand(frontier.withColumnRenamed("cur", "entity_id"), edges, bounds.per_entity, limit, preferred)
+        limit = max(1, min(MAX_EDGES, len(by_end) * per_entity * 2))
+        found = expand(frontier.withColumnRenamed("cur", "entity_id"), edges, per_entity, limit, preferred)
         found = found.join(F.broadcast(rel), "relation_id", "left").withColumn("rscore", F.coalesce("rscore", F.lit(0.0)))
         # a self-loop stands twice in its entity's adjacency, and is then passed over as a revisit
         end = F.explode(F.array(
@@ -125,7 +149,7 @@ def find_paths(seeds: DataFrame | list, edges: DataFrame, query: str, bounds: Se
         ends = found.select("*", end.alias("e")).select(*found.columns, "e.*").join(F.broadcast(frontier), "cur", "left_semi")
         ends = ends.withColumn("branching", F.count(F.lit(1)).over(W.partitionBy("cur")))
         ends = ends.withColumn("step", F.round(edge_relevance(query, F.col("branching"), F.col("cur"), F.col("rscore")), 9))
-        ends = ends.withColumn("rn", F.row_number().over(W.partitionBy("cur").orderBy(F.desc("step"), "relation_id", "other"))).filter(F.col("rn") <= bounds.per_entity)
+        ends = ends.withColumn("rn", F.row_number().over(W.partitionBy("cur").orderBy(F.desc("step"), "relation_id", "other"))).filter(F.col("rn") <= per_entity)
         # one job a hop; its rows are bounded by MAX_EDGES, and the paths made of them by beam * per_entity
         near: dict[str, list] = {}
         for r in ends.select("cur", "rn", "relation_id", "relation_type_name", "other", "name", "step").collect():
@@ -136,7 +160,7 @@ def find_paths(seeds: DataFrame | list, edges: DataFrame, query: str, bounds: Se
                 if r["other"] not in ids:
                     made.append(([*ids, r["other"]], [*names, r["name"]], [*rels, r["relation_id"]], [*types, r["relation_type_name"]], round(score + r["step"] / hop, 9)))
         generations += [(*m, hop) for m in made]
-        kept = sorted(made, key=lambda m: (-m[4], m[0], m[2]))[: bounds.beam]
+        kept = sorted(made, key=lambda m: (-m[4], m[0], m[2]))[:beam]
         if trace is not None:
             trace.hops.append({"hop": hop, "frontier_entities": len(by_end), "query_edge_limit": limit, "generated_paths": len(made), "retained_paths": len(kept)})
     return spark.createDataFrame(generations, STATE + ", hops int")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from pathlib import Path
@@ -33,7 +32,7 @@ class GraphStore:
 
 
 def search(spark: SparkSession, store: GraphStore, question: str, bounds: paths.SearchBounds, top: int = 8, top_relations: int = 20,
-           embedder: Callable[[], EmbeddingClient] | None = None) -> dict[str, DataFrame]:
+           embedder: Callable[[], EmbeddingClient] | None = None, budget: paths.TimeBudget | None = None) -> dict[str, DataFrame]:
     """Candidates, paths with evidence, and the evidence rows of one question.
 
     Keyword (and, with vectors and an embedder, vector) ranks are fused; relation candidates lend their endpoints as seeds; paths are
@@ -59,8 +58,10 @@ def search(spark: SparkSession, store: GraphStore, question: str, bounds: paths.
     seeds = [(r["entity_id"], r["name"], r["score"]) for r in retrieval.merge_seeds(entities, rel).collect()]
     most = max((x[2] for x in seeds), default=1.0) or 1.0
     top_rel = max((r["score"] for r in rel_rows), default=1.0) or 1.0
-    made = paths.find_paths([(e, n, x / most) for e, n, x in seeds], store.edges, question, bounds, {r["relation_id"]: r["score"] / top_rel for r in rel_rows})
+    made = paths.find_paths([(e, n, x / most) for e, n, x in seeds], store.edges, question, bounds, {r["relation_id"]: r["score"] / top_rel for r in rel_rows}, budget=budget)
     found = paths.score_paths(made, question)
+    if budget:
+        bounds = replace(bounds, paths=budget.limit(bounds.paths, "paths"), evidence=budget.limit(bounds.evidence, "evidence"))
     pool = paths.reserve_preferred(found, rel.select("relation_id", "ord"), bounds.paths * 3)
     used = pool.select(F.explode("relation_ids").alias("relation_id")).distinct()
     attached = paths.attach_evidence(used, store.evidence, store.units, store.documents, bounds.evidence)
@@ -96,29 +97,6 @@ def written_answer(spark: SparkSession, question: str, result: dict[str, DataFra
     return answer, "written"
 
 
-class TimeBudget:
-    """Shrinks limits as a deadline nears: to a half from 67 % of the time on, to a quarter from 84 % on, 1 at least."""
-
-    def __init__(self, seconds: float, clock: Callable[[], float] = time.monotonic):
-        self._clock, self.started, self.seconds = clock, clock(), seconds
-        self.notes: list[str] = []
-
-    def used(self) -> float:
-        return (self._clock() - self.started) / self.seconds if self.seconds else 1.0
-
-    def limit(self, base: int, label: str) -> int:
-        used = self.used()
-        value = max(1, int(base * (0.25 if used >= 0.84 else 0.5 if used >= 0.67 else 1.0)))
-        note = f"{label}:{base}->{value}"
-        if value < base and note not in self.notes:
-            self.notes.append(note)
-        return value
-
-
-def bounds_within(budget: TimeBudget, bounds: paths.SearchBounds) -> paths.SearchBounds:
-    return paths.SearchBounds(bounds.hops, budget.limit(bounds.per_entity, "per_entity"), budget.limit(bounds.beam, "beam"), budget.limit(bounds.paths, "paths"), budget.limit(bounds.evidence, "evidence"))
-
-
 def evaluate_question(question: dict, ranked: DataFrame) -> str | None:
     """How a search answers a discovered question: ``exact_relations``, ``same_entities_alternative_relations`` or not at all."""
     wanted = F.array(*[F.lit(x) for x in question["expected_relation_ids"]])

@@ -194,6 +194,15 @@ def test_beam_search_against_a_plain_walk(spark, seed):
     assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-6 for k in got)
 
 
+def test_a_spent_budget_ends_the_search(spark):
+    edges = spark.createDataFrame(random_edges(random.Random(3)), EDGES)
+    now = [0.0]
+    b = paths.TimeBudget(10, lambda: now[0])
+    assert paths.find_paths([("e0", "이름0", 1.0)], edges, "q", paths.SearchBounds(hops=1), budget=b).count() > 0
+    now[0] = 10
+    assert paths.find_paths([("e0", "이름0", 1.0)], edges, "q", paths.SearchBounds(hops=1), budget=b).count() == 0
+
+
 def store(spark):
     edges = [("r1", "a", "가람원", "t", "보낸다", "b", "나라청", 2), ("r2", "b", "나라청", "t", "받는다", "c", "다온원", 1), ("r3", "c", "다온원", "t", "알린다", "d", "라온청", 1)]
     ev = spark.createDataFrame([(f"m{i}", f"r{i}", f"u{i}", "s", "p", "o") for i in (1, 2, 3)] + [("m1", "r1", "u1", "s", "p", "o"), ("m9", "r1", None, "s", "p", "o")], "relation_mention_id string, relation_id string, semantic_unit_id string, raw_subject string, raw_predicate string, raw_object string")

@@ -8,7 +8,8 @@ from sparkloom.cli import main
 from sparkloom.clients import StubCompletion
 from sparkloom.functions.text import lexical_key
 from sparkloom.operators import proposals as P
-from sparkloom.pipeline import TimeBudget, evaluate_question
+from sparkloom.operators.paths import TimeBudget
+from sparkloom.pipeline import evaluate_question
 
 
 def payload(prompt):
