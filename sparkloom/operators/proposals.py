@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.clients import CompletionClient, complete
-from sparkloom.functions.text import GENERIC_NAMES, acceptable_canonical, guard_contextual, infer_polarity, needs_context, strip_fence, trim_all
+from sparkloom.functions.text import acceptable_canonical, guard_contextual, infer_polarity, needs_context, strip_fence, trim_all
 from sparkloom.functions.typing_rules import ENTITY_TYPES, guard_direction
 from sparkloom.sources.sinks import numbered
 
@@ -194,4 +194,4 @@ def slice_units(units: DataFrame, offset: int = 0, limit: int | None = None) ->
     return out.limit(limit) if limit is not None else out
 
 
-__all__ = ["GENERIC_NAMES", "ask", "batches", "closed_mapping", "contextual_mapping", "contextual_targets", "entity_mapping", "entity_types", "fallback_records", "forced_overrides", "merge_types", "rekey_by_name", "relation_mapping", "slice_units", "taxonomy"]
+__all__ = ["ask", "batches", "closed_mapping", "contextual_mapping", "contextual_targets", "entity_mapping", "entity_types", "fallback_records", "forced_overrides", "merge_types", "rekey_by_name", "relation_mapping", "slice_units", "taxonomy"]

@@ -1,4 +1,4 @@
-"""Session helpers: shared checkpoint folder, reads, size-checked broadcasts."""
+"""Session helpers: shared checkpoint folder, reads, shipping of the package."""
 
 from __future__ import annotations
 
@@ -11,10 +11,6 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: A side is broadcast only when it has at most this many rows, counted before the hint.
-BROADCAST_MAX_ROWS = 200_000
 
 
 def session(app: str = "sparkloom", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -89,12 +85,3 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = shared_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only after the row count was seen to be within the bound.
-
-    Beyond the bound the side is returned unhinted and the planner shuffles it."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
