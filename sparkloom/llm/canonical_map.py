@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators.skew import salted_join
 
-#: Entries of the list that one broadcast dictionary may hold (some 100 MB); a longer list is used in blocks.
+#: Entries of the list that one broadcast dictionary may hold (by estimate 100 MB); a longer list is used in blocks.
 ENTRIES_PER_BLOCK = {"name": 2_000, "verb": 300}
 # Endings of a Korean verb in -하다, positive and negated, without spaces.
 POSITIVE_ENDINGS = (

@@ -19,7 +19,7 @@ TERM = 20
 STRIDE = 8
 #: Passages of a document: windows that overlap so much that every run lies whole in one.
 WINDOW = 256
-#: Items of one block of a posting list, and letters of the items that one broadcast index may hold (some 50 MB).
+#: Items of one block of a posting list, and letters of the items that one broadcast index may hold (by estimate 50 MB).
 BLOCK = 16
 CHARS_PER_INDEX = 150_000
 K1, B = 1.2, 0.75
