@@ -22,6 +22,8 @@ VECTORS_PER_BLOCK = 1024
 QUERIES_PER_BLOCK = 512
 #: Boosts of a whole-name match, a term equal to the name and a term inside it.
 WHOLE, EQUAL, INSIDE = 8.0, 10.0, 2.0
+#: Boosts of the BM25 scores of a relation's names, of which the best counts.
+RELATION_FIELDS = {"source_name": 3.0, "target_name": 3.0, "relation_type_name": 2.0}
 _WORDS = r"[0-9A-Za-z가-힣]+"
 
 
@@ -29,8 +31,9 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_WORDS), F.lit(0))
 
 
-def bm25(docs: DataFrame, key: str, text: str, queries: DataFrame, top: int) -> DataFrame:
-    """(query_id, doc, score, rank): the ``top`` documents of each query by BM25 over lower-case words.
+def bm25(docs: DataFrame, key: str, text: str, queries: DataFrame, top: int | None) -> DataFrame:
+    """(query_id, doc, score, rank): the ``top`` documents of each query by BM25 over lower-case words; with None, every
+    document that holds a word, as (query_id, doc, score).
 
     queries: (query_id, text), used in blocks of bounded size. One pass counts how many documents hold each query word
     (combined in every task); in a second pass every task scores its documents against the block and keeps ``top`` a query,
@@ -60,11 +63,13 @@ def bm25(docs: DataFrame, key: str, text: str, queries: DataFrame, top: int) ->
         out = part if out is None else out.unionByName(part)
     if out is None:
         return empty
+    if top is None:
+        return out
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "doc"))
     return out.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= top)
 
 
-def _score_block(shared, top: int):
+def _score_block(shared, top: int | None):
     def run(batches):
         ids, at, weight, mean = shared.value
         for pdf in batches:
@@ -85,7 +90,7 @@ def _score_block(shared, top: int):
             for j, q in enumerate(ids):
                 col = scores[:, j]
                 hit = np.flatnonzero(col > 0)
-                if len(hit) > top:  # with all that tie at the last place
+                if top is not None and len(hit) > top:  # with all that tie at the last place
                     hit = hit[col[hit] >= np.partition(col[hit], len(hit) - top)[len(hit) - top]]
                 out.extend((q, docs[i], col[i]) for i in sorted(hit, key=lambda i: (-col[i], docs[i]))[:top])
             yield pd.DataFrame(out, columns=["query_id", "doc", "score"])
@@ -93,19 +98,42 @@ def _score_block(shared, top: int):
     return run
 
 
-def keyword_names(names: DataFrame, key: str, name: str, queries: DataFrame, top: int) -> DataFrame:
-    """(query_id, doc, score, rank) of names by boosts: the whole query equal to the name, a query term equal to it,
-    a query term inside it. Candidates come from shared two-character grams, so no name meets every query."""
-    n = names.filter(F.col(name).isNotNull()).select(F.col(key).alias("doc"), F.lower(F.col(name)).alias("name")).distinct()
+def _terms_inside(names: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query_id, doc, s) of every query term inside a name, with the boosts of INSIDE and EQUAL. names: doc, name in lower
+    case. Candidates come from shared two-character grams, so no name meets every query."""
     grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substr(c, i, F.lit(2))))
-    q = queries.select("query_id", F.lower("text").alias("q"), F.transform(query_terms(F.col("text")), F.lower).alias("terms"))
-    t = q.select("query_id", F.explode("terms").alias("term"))
+    t = queries.select("query_id", F.explode(F.transform(query_terms(F.col("text")), F.lower)).alias("term"))
     # a term inside a name shares the term's first gram with it
     tg = t.withColumn("g", F.substr("term", F.lit(1), F.lit(2)))
-    hit = n.withColumn("g", F.explode(grams(F.col("name")))).join(tg, "g").filter(F.col("name").contains(F.col("term")))
-    inside = hit.select("query_id", "doc", (F.lit(INSIDE) + F.when(F.col("name") == F.col("term"), EQUAL).otherwise(0.0)).alias("s"))
-    whole = n.join(q.select("query_id", F.col("q").alias("name")), "name").select("query_id", "doc", F.lit(WHOLE).alias("s"))
-    score = inside.unionByName(whole).groupBy("query_id", "doc").agg(F.sum("s").alias("score"))
+    hit = names.withColumn("g", F.explode(grams(F.col("name")))).join(tg, "g").filter(F.col("name").contains(F.col("term")))
+    return hit.select("query_id", "doc", (F.lit(INSIDE) + F.when(F.col("name") == F.col("term"), EQUAL).otherwise(0.0)).alias("s"))
+
+
+def keyword_names(names: DataFrame, key: str, name: str, queries: DataFrame, top: int) -> DataFrame:
+    """(query_id, doc, score, rank) of names by boosts: the whole query equal to the name, a query term equal to it,
+    a query term inside it."""
+    n = names.filter(F.col(name).isNotNull()).select(F.col(key).alias("doc"), F.lower(F.col(name)).alias("name")).distinct()
+    q = queries.select("query_id", F.lower("text").alias("name"))
+    whole = n.join(q, "name").select("query_id", "doc", F.lit(WHOLE).alias("s"))
+    score = _terms_inside(n, queries).unionByName(whole).groupBy("query_id", "doc").agg(F.sum("s").alias("score"))
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "doc"))
+    return score.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= top)
+
+
+def keyword_relations(edges: DataFrame, queries: DataFrame, top: int) -> DataFrame:
+    """(query_id, doc, score, rank) of relations: the best boosted BM25 score of the source, target and type name, and for
+    each of the three names the boosts of the query terms equal to it and inside it.
+
+    Terms have lost their particles, words of BM25 have not. Every relation is scored by both before the cut at ``top``.
+    Repeated edges count once; null names match nothing; ties go to the smaller id."""
+    ranked = None
+    for field, boost in RELATION_FIELDS.items():
+        part = bm25(edges, "relation_id", field, queries, None).select("query_id", "doc", (F.col("score") * boost).alias("s"))
+        ranked = part if ranked is None else ranked.unionByName(part)
+    best = ranked.groupBy("query_id", "doc").agg(F.max("s").alias("s"))
+    fields = F.array(*[F.struct(F.lit(i).alias("i"), F.lower(F.col(c)).alias("name")) for i, c in enumerate(RELATION_FIELDS)])
+    names = edges.select(F.col("relation_id").alias("doc"), F.explode(fields).alias("f")).select("doc", "f.i", "f.name").filter(F.col("doc").isNotNull() & F.col("name").isNotNull()).distinct()
+    score = best.unionByName(_terms_inside(names, queries)).groupBy("query_id", "doc").agg(F.round(F.sum("s"), 6).alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "doc"))
     return score.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= top)
 

@@ -35,8 +35,8 @@ def search(spark: SparkSession, store: GraphStore, question: str, bounds: paths.
            embedder: Callable[[], EmbeddingClient] | None = None, budget: paths.TimeBudget | None = None) -> dict[str, DataFrame]:
     """Candidates, paths with evidence, and the evidence rows of one question.
 
-    Keyword (and, with vectors and an embedder, vector) ranks are fused; relation candidates lend their endpoints as seeds; paths are
-    generated within the bounds; evidence is joined for the pool of paths only."""
+    Keyword (and, with vectors and an embedder, vector) ranks of entities are fused; relation candidates, found by the words and the
+    terms without particles of the question, lend their endpoints as seeds; paths are generated within the bounds; evidence is joined for the pool of paths only."""
     q = spark.createDataFrame([(0, question.strip())], "query_id long, text string")
     store = replace(store, edges=store.edges.persist())  # read by every hop; lost parts are computed anew
     ranked = {"keyword": retrieval.keyword_names(store.entities, "entity_id", "canonical_name", q, top * 2)}
@@ -46,8 +46,7 @@ def search(spark: SparkSession, store: GraphStore, question: str, bounds: paths.
     fused = retrieval.fuse(ranked, top)
     names = store.entities.select(F.col("entity_id").alias("doc"), F.col("canonical_name").alias("name"))
     entities = fused.join(names, "doc").select(F.col("doc").alias("entity_id"), "name", "score", "rank")
-    text = F.concat_ws(" ", "source_name", "relation_type_name", "target_name")
-    rel = retrieval.bm25(store.edges.withColumn("_t", text), "relation_id", "_t", q, top_relations)
+    rel = retrieval.keyword_relations(store.edges, q, top_relations)
     rel = rel.join(store.edges.withColumnRenamed("relation_id", "doc"), "doc").select(
         F.col("doc").alias("relation_id"), "source_entity_id", "source_name", "target_entity_id", "target_name",
         (F.lit(1.0) / (F.lit(retrieval.RRF) + F.col("rank"))).alias("score"), F.col("rank").alias("ord"))

@@ -2,6 +2,7 @@ import collections
 import json
 import math
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -252,6 +253,24 @@ def test_bm25_and_neighbours(spark):
     assert [r[0] for r in v.select(retrieval.normalise(F.col("v"))).collect()][:2] == [[1.0, 0.0], None]
 
 
+def test_questions_with_particles_find_relations(spark):
+    s = store(spark)
+    edges = s.edges.unionByName(s.edges.limit(1))
+    q = spark.createDataFrame([(1, "가람원은 다온원과 어떻게 연결되는가?"), (2, "나라청 받는다"), (3, "없음")], "query_id long, text string")
+    got = {(r.query_id, r.doc): (r.score, r["rank"]) for r in retrieval.keyword_relations(edges, q, 9).collect()}
+    # no word of the first question is a name; every name is a term of it
+    assert {k: v for k, v in got.items() if k[0] == 1} == {(1, "r1"): (12.0, 1), (1, "r2"): (12.0, 2), (1, "r3"): (12.0, 3)}
+    assert got[2, "r2"][1] == 1 and got[2, "r2"][0] > 24 > got[2, "r1"][0] > 12 and {k[1] for k in got if k[0] == 2} == {"r1", "r2"}
+    found = search(spark, replace(s, entity_vectors=None), "가람원은 라온청과 어떻게 연결되는가?", paths.SearchBounds())["relations"]
+    assert {r.relation_id for r in found.collect()} == {"r1", "r3"}
+
+
+def test_registered_question_yields_relation_candidates(spark):
+    from sparkloom.plans.graph_queries import QUESTION, run_search
+
+    assert run_search(spark, "/root/testdata/sf0.01", QUESTION, paths.SearchBounds(hops=1))["relations"].count() == 20
+
+
 def test_readers_and_sinks(spark, tmp_path):
     df = spark.createDataFrame([(2, 'b "q"\n줄', None), (1, "a", ["x"])], "id long, name string, tags array<string>")
     sinks.write_jsonl(df, str(tmp_path / "j"), ["name"])
