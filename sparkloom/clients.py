@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.functions.text import parse_relations
+from sparkloom.functions.text import parse_relations, resolution_type, strip_fence, trim_all
 from sparkloom.runtime import materialise
 
 
@@ -141,9 +141,16 @@ def extract_relations(units: DataFrame, factory: Callable[[], CompletionClient],
 
 
 def resolve_contexts(units: DataFrame, factory: Callable[[], CompletionClient]) -> DataFrame:
-    """resolved_text and resolution_type of units: paragraphs are copied without a call, leaf items are asked for."""
-    copied = units.filter(F.col("unit_kind") != "terminal_item").select("semantic_unit_id", F.col("unit_text").alias("resolved_text"), F.lit("COPIED").alias("resolution_type"))
-    items = units.filter(F.col("unit_kind") == "terminal_item")
+    """resolved_text and resolution_type of units: leaf items are asked for, all others (those of unknown kind too) are
+    copied without a call.
+
+    Repeated units count once. The type follows from the texts; an answer without a text leaves its unit UNRESOLVED."""
+    one = units.filter(F.col("semantic_unit_id").isNotNull()).groupBy("semantic_unit_id").agg(F.min(F.struct("unit_kind", "context_text", "unit_text")).alias("u")).select("semantic_unit_id", "u.*")
+    leaf = F.col("unit_kind").eqNullSafe("terminal_item")
+    copied = one.filter(~leaf).select("semantic_unit_id", F.col("unit_text").alias("resolved_text"), F.lit("COPIED").alias("resolution_type"))
+    items = one.filter(leaf)
     asked = complete(items.withColumn("_p", F.concat_ws("\n", "context_text", "unit_text")), "semantic_unit_id", "_p", factory, "contexts")
-    r = F.from_json("response", "STRUCT<resolved_text: STRING, resolution_type: STRING>")
-    return copied.unionByName(asked.select("semantic_unit_id", r["resolved_text"].alias("resolved_text"), F.coalesce(r["resolution_type"], F.lit("UNRESOLVED")).alias("resolution_type")))
+    text = F.nullif(trim_all(F.from_json(strip_fence(F.col("response")), "STRUCT<resolved_text: STRING>")["resolved_text"]), F.lit(""))
+    got = asked.select("semantic_unit_id", text.alias("resolved_text")).join(items.select("semantic_unit_id", "unit_text"), "semantic_unit_id")
+    kind = F.when(F.col("resolved_text").isNull(), "UNRESOLVED").otherwise(resolution_type(F.col("unit_text"), F.col("resolved_text")))
+    return copied.unionByName(got.select("semantic_unit_id", "resolved_text", kind.alias("resolution_type")))

@@ -346,6 +346,15 @@ def test_clients(spark):
         check_loopback("https://models.example/")
 
 
+def test_contexts_of_all_units_are_resolved(spark):
+    rows = [("u1", "c", "본문", None), ("u2", "c", "둘째", "terminal_item"), ("u2", "c", "둘째", "terminal_item"), ("u3", None, "셋째", "terminal_item"), ("u4", "c", "넷째", "terminal_item"), ("u5", "c", None, None)]
+    units = spark.createDataFrame(rows, "semantic_unit_id string, context_text string, unit_text string, unit_kind string")
+    answers = {"둘째": '```json\n{"resolved_text":" c 둘째 ","resolution_type":"COPIED"}\n```', "셋째": '{"resolved_text":"셋째"}', "넷째": '{"resolved_text":" ","resolution_type":"COPIED"}'}
+    got = resolve_contexts(units, lambda: StubCompletion(lambda p: answers[p[-2:]])).collect()
+    assert sorted((r.semantic_unit_id, r.resolved_text, r.resolution_type) for r in got) == [
+        ("u1", "본문", "COPIED"), ("u2", "c 둘째", "CONTEXT_INHERITED"), ("u3", "셋째", "COPIED"), ("u4", None, "UNRESOLVED"), ("u5", None, "COPIED")]
+
+
 def test_ingest(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.md").write_text("# 규정\n##### 제1조(목적)\n가람원은 보고서 및 장부를 제출한다.\n")
