@@ -65,7 +65,7 @@ def run(a: argparse.Namespace, spark: SparkSession) -> int:  # noqa: C901
         case "sanitize-svo":
             put(mentions.sanitize_records(get("input")))
         case "audit-svo":
-            return verdict(audit.audit_raw(get("input"), get("second")))
+            return verdict(audit.audit_raw_release(get("input"), get("second")))
         case "candidates":
             put(DictionaryBuild(get("input")).candidates()[0])
         case "surface-lists":
@@ -97,16 +97,16 @@ def run(a: argparse.Namespace, spark: SparkSession) -> int:  # noqa: C901
         case "audit-candidates":
             return verdict(audit.audit_surface_lists(get("input"), mentions.endpoints(mentions.mentions(get("second")))))
         case "audit":
-            t = {n: load(spark, f"{a.input}/{n}.parquet") for n in ("relation", "evidence", "entity", "relation_type")}
-            return verdict(audit.audit_graph(t["relation"], t["evidence"], t["entity"], t["relation_type"]))
+            return verdict(audit.audit_graph_release(*[load(spark, f"{a.input}/{n}.parquet") for n in ("relation", "evidence", "entity", "relation_type", "semantic_units", "source_document", "raw_svo")]))
         case "audit-dictionaries":
-            return verdict(audit.audit_dictionary(get("input")))
+            return verdict(audit.audit_dictionary_release(get("input"), get("second"), get("third"), a.expected_types))
         case "build-load-files":
             tables = {t: load(spark, f"{a.input}/{t}.parquet") for t in a.tables}
             print(json.dumps(sinks.write_rdb(tables, a.output)))
         case "document-ingest":
-            bundle = ingest(spark, a.input, a.output, client, dictionary.alias_index(get("second"), "entity_id"), get("third"))
-            return verdict(audit.audit_graph(bundle.relations, bundle.evidence, bundle.entities, bundle.relation_types))
+            units = segment(read_markdown(spark, a.input), "source_path", "text")
+            bundle = ingest(spark, a.input, a.output, client, dictionary.alias_index(get("second"), "entity_id"), get("third"), units=units)
+            return verdict(audit.audit_graph_release(bundle.relations, bundle.evidence, bundle.entities, bundle.relation_types, units, bundle.documents))
         case "search-query" | "search-cross-document-qa" | "search-web":
             t = {n: load(spark, f"{a.input}/{n}.parquet") for n in ("entity", "relation", "relation_type", "evidence", "semantic_units", "source_document")}
             edges = paths.with_type_names(t["relation"], t["relation_type"])
@@ -157,8 +157,10 @@ def parser() -> argparse.ArgumentParser:
     add("cluster-entities", True).add_argument("--overrides")
     for name in ("audit-context", "audit-svo", "audit-candidates"):
         add(name, True, output=False)
-    for name in ("audit-dictionaries", "audit"):
-        add(name, output=False)
+    add("audit", output=False)
+    c = add("audit-dictionaries", True, output=False)
+    c.add_argument("--third", required=True)
+    c.add_argument("--expected-types", type=int, default=98)
     for name in ("resolve-context", "normalize-relation-surfaces", "renormalize-entities", "classify-entity-types"):
         add(name, model=True)
     add("compress-relations", True, True)

@@ -25,6 +25,11 @@ LEADING_CONDITION = rf"(?U)\A(?:약\s*)?{QUANTITY}\s*(?:의\s*)?(.+)$"
 INLINE_CONDITION = rf"(?U)\s*(?:제\s*)?{QUANTITY}(?=\s|$|의|에|이|가|을|를|은|는)\s*(?:의\s*|(?:이|가|을|를|은|는)\s*)?"
 PURE_RANGE = rf"(?U)\A(?:{QUANTITY}\s*)?부터\s*{QUANTITY}\s*까지(?:의\s*(?:구분|범위))?\z"
 ENUMERATION = r"(?U)\s*(?:,|ㆍ|·)\s*|\s+(?:또는|및)\s+"
+# What a raw mention is warned of, a quantity anywhere, a citation as qualifier, an enumeration, and actions listed.
+NUMERIC_CONSTRAINT = r"(?U)\d[\d,]*(?:\.\d+)?\s*(?:억원|만원|천원|원|년|개월|일|시간|회|명|인|세|급|등급|촌|퍼센트|%)\s*(?:이상|이하|초과|미만|이내|간|동안)?|\d+\s*분의\s*\d+"
+LEGAL_QUALIFIER = r"(?U)(?:「[^」]+」|[가-힣A-Za-z0-9·ㆍ\s]+법)\s*(?:제\d+조(?:제\d+항)?)?\s*(?:에\s*)?(?:따른|따라)"
+LISTING = r"(?U)\s(?:및|또는|내지)\s|[ㆍ,]"
+LISTED_ACTIONS = "거나"
 LEGAL_SUFFIX = r"(?:법|법률|시행령|시행규칙|규정)$"
 EXPLICIT_ENUMERATION = r"(?U),|ㆍ|·|\s+(?:또는|및)\s+"
 QUALIFIED_PERSON = r"(?U)(?:경력이\s*있는|자격이\s*있는|재직한|근무한|담당한|종사한).*(?:사람|자)$"

@@ -421,7 +421,23 @@ def audit_raw(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def raw_quality(spark: SparkSession, d: str) -> DataFrame:
-    return audit.raw_quality(table(spark, d, "raw_svo"))
+    return audit.raw_quality(table(spark, d, "raw_svo"), table(spark, d, "semantic_units"))
+
+
+@query()
+def audit_raw_release(spark: SparkSession, d: str) -> DataFrame:
+    return audit.audit_raw_release(table(spark, d, "semantic_units"), table(spark, d, "raw_svo"))
+
+
+@query()
+def audit_dictionary_release(spark: SparkSession, d: str) -> DataFrame:
+    return audit.audit_dictionary_release(table(spark, d, "entity"), table(spark, d, "relation_type"), table(spark, d, "raw_svo"))
+
+
+@query()
+def audit_graph_release(spark: SparkSession, d: str) -> DataFrame:
+    t = [table(spark, d, n) for n in ("relation", "evidence", "entity", "relation_type", "semantic_units", "source_document", "raw_svo")]
+    return audit.audit_graph_release(*t)
 
 
 @query(f"""WITH {_ROWS}, x AS (SELECT

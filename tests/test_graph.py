@@ -123,6 +123,95 @@ def test_audits_of_lists_and_closed_dictionaries(spark):
     assert r.lost_mentions > 0 and not r.passed
 
 
+def release(spark):
+    """Tables of one document that pass every audit."""
+    ref = ("제1조", 1, [])
+    unit = "semantic_unit_id string, document_id string, document_title string, source_path string, source_ref " + REF + ", context_text string, unit_text string, unit_kind string, unit_seq long"
+    units = spark.createDataFrame([("u1", "d1", "문서", "p", ref, "c", "가람은 나무를 한다", "terminal_item", 0)], unit)
+    raw = units.select("semantic_unit_id", "document_id", "document_title", "source_path", "source_ref", "unit_kind", "unit_seq", F.array(F.struct(
+        stable_id("raw_svo_mention", F.lit("u1"), F.lit("가람"), F.lit("한다"), F.lit("나무")).alias("relation_mention_id"), F.lit("가람").alias("subject"), F.lit("한다").alias("predicate"), F.lit("나무").alias("object"))).alias("relations"))
+    alias = "aliases array<struct<name:string,mention_count:long,is_canonical:boolean>>"
+    ents = spark.createDataFrame([(n, "CONCEPT", 1, [(n, 1, True)]) for n in ("가람", "나무")], "canonical_name string, entity_type string, mention_count long, " + alias).withColumn("entity_id", stable_id("entity", F.col("canonical_name")))
+    types = spark.createDataFrame([("한다", "POSITIVE", 1, [("한다", 1, True)])], "canonical_name string, polarity string, mention_count long, " + alias).withColumn("relation_type_id", stable_id("relation_type", F.col("canonical_name")))
+    index = types.select(F.col("canonical_name").alias("name"), F.col("relation_type_id").alias("id"), "canonical_name")
+    b = graphmap.map_to_graph(mentions(raw), dictionary.alias_index(ents, "entity_id"), index, types)
+    return units, raw, ents, types, b
+
+
+def failing(row):
+    return {k for k, v in row.asDict().items() if v and k != "passed"}
+
+
+def changed(raw, **fields):
+    r = F.col("relations")[0]
+    for k, v in fields.items():
+        r = r.withField(k, F.lit(v))
+    return raw.withColumn("relations", F.array(r))
+
+
+def test_whole_raw_audit(spark):
+    units, raw, *_ = release(spark)
+    assert audit.audit_raw_release(units.unionByName(units), raw).first().passed
+    for bad, checks in (
+        (raw.withColumn("document_title", F.lit("x")), {"changed_sources"}), (raw.withColumn("unit_seq", F.lit(5).cast("long")), {"moved_records"}),
+        (raw.withColumn("relations", F.lit(None).cast(raw.schema["relations"].dataType)), {"records_without_list"}),
+        (changed(raw, object="물"), {"wrong_ids"}), (raw.withColumn("relations", F.concat("relations", "relations")), {"doubled_triples", "doubled_mentions"}),
+        (raw.unionByName(raw.withColumn("relations", F.slice("relations", 1, 0))), {"conflicting_records"}),
+    ):
+        row = audit.audit_raw_release(units, bad).first()
+        assert failing(row) == checks and not row.passed
+    assert failing(audit.audit_raw_release(units.unionByName(units.withColumn("unit_text", F.lit("z"))), raw).first()) == {"conflicting_units"}
+    counts = lambda r: {x["name"]: x.n for x in audit.raw_quality(r, units).collect() if x.n}
+    assert counts(raw) == {"n_mentions": 1}
+    assert counts(changed(raw, subject="환경법에 따른 각서", predicate="내거나 받는다", object="3년 이내, 사항")) == {
+        "n_mentions": 1, "n_legal_qualifiers": 1, "n_numeric_constraints": 1, "n_enumerations": 2, "n_context_only_relations": 1}
+    assert counts(changed(raw, object=" 사항 "))["n_generic_endpoints"] == 1
+
+
+def test_whole_dictionary_audit(spark):
+    _, raw, ents, types, _ = release(spark)
+    whole = lambda e=ents, t=types, r=raw, n=1: failing(audit.audit_dictionary_release(e, t, r, n).first())
+    assert whole() == set() and audit.audit_dictionary_release(ents, types, raw, 1).first().passed
+    one = lambda name: [(name, 1, True)]
+    other = spark.createDataFrame([("3년 이내", "CONCEPT", 1, one("3년 이내") + [("이 법", 1, False)])], "canonical_name string, entity_type string, mention_count long, aliases array<struct<name:string,mention_count:long,is_canonical:boolean>>").withColumn("entity_id", stable_id("entity", F.col("canonical_name")))
+    assert whole(e=ents.unionByName(other)) == {"numeric_names", "self_reference_aliases"}
+    assert whole(e=ents.withColumn("scope", F.lit("x"))) == {"scope_fields"}
+    assert whole(e=ents.unionByName(ents.withColumn("mention_count", F.lit(9).cast("long")))) == {"conflicting_ids"}
+    assert whole(r=changed(raw, subject="없음", predicate="모르다")) == {"unmapped_names", "unmapped_predicates"} and whole(n=98) == {"types_unexpected"}
+    assert whole(t=types.drop("aliases")) == {"types_not_led_by_canonical"}
+    assert whole(t=types.withColumn("relation_type_id", F.lit("x"))) == {"wrong_type_ids"}
+    assert whole(t=types.unionByName(types.withColumn("relation_type_id", F.lit("x"))), n=2) == {"wrong_type_ids", "doubled_type_names", "type_alias_conflicts"}
+    assert whole(t=types.unionByName(types.withColumn("mention_count", F.lit(9).cast("long")))) == {"conflicting_type_ids"}
+    many = spark.range(100).select(F.col("id").cast("string").alias("canonical_name"), F.lit("POSITIVE").alias("polarity"), F.lit(1).cast("long").alias("mention_count"))
+    many = many.withColumn("aliases", F.array(F.struct(F.col("canonical_name").alias("name"), F.lit(1).cast("long").alias("mention_count"), F.lit(True).alias("is_canonical")))).withColumn("relation_type_id", stable_id("relation_type", F.col("canonical_name")))
+    assert whole(t=types.unionByName(many), n=101) == {"types_too_many"}
+
+
+def test_whole_graph_audit(spark):
+    units, raw, _, _, b = release(spark)
+
+    def whole(relations=b.relations, evidence=b.evidence, entities=b.entities, types=b.relation_types, units=units, documents=b.documents, raw=raw):
+        return failing(audit.audit_graph_release(relations, evidence, entities, types, units, documents, raw).first())
+
+    no = F.lit(None).cast("string")
+    assert whole() == set() and whole(raw=None) == set()
+    assert whole(relations=b.relations.withColumn("target_entity_id", no)) == {"null_references"}
+    assert whole(relations=b.relations.unionByName(b.relations.withColumn("source_entity_id", F.col("target_entity_id")))) == {"conflicting_relations"}
+    assert whole(entities=b.entities.withColumn("entity_type", F.lit("X"))) == {"unknown_entity_types"}
+    assert whole(entities=b.entities.unionByName(b.entities.withColumn("canonical_name", F.lit("x")))) == {"conflicting_entities"}
+    assert whole(types=b.relation_types.unionByName(b.relation_types.withColumn("polarity", F.lit("NEGATIVE")))) == {"conflicting_types"}
+    assert whole(types=b.relation_types.withColumn("relation_type_id", F.lit("x"))) == {"malformed_type_ids", "type_orphans"}
+    assert whole(entities=b.entities.withColumn("entity_id", F.lit("x"))) >= {"malformed_entity_ids"}
+    assert whole(relations=b.relations.withColumn("relation_id", F.lit("x"))) >= {"malformed_relation_ids"}
+    assert whole(documents=b.documents.limit(0)) == {"units_without_document"} and whole(units=units.withColumn("unit_kind", no)) == {"units_without_source"}
+    assert whole(units=units.unionByName(units.withColumn("unit_text", F.lit("z")))) == {"conflicting_units"}
+    assert whole(evidence=b.evidence.withColumn("semantic_unit_id", no)) == {"evidence_without_unit"}
+    assert whole(evidence=b.evidence.withColumn("source_ref", F.col("source_ref").withField("article", F.lit("제9조")))) == {"misplaced_evidence"}
+    assert whole(evidence=b.evidence.withColumn("relation_mention_id", F.lit("x"))) == {"mentions_without_evidence", "evidence_without_mention"}
+    assert whole(raw=raw.limit(0)) == {"units_without_record", "evidence_without_mention"}
+    assert whole(raw=raw.unionByName(raw.withColumn("document_id", F.lit("d0")))) == {"conflicting_records"}
+
+
 EDGES = "relation_id string, source_entity_id string, source_name string, relation_type_id string, relation_type_name string, target_entity_id string, target_name string, evidence_count long"
 
 
