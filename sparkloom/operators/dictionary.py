@@ -102,24 +102,50 @@ def order_aliases(aliases: Column) -> Column:
     return F.transform(F.array_sort(key), lambda a: F.struct(a["name"].alias("name"), (-a["c"]).alias("mention_count"), (~a["k"]).alias("is_canonical")))
 
 
-def clustered_dictionary(entities: DataFrame, mapping: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
+def clustered_dictionary(entities: DataFrame, mapping: DataFrame, overrides: DataFrame | None = None, limit: int = SAMPLES) -> DataFrame:
     """Entities merged by canonical name.
 
-    entities: name, mention_count. mapping: source_name, canonical_name. overrides: alias, canonical_name; an
-    override beats the mapping, the mapping beats the name itself. Override aliases without mentions are added
-    with count 0 and belong to no other entity. Columns: entity_id, canonical_name, mention_count, aliases
-    (canonical first, always present)."""
-    src = entities.select("name", "mention_count").join(mapping.select(F.col("source_name").alias("name"), F.col("canonical_name").alias("m")), "name", "left")
+    entities: name (or canonical_name), mention_count and, where known, aliases and samples. mapping: source_name,
+    canonical_name. overrides: alias, canonical_name; an override beats the mapping, the mapping beats the name itself.
+    Aliases of a source move with it; its own name keeps what they leave of its mentions, 0 at least. Override aliases
+    without mentions are added with count 0 and belong to no other entity. Any other alias of several entities goes to the
+    one it is the canonical name of, else to that of the higher alias count, entity count and smaller name. An entity counts
+    all mentions of its sources, those of an alias it lost too. Columns: entity_id, canonical_name, mention_count, aliases
+    (canonical first, always present) and, where given, samples, ``limit`` at most, by source name and their own order."""
+    src = entities if "name" in entities.columns else entities.withColumnRenamed("canonical_name", "name")
+    extra = [c for c in ("aliases", "samples") if c in src.columns]
+    src = src.select("name", "mention_count", *extra).join(mapping.select(F.col("source_name").alias("name"), F.col("canonical_name").alias("m")), "name", "left")
     if overrides is not None:
         src = src.join(overrides.select(F.col("alias").alias("name"), F.col("canonical_name").alias("o")), "name", "left")
     else:
         src = src.withColumn("o", F.lit(None).cast("string"))
-    rows = src.select(F.coalesce("o", "m", "name").alias("canonical_name"), F.col("name").alias("alias"), "mention_count")
+    src = src.withColumn("canonical_name", F.coalesce("o", "m", "name"))
+    zero = F.lit(0).cast("long")
+    if "aliases" in extra:
+        told = F.aggregate(F.coalesce("aliases", F.array().cast(src.schema["aliases"].dataType)), zero, lambda n, x: n + F.coalesce(x["mention_count"], zero))
+        rows = src.select("canonical_name", F.col("name").alias("alias"), F.greatest(F.col("mention_count") - told, zero).alias("mention_count"))
+        moved = src.select("canonical_name", F.explode("aliases").alias("a")).select("canonical_name", F.trim("a.name").alias("alias"), F.coalesce("a.mention_count", zero).alias("mention_count"))
+        rows = rows.unionByName(moved.filter(F.col("alias") != ""))
+    else:
+        rows = src.select("canonical_name", F.col("name").alias("alias"), "mention_count")
+    totals = src.select("canonical_name", "mention_count")
     if overrides is not None:
-        rows = rows.unionByName(overrides.select("canonical_name", "alias", F.lit(0).cast("long").alias("mention_count")))
-    canon = rows.select("canonical_name", F.col("canonical_name").alias("alias"), F.lit(0).cast("long").alias("mention_count")).distinct()
-    per = rows.unionByName(canon).groupBy("canonical_name", "alias").agg(F.sum("mention_count").cast("long").alias("mention_count"))
-    return _merge_aliases(per, "entity", "entity_id")
+        own = overrides.select("alias", F.col("canonical_name").alias("o")).distinct()
+        rows = rows.join(own, "alias", "left").filter(F.col("o").isNull() | (F.col("o") == F.col("canonical_name"))).select("canonical_name", "alias", "mention_count")
+        rows = rows.unionByName(overrides.select("canonical_name", "alias", zero.alias("mention_count")))
+        totals = totals.unionByName(overrides.select("canonical_name", zero.alias("mention_count")))
+    totals = totals.groupBy("canonical_name").agg(F.sum("mention_count").cast("long").alias("total"))
+    canon = totals.select("canonical_name", F.col("canonical_name").alias("alias"), zero.alias("mention_count"))
+    per = rows.unionByName(canon).groupBy("canonical_name", "alias").agg(F.sum("mention_count").cast("long").alias("mention_count")).join(totals, "canonical_name")
+    claim = F.struct((F.col("canonical_name") != F.col("alias")).alias("a"), (-F.col("mention_count")).alias("b"), (-F.col("total")).alias("c"), F.col("canonical_name").alias("d"))
+    won = per.withColumn("w", F.min(claim).over(W.partitionBy("alias"))).filter(F.col("w.d") == F.col("canonical_name"))
+    out = _merge_aliases(won.select("canonical_name", "alias", "mention_count"), "entity", "entity_id").join(totals, "canonical_name")
+    out = out.select("entity_id", "canonical_name", F.col("total").alias("mention_count"), "aliases")
+    if "samples" not in extra:
+        return out
+    shown = samples_by_name(src.select("canonical_name", "name", F.posexplode("samples").alias("i", "s")), "canonical_name", "s", ["s"], ["name", "i"], limit)
+    none = F.array().cast(src.schema["samples"].dataType)
+    return out.join(shown, "canonical_name", "left").select(*out.columns, F.coalesce(F.transform("samples", lambda x: x["s"]), none).alias("samples"))
 
 
 def _merge_aliases(per: DataFrame, kind: str, id_col: str) -> DataFrame:

@@ -117,7 +117,11 @@ class DictionaryBuild:
         return dictionary.candidates(endpoints(self.mentions), "entity_candidate"), dictionary.candidates(p, "relation_type_candidate")
 
     def entities(self, mapping: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-        return dictionary.clustered_dictionary(self.candidates()[0].select("name", "mention_count"), mapping, overrides)
+        return dictionary.clustered_dictionary(self.candidates()[0].select("name", "mention_count", "samples"), mapping, overrides)
+
+    def renormalized(self, entities: DataFrame, mapping: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
+        """Second pass over a clustered dictionary. mapping: source_canonical_name, canonical_name."""
+        return dictionary.clustered_dictionary(entities, mapping.select(F.col("source_canonical_name").alias("source_name"), "canonical_name"), overrides)
 
     def relations(self, mapping: DataFrame, taxonomy: DataFrame) -> DataFrame:
         return dictionary.closed_relation_dictionary(dictionary.predicate_counts(self.mentions), mapping, taxonomy)

@@ -11,7 +11,7 @@ from sparkloom.clients import HashEmbedding, StubCompletion, check_loopback, emb
 from sparkloom.functions.ids import stable_id
 from sparkloom.operators import audit, dictionary, graphmap, paths, retrieval
 from sparkloom.operators.mentions import align, coverage, endpoints, mentions, sanitize_records
-from sparkloom.pipeline import GraphStore, grounded_answer, ingest, search, written_answer
+from sparkloom.pipeline import DictionaryBuild, GraphStore, grounded_answer, ingest, search, written_answer
 from sparkloom.sources import readers, sinks
 from sparkloom.streaming.ingest import ingest_stream
 
@@ -96,6 +96,23 @@ def test_clustering_keeps_mentions(spark):
     assert audit.mentions_preserved(names, d).first().passed
 
 
+def test_second_clustering_keeps_aliases(spark):
+    first = DictionaryBuild(raw(spark, [[("가", "p", "가가")], [("가가", "p", "나")], [("다", "p", "다다")]])).entities(
+        spark.createDataFrame([("가가", "가"), ("다다", "다")], "source_name string, canonical_name string"))
+    shown = lambda d: {r.canonical_name: (r.mention_count, [(a.name, a.mention_count) for a in r.aliases], [s.semantic_unit_id for s in r.samples]) for r in d.collect()}
+    assert shown(first) == {"가": (3, [("가", 1), ("가가", 2)], ["u0", "u1"]), "나": (1, [("나", 1)], ["u1"]), "다": (2, [("다", 1), ("다다", 1)], ["u2"])}
+    second = DictionaryBuild(raw(spark, [[]])).renormalized(first, spark.createDataFrame([("가", "라"), ("나", "라")], "source_canonical_name string, canonical_name string"))
+    assert shown(second) == {"라": (4, [("라", 0), ("가가", 2), ("가", 1), ("나", 1)], ["u0", "u1"]), "다": (2, [("다", 1), ("다다", 1)], ["u2"])}
+    assert audit.mentions_preserved(first, second).first().passed
+    # what the aliases leave, aliases of several entities, overrides
+    rows = [("가", 5, [("가", 1), ("공", 2), ("나", 9)]), ("나", 3, [("공", 3), ("새", 1)]), ("다", 1, [("공", 3)])]
+    e = spark.createDataFrame(rows, "name string, mention_count long, aliases array<struct<name:string,mention_count:long>>")
+    d = dictionary.clustered_dictionary(e, spark.createDataFrame([], "source_name string, canonical_name string"), spark.createDataFrame([("새", "다")], "alias string, canonical_name string"))
+    got = {r.canonical_name: (r.mention_count, [(a.name, a.mention_count) for a in r.aliases]) for r in d.collect()}
+    assert got == {"가": (5, [("가", 1)]), "나": (3, [("나", 0), ("공", 3)]), "다": (1, [("다", 0), ("새", 0)])}
+    assert not dictionary.alias_conflicts(d.withColumn("id", F.col("entity_id")), "id").count()
+
+
 def test_audits_fail_where_they_should(spark):
     ok = spark.createDataFrame([("가람", "CONCEPT", 1, [("가람", 1, True)])], "canonical_name string, entity_type string, mention_count long, aliases array<struct<name:string,mention_count:long,is_canonical:boolean>>").withColumn("entity_id", stable_id("entity", F.col("canonical_name")))
     assert audit.audit_dictionary(ok).first().passed
