@@ -156,23 +156,46 @@ def _merge_aliases(per: DataFrame, kind: str, id_col: str) -> DataFrame:
     return grouped.select(stable_id(kind, F.col("canonical_name")).alias(id_col), "canonical_name", "mention_count", order_aliases(F.col("aliases")).alias("aliases"))
 
 
-def closed_relation_dictionary(relations: DataFrame, mapping: DataFrame, taxonomy: DataFrame) -> DataFrame:
+class UnmappedSourceError(ValueError):
+    """Source relation types that the closed mapping leaves out."""
+
+
+def closed_relation_dictionary(relations: DataFrame, mapping: DataFrame, taxonomy: DataFrame, strict: bool = False) -> DataFrame:
     """Source relation types summed into the closed taxonomy.
 
-    relations: canonical_name, polarity, mention_count. mapping: source_canonical_name, source_polarity, family_id.
-    taxonomy: family_id, positive_name, negative_name. Sources without a mapping are in no family; see
-    ``unmapped_relations``. Both polarities of a name are told apart."""
+    relations: canonical_name, polarity, mention_count and, where known, aliases (else a source is its own only alias).
+    mapping: source_canonical_name, source_polarity, family_id. taxonomy: family_id, positive_name, negative_name. Sources
+    without a mapping into the taxonomy (``unmapped_relations``) are in no family; with ``strict`` they raise. Aliases are
+    merged by name, the canonical one first and always present. Both polarities of a name are told apart."""
+    if strict and (bad := unmapped_relations(relations, mapping, taxonomy).orderBy("canonical_name", "polarity").limit(5).collect()):
+        raise UnmappedSourceError(f"relation types without a family: {[(r['canonical_name'], r['polarity']) for r in bad]}")
     m = mapping.select(F.col("source_canonical_name").alias("canonical_name"), F.col("source_polarity").alias("polarity"), "family_id")
     j = relations.join(m, ["canonical_name", "polarity"]).join(taxonomy, "family_id")
     target = F.when(F.col("polarity") == "POSITIVE", F.col("positive_name")).otherwise(F.col("negative_name"))
-    return j.groupBy(target.alias("target_name"), "polarity", "family_id").agg(
-        F.sum("mention_count").cast("long").alias("mention_count"), F.count(F.lit(1)).alias("source_relation_type_count")
-    ).select(stable_id("relation_type", F.col("target_name")).alias("relation_type_id"), F.col("target_name").alias("canonical_name"), "polarity", "family_id", "mention_count", "source_relation_type_count")
-
-
-def unmapped_relations(relations: DataFrame, mapping: DataFrame) -> DataFrame:
-    m = mapping.select(F.col("source_canonical_name").alias("canonical_name"), F.col("source_polarity").alias("polarity")).distinct()
-    return relations.join(m, ["canonical_name", "polarity"], "left_anti")
+    j = j.withColumn("target_name", target)
+    key = ["target_name", "polarity", "family_id"]
+    totals = j.groupBy(*key).agg(F.sum("mention_count").cast("long").alias("mention_count"), F.count(F.lit(1)).alias("source_relation_type_count"))
+    if "aliases" in relations.columns:
+        named = j.select(*key, F.explode("aliases").alias("a")).select(*key, F.col("a.name").alias("name"), F.coalesce("a.mention_count", F.lit(0)).cast("long").alias("n"))
+        named = named.filter(trim_all(F.col("name")) != "")
+    else:
+        named = j.select(*key, F.col("canonical_name").alias("name"), F.col("mention_count").cast("long").alias("n"))
+    canon = totals.select(*key, F.col("target_name").alias("name"), F.lit(0).cast("long").alias("n"))
+    per = named.unionByName(canon).groupBy(*key, "name").agg(F.sum("n").cast("long").alias("n"))
+    # distinct surfaces of one type
+    aliases = per.groupBy(*key).agg(F.collect_list(F.struct("name", F.col("n").alias("mention_count"), (F.col("name") == F.col("target_name")).alias("is_canonical"))).alias("aliases"))
+    return totals.join(aliases, key).select(
+        stable_id("relation_type", F.col("target_name")).alias("relation_type_id"), F.col("target_name").alias("canonical_name"), "polarity", "family_id",
+        "mention_count", "source_relation_type_count", order_aliases(F.col("aliases")).alias("aliases"))
+
+
+def unmapped_relations(relations: DataFrame, mapping: DataFrame, taxonomy: DataFrame | None = None) -> DataFrame:
+    """Source relation types without a mapping or, with a taxonomy, without one into its families and a name there."""
+    m = mapping.select(F.col("source_canonical_name").alias("canonical_name"), F.col("source_polarity").alias("polarity"), "family_id").distinct()
+    if taxonomy is not None:
+        target = F.when(F.col("polarity") == "POSITIVE", F.col("positive_name")).otherwise(F.col("negative_name"))
+        m = m.join(taxonomy.select("family_id", "positive_name", "negative_name"), "family_id").filter(target.isNotNull())
+    return relations.join(m.select("canonical_name", "polarity").distinct(), ["canonical_name", "polarity"], "left_anti")
 
 
 def predicate_counts(m: DataFrame) -> DataFrame:

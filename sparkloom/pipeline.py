@@ -124,7 +124,8 @@ class DictionaryBuild:
         return dictionary.clustered_dictionary(entities, mapping.select(F.col("source_canonical_name").alias("source_name"), "canonical_name"), overrides)
 
     def relations(self, mapping: DataFrame, taxonomy: DataFrame) -> DataFrame:
-        return dictionary.closed_relation_dictionary(dictionary.predicate_counts(self.mentions), mapping, taxonomy)
+        """The closed dictionary; raises if a predicate has no family."""
+        return dictionary.closed_relation_dictionary(dictionary.predicate_counts(self.mentions), mapping, taxonomy, strict=True)
 
 
 def ingest(spark: SparkSession, source: str, target: str, factory: Callable[[], CompletionClient], entity_index: DataFrame, relation_dictionary: DataFrame,

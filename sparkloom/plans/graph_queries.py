@@ -232,7 +232,18 @@ SELECT {stable_id_sql('relation_type', 'canonical_name')} AS relation_type_id, c
 def closed_relation_rollup(spark: SparkSession, d: str) -> DataFrame:
     rt = table(spark, d, "relation_type")
     mapping = rt.select(F.col("canonical_name").alias("source_canonical_name"), F.col("polarity").alias("source_polarity"), "family_id").distinct()
-    return dictionary.closed_relation_dictionary(dictionary.predicate_counts(_mentions(spark, d)), mapping, _taxonomy(spark, d))
+    c = dictionary.closed_relation_dictionary(dictionary.predicate_counts(_mentions(spark, d)), mapping, _taxonomy(spark, d))
+    return c.select("relation_type_id", "canonical_name", "polarity", "family_id", "mention_count", "source_relation_type_count")
+
+
+@query(f"""WITH {_M}, p AS (SELECT predicate AS canonical_name, count(*)::BIGINT AS mention_count, CASE WHEN regexp_matches(predicate, '{T.NEGATIVE_CUE}') THEN 'NEGATIVE' ELSE 'POSITIVE' END AS polarity FROM m WHERE predicate IS NOT NULL GROUP BY predicate)
+SELECT canonical_name, polarity, mention_count FROM p WHERE NOT EXISTS (SELECT 1 FROM relation_type r WHERE r.canonical_name = p.canonical_name AND r.polarity = p.polarity AND EXISTS (
+  SELECT 1 FROM relation_type t WHERE t.family_id = r.family_id AND t.polarity = p.polarity))""")
+def closed_relation_unmapped(spark: SparkSession, d: str) -> DataFrame:
+    """Predicates that closed_relation_rollup leaves out, with their mentions."""
+    rt = table(spark, d, "relation_type")
+    mapping = rt.select(F.col("canonical_name").alias("source_canonical_name"), F.col("polarity").alias("source_polarity"), "family_id").distinct()
+    return dictionary.unmapped_relations(dictionary.predicate_counts(_mentions(spark, d)), mapping, _taxonomy(spark, d)).select("canonical_name", "polarity", "mention_count")
 
 
 @query(f"""WITH {_M}, k AS (SELECT canonical_name, polarity FROM relation_type WHERE polarity = CASE WHEN regexp_matches(canonical_name, '{T.NEGATIVE_CUE}') THEN 'NEGATIVE' ELSE 'POSITIVE' END)

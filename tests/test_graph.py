@@ -140,6 +140,24 @@ def test_audits_of_lists_and_closed_dictionaries(spark):
     assert r.lost_mentions > 0 and not r.passed
 
 
+def test_closed_dictionary_keeps_aliases(spark):
+    tax = spark.createDataFrame([("R1", "하다", "하지 않다"), ("R2", "되다", None)], "family_id string, positive_name string, negative_name string")
+    alias = "aliases array<struct<name:string,mention_count:long>>"
+    src = spark.createDataFrame([("한다", "POSITIVE", 3, [("한다", 2), ("함", 1)]), ("하다", "POSITIVE", 2, [("함", 2), (" ", 0)]), ("않다", "NEGATIVE", 1, None)], "canonical_name string, polarity string, mention_count long, " + alias)
+    mp = src.select(F.col("canonical_name").alias("source_canonical_name"), F.col("polarity").alias("source_polarity"), F.lit("R1").alias("family_id"))
+    closed = dictionary.closed_relation_dictionary(src, mp, tax, strict=True)
+    got = {r.canonical_name: (r.mention_count, r.source_relation_type_count, [tuple(a) for a in r.aliases]) for r in closed.collect()}
+    assert got == {"하다": (5, 2, [("하다", 0, True), ("함", 3, False), ("한다", 2, False)]), "하지 않다": (1, 1, [("하지 않다", 0, True)])}
+    assert {(r.alias, r.canonical_name, r.mention_count) for r in dictionary.direct_alias_map(closed, "relation_type_id", keep_zero=False).collect()} == {("함", "하다", 3), ("한다", "하다", 2)}
+    bare = {r.canonical_name: [(a.name, a.mention_count) for a in r.aliases] for r in dictionary.closed_relation_dictionary(src.drop("aliases"), mp, tax).collect()}
+    assert bare == {"하다": [("하다", 2), ("한다", 3)], "하지 않다": [("하지 않다", 0), ("않다", 1)]}
+    for lacking in (mp.filter("source_canonical_name <> '한다'"), mp.withColumn("family_id", F.lit("R9")), mp.withColumn("family_id", F.lit("R2"))):
+        with pytest.raises(dictionary.UnmappedSourceError):
+            dictionary.closed_relation_dictionary(src, lacking, tax, strict=True)
+    with pytest.raises(dictionary.UnmappedSourceError):
+        DictionaryBuild(raw(spark, UNITS)).relations(mp, tax)
+
+
 def release(spark):
     """Tables of one document that pass every audit."""
     ref = ("제1조", 1, [])
