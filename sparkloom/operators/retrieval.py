@@ -99,27 +99,36 @@ def _score_block(shared, top: int | None):
 
 
 def _terms_inside(names: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query_id, doc, s) of every query term inside a name, with the boosts of INSIDE and EQUAL. names: doc, name in lower
+    """(query_id, doc, name, s) of every query term inside a name, with the boosts of INSIDE and EQUAL. names: doc, name in lower
     case. Candidates come from shared two-character grams, so no name meets every query."""
     grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substr(c, i, F.lit(2))))
     t = queries.select("query_id", F.explode(F.transform(query_terms(F.col("text")), F.lower)).alias("term"))
     # a term inside a name shares the term's first gram with it
     tg = t.withColumn("g", F.substr("term", F.lit(1), F.lit(2)))
     hit = names.withColumn("g", F.explode(grams(F.col("name")))).join(tg, "g").filter(F.col("name").contains(F.col("term")))
-    return hit.select("query_id", "doc", (F.lit(INSIDE) + F.when(F.col("name") == F.col("term"), EQUAL).otherwise(0.0)).alias("s"))
+    return hit.select("query_id", "doc", "name", (F.lit(INSIDE) + F.when(F.col("name") == F.col("term"), EQUAL).otherwise(0.0)).alias("s"))
 
 
 def keyword_names(names: DataFrame, key: str, name: str, queries: DataFrame, top: int) -> DataFrame:
     """(query_id, doc, score, rank) of names by boosts: the whole query equal to the name, a query term equal to it,
-    a query term inside it."""
+    a query term inside it. Of several names of a key the best counts."""
     n = names.filter(F.col(name).isNotNull()).select(F.col(key).alias("doc"), F.lower(F.col(name)).alias("name")).distinct()
     q = queries.select("query_id", F.lower("text").alias("name"))
-    whole = n.join(q, "name").select("query_id", "doc", F.lit(WHOLE).alias("s"))
-    score = _terms_inside(n, queries).unionByName(whole).groupBy("query_id", "doc").agg(F.sum("s").alias("score"))
+    whole = n.join(q, "name").select("query_id", "doc", "name", F.lit(WHOLE).alias("s"))
+    each = _terms_inside(n, queries).unionByName(whole).groupBy("query_id", "doc", "name").agg(F.sum("s").alias("s"))
+    score = each.groupBy("query_id", "doc").agg(F.max("s").alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "doc"))
     return score.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= top)
 
 
+def entity_names(entities: DataFrame) -> DataFrame:
+    """(entity_id, name): the canonical name and, where there are aliases, each of them."""
+    canon = entities.select("entity_id", F.col("canonical_name").alias("name"))
+    if "aliases" not in entities.columns:
+        return canon
+    return canon.unionByName(entities.select("entity_id", F.explode("aliases").alias("a")).select("entity_id", F.col("a.name").alias("name")))
+
+
 def keyword_relations(edges: DataFrame, queries: DataFrame, top: int) -> DataFrame:
     """(query_id, doc, score, rank) of relations: the best boosted BM25 score of the source, target and type name, and for
     each of the three names the boosts of the query terms equal to it and inside it.
@@ -133,7 +142,7 @@ def keyword_relations(edges: DataFrame, queries: DataFrame, top: int) -> DataFra
     best = ranked.groupBy("query_id", "doc").agg(F.max("s").alias("s"))
     fields = F.array(*[F.struct(F.lit(i).alias("i"), F.lower(F.col(c)).alias("name")) for i, c in enumerate(RELATION_FIELDS)])
     names = edges.select(F.col("relation_id").alias("doc"), F.explode(fields).alias("f")).select("doc", "f.i", "f.name").filter(F.col("doc").isNotNull() & F.col("name").isNotNull()).distinct()
-    score = best.unionByName(_terms_inside(names, queries)).groupBy("query_id", "doc").agg(F.round(F.sum("s"), 6).alias("score"))
+    score = best.unionByName(_terms_inside(names, queries).drop("name")).groupBy("query_id", "doc").agg(F.round(F.sum("s"), 6).alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "doc"))
     return score.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= top)
 
@@ -155,10 +164,11 @@ def nearest(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: in
     spark = vectors.sparkSession
     rows = queries.select("query_id", F.col(vector).alias("v")).filter(F.col("v").isNotNull()).toLocalIterator()
     base = vectors.select(F.col(key).alias("doc"), F.col(vector).alias("v")).filter(F.col("v").isNotNull())
+    kind = base.schema["doc"].dataType.simpleString()
     out = None
     while block := list(itertools.islice(rows, VECTORS_PER_BLOCK)):
         shared = spark.sparkContext.broadcast(([r[0] for r in block], np.asarray([r[1] for r in block], dtype=np.float64)))
-        part = base.mapInPandas(_top_block(shared, k), "query_id long, doc long, score double")
+        part = base.mapInPandas(_top_block(shared, k), f"query_id long, doc {kind}, score double")
         out = part if out is None else out.unionByName(part)
     if out is None:
         return base.select(F.lit(None).cast("long").alias("query_id"), "doc", F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("rank")).limit(0)

@@ -29,27 +29,30 @@ class GraphStore:
     units: DataFrame
     documents: DataFrame
     entity_vectors: DataFrame | None = None
+    relation_vectors: DataFrame | None = None
 
 
 def search(spark: SparkSession, store: GraphStore, question: str, bounds: paths.SearchBounds, top: int = 8, top_relations: int = 20,
            embedder: Callable[[], EmbeddingClient] | None = None, budget: paths.TimeBudget | None = None) -> dict[str, DataFrame]:
     """Candidates, paths with evidence, and the evidence rows of one question.
 
-    Keyword (and, with vectors and an embedder, vector) ranks of entities are fused; relation candidates, found by the words and the
-    terms without particles of the question, lend their endpoints as seeds; paths are generated within the bounds; evidence is joined for the pool of paths only."""
+    Keyword (and, with vectors and an embedder, vector) ranks of entities, by canonical names and aliases, and of relations, by the
+    words and the terms without particles of the question, are fused; relation candidates lend their endpoints as seeds; paths are generated within the bounds; evidence is joined for the pool of paths only."""
     q = spark.createDataFrame([(0, question.strip())], "query_id long, text string")
     store = replace(store, edges=store.edges.persist())  # read by every hop; lost parts are computed anew
-    ranked = {"keyword": retrieval.keyword_names(store.entities, "entity_id", "canonical_name", q, top * 2)}
-    if store.entity_vectors is not None and embedder is not None:
-        qv = embed(q, "query_id", "text", embedder)
+    ranked = {"keyword": retrieval.keyword_names(retrieval.entity_names(store.entities), "entity_id", "name", q, top * 2)}
+    qv = embed(q, "query_id", "text", embedder) if embedder is not None else None
+    if store.entity_vectors is not None and qv is not None:
         ranked["vector"] = retrieval.nearest(store.entity_vectors, "entity_id", "embedding", qv, top * 2)
     fused = retrieval.fuse(ranked, top)
     names = store.entities.select(F.col("entity_id").alias("doc"), F.col("canonical_name").alias("name"))
     entities = fused.join(names, "doc").select(F.col("doc").alias("entity_id"), "name", "score", "rank")
-    rel = retrieval.keyword_relations(store.edges, q, top_relations)
-    rel = rel.join(store.edges.withColumnRenamed("relation_id", "doc"), "doc").select(
+    related = {"keyword": retrieval.keyword_relations(store.edges, q, top_relations * 2)}
+    if store.relation_vectors is not None and qv is not None:
+        related["vector"] = retrieval.nearest(store.relation_vectors, "relation_id", "embedding", qv, top_relations * 2)
+    rel = retrieval.fuse(related, top_relations).join(store.edges.withColumnRenamed("relation_id", "doc"), "doc").select(
         F.col("doc").alias("relation_id"), "source_entity_id", "source_name", "target_entity_id", "target_name",
-        (F.lit(1.0) / (F.lit(retrieval.RRF) + F.col("rank"))).alias("score"), F.col("rank").alias("ord"))
+        "score", F.col("rank").alias("ord"))
     # candidate lists are of bounded length; they are kept as rows to cut lineage before the hops
     entities = spark.createDataFrame(entities.collect(), "entity_id string, name string, score double, rank long")
     rel_rows = rel.collect()

@@ -532,9 +532,9 @@ def rrf_hybrid(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def name_search(spark: SparkSession, d: str) -> DataFrame:
     """Entities whose names hold terms of the test items."""
-    e = _entity(spark, d).select("entity_id", "canonical_name")
+    e = retrieval.entity_names(_entity(spark, d))
     q = _questions(spark, d).unionByName(spark.createDataFrame([(0, QUESTION)], "query_id long, text string"))
-    return retrieval.keyword_names(e, "entity_id", "canonical_name", q, TOP)
+    return retrieval.keyword_names(e, "entity_id", "name", q, TOP)
 
 
 _NEIGH = f"""{_EDGES}, f AS (SELECT DISTINCT ref_id AS entity_id FROM entity_reference),

@@ -389,6 +389,22 @@ def test_questions_with_particles_find_relations(spark):
     assert {r.relation_id for r in found.collect()} == {"r1", "r3"}
 
 
+def test_aliases_and_relation_vectors_find_candidates(spark):
+    s = store(spark)
+    e = s.entities.withColumn("aliases", F.when(F.col("entity_id") == "a", F.array(F.struct(F.lit("하람실").alias("name")), F.struct(F.lit("하람실험").alias("name")))))
+    q = spark.createDataFrame([(1, "하람실은 나라청과?")], "query_id long, text string")
+    got = retrieval.keyword_names(retrieval.entity_names(e), "entity_id", "name", q, 9).collect()
+    assert [(r.doc, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [("a", 12.0), ("b", 12.0)]
+    r = search(spark, replace(s, entities=e, entity_vectors=None), "하람실은?", paths.SearchBounds())
+    assert [x.entity_id for x in r["candidates"].collect()] == ["a"]
+    text = s.edges.select("relation_id", F.concat_ws(" ", "source_name", "relation_type_name", "target_name").alias("t"))
+    vectors = embed(text, "relation_id", "t", HashEmbedding)
+    r = search(spark, replace(s, relation_vectors=vectors), "다온원 알린다 라온청", paths.SearchBounds(), top_relations=1, embedder=HashEmbedding)
+    assert [x.relation_id for x in r["relations"].collect()] == ["r3"]
+    r = search(spark, replace(s, relation_vectors=vectors), "모름", paths.SearchBounds(), embedder=HashEmbedding)
+    assert {x.relation_id for x in r["relations"].collect()} == {"r1", "r2", "r3"}
+
+
 def test_registered_question_yields_relation_candidates(spark):
     from sparkloom.plans.graph_queries import QUESTION, run_search
 
