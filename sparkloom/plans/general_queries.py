@@ -15,8 +15,8 @@ KEY_FIELDS = ["source_entity_id", "target_entity_id"]
 
 
 def p1_key_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Relations and evidence of every source and target entity."""
-    return hot_key_totals(table(spark, sf_dir, "relation"), "relation_id", KEY_FIELDS, "evidence_count").drop("n_all")
+    """Relations and evidence of every source and target entity, beside those of all."""
+    return hot_key_totals(table(spark, sf_dir, "relation"), "relation_id", KEY_FIELDS, "evidence_count")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,14 +25,15 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hot_keys(totals).select("field_name", "entity_id")
 
 
-_P1_ONE = """one AS (SELECT relation_id, max(source_entity_id) AS s, max(target_entity_id) AS t,
-  max(evidence_count) AS w FROM relation WHERE relation_id IS NOT NULL GROUP BY relation_id),
+_P1_ONE = """one AS (SELECT DISTINCT relation_id, source_entity_id AS s, target_entity_id AS t, evidence_count AS w
+  FROM relation WHERE relation_id IS NOT NULL),
 keys AS (SELECT 'source_entity_id' AS field_name, s AS entity_id, w FROM one
   UNION ALL SELECT 'target_entity_id', t, w FROM one)"""
 
 P1_SQL = {
     "p1_key_totals": f"""WITH {_P1_ONE}
-SELECT field_name, entity_id, count(*)::BIGINT AS n_records, coalesce(sum(w), 0)::BIGINT AS sum_weight
+SELECT field_name, entity_id, count(*)::BIGINT AS n_records, coalesce(sum(w), 0)::BIGINT AS sum_weight,
+  (SELECT count(*) FROM one)::BIGINT AS n_all, (SELECT sum(w) FROM one)::BIGINT AS weight_all
 FROM keys WHERE entity_id IS NOT NULL GROUP BY field_name, entity_id""",
     "p1_found": f"""WITH {_P1_ONE}
 SELECT field_name, entity_id FROM keys WHERE entity_id IS NOT NULL GROUP BY field_name, entity_id

@@ -1,12 +1,12 @@
 import collections
 import random
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.operators.orphans import bloom_filter, orphan_references
-from sparkloom.operators.skew import combine_by_key, hot_key_totals, hot_keys, salted_join
+from sparkloom.operators.bloom import filter_sizes, with_membership
+from sparkloom.operators.orphans import orphan_references
+from sparkloom.operators.skew import hot_key_totals, hot_keys, hot_salts, salted_join
 
 REL = "relation_id string, source_entity_id string, target_entity_id string, evidence_count long, n_all string, _w int, entity_id string"
 
@@ -34,13 +34,24 @@ def test_hot_key_totals_of_nothing_and_of_nulls(spark):
     fields = ["source_entity_id", "target_entity_id"]
     assert hot_key_totals(spark.createDataFrame([], REL), "relation_id", fields, "evidence_count").count() == 0
     only_null = spark.createDataFrame(rel([("r1", None, None, None), ("r2", "a", None, None)]), REL)
-    assert [tuple(r) for r in hot_key_totals(only_null, "relation_id", fields, "evidence_count").collect()] == [("source_entity_id", "a", 1, 0, 2)]
+    assert [tuple(r) for r in hot_key_totals(only_null, "relation_id", fields, "evidence_count").collect()] == [("source_entity_id", "a", 1, 0, 2, 0)]
 
 
-def test_unbounded_states_are_refused(spark):
-    df = spark.range(3)
-    with pytest.raises(ValueError):
-        combine_by_key(df, ["id"], [F.collect_list("id")])
+def test_records_and_totals_are_read_once(spark):
+    """The totals come from the exchange of the keys, and records are removed by hash, not by sort."""
+    df = spark.createDataFrame(rel([(f"r{i}", f"s{i % 7}", f"t{i % 5}", 1) for i in range(100)]), REL).repartition(4)
+    for q in (hot_key_totals(df, "relation_id", ["source_entity_id", "target_entity_id"], "evidence_count"),):
+        for plan in (q, hot_keys(q).select("field_name", "entity_id")):
+            plan.collect()
+            text = plan._jdf.queryExecution().executedPlan().toString()
+            assert "ReusedExchange" in text and "SortAggregate" not in text
+
+
+def test_only_hot_keys_get_salts(spark):
+    df = spark.range(1000).select(F.when(F.col("id") < 400, "a").when(F.col("id") < 500, "b").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"))
+    assert sorted(hot_salts(df, ["k"], tasks=20)) == [("a", 8), ("b", 2)]
+    assert hot_salts(df.filter("k like 'k%'"), ["k"], tasks=20) == []
+    assert hot_salts(df.limit(0), ["k"], tasks=20) == []
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -83,9 +94,8 @@ def brute(refs, parents):
     return out
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 5000])
-def test_orphans_against_brute_force(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr("sparkloom.operators.orphans.EXACT_BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("spans_per_row", [1, 64])
+def test_orphans_against_brute_force(spark, spans_per_row):
     rng = random.Random(3)
     parents = [(f"p{i % 40}", rng.choice([0, 10, 20, None]), rng.choice([None, None, 15, 30])) for i in range(60)]
     parents = [(p, day(c), day(d)) for p, c, d in parents] + [(None, day(1), None)]
@@ -93,7 +103,7 @@ def test_orphans_against_brute_force(spark, monkeypatch, broadcast_rows):
     refs += refs[:20]
     r = spark.createDataFrame([(*x, "c", 1) for x in refs], REFS)
     p = spark.createDataFrame([(*x, "c") for x in parents] * 2, PARENTS)
-    got = orphan_references(r, "rid", "ref", "made", p, "pid", "created", "deleted")
+    got = orphan_references(r, "rid", "ref", "made", p, "pid", "created", "deleted", spans_per_row=spans_per_row)
     rows = got.collect()
     assert {(x.row_id, x.ref, x.reason) for x in rows} == brute(refs, parents)
     assert len(rows) == len({(x.row_id, x.ref, x.period) for x in rows})
@@ -108,12 +118,19 @@ def test_orphans_of_empty_tables(spark):
     assert orphan_references(none, *args[0], parents, *args[1]).count() == 0
 
 
-def test_a_tiny_filter_changes_nothing_but_work(spark):
-    """A full filter denies nothing; the exact join still finds every orphan."""
+def test_a_small_filter_is_sliced_and_loses_nothing(spark):
     parents = [(f"p{i}", day(0), None, "c") for i in range(4000)]
     refs = [(f"r{i}", f"p{i * 2}", day(1), "c", 1) for i in range(4000)]
     p, r = spark.createDataFrame(parents, PARENTS), spark.createDataFrame(refs, REFS)
-    full = bloom_filter(p, "pid", 4000, max_bits=1 << 13)
-    assert np.unpackbits(full.view(np.uint8)).mean() > 0.8
-    got = orphan_references(r, "rid", "ref", "made", p, "pid", "created", "deleted", max_bits=1 << 13)
+    bits, slices = filter_sizes(4000, filter_bytes=1 << 10)
+    assert (bits, slices) == (1 << 13, 6)
+    probed = with_membership(r, ["ref"], p, ["pid"], 4000, "maybe", filter_bytes=1 << 10)
+    assert probed.count() == 4000 and probed.filter("maybe").count() < 2100
+    got = orphan_references(r, "rid", "ref", "made", p, "pid", "created", "deleted", filter_bytes=1 << 10)
     assert got.count() == 2000
+
+
+def test_the_rate_of_false_positives_does_not_grow():
+    for n in (10**5, 10**8, 10**10):
+        bits, slices = filter_sizes(n)
+        assert bits // 8 <= 64 << 20 and bits * slices >= 12 * n
