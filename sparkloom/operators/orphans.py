@@ -2,51 +2,31 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparkloom.operators.skew import salted_join
+from sparkloom.operators.bloom import FILTER_BYTES, with_membership
+from sparkloom.operators.skew import hot_salts, salted_join
 
-#: Bits of the Bloom filter at most: 2^26 bits are 8 MB, whatever the number of parents.
-BLOOM_MAX_BITS = 1 << 26
-BLOOM_HASHES = 4
-#: Parents up to this many rows are joined by broadcast in the exact check.
-EXACT_BROADCAST_ROWS = 5_000
+#: Life spans of a key that one row of the exact join holds, on average; a key with more has several rows.
+SPANS_PER_ROW = 64
 
 
-def _positions(h1, h2, bits: int):
-    """Double hashing: BLOOM_HASHES bit positions from two 64-bit hashes."""
-    with np.errstate(over="ignore"):
-        return [((h1 + np.uint64(i) * h2) & np.uint64(bits - 1)).astype(np.int64) for i in range(BLOOM_HASHES)]
-
-
-def bloom_filter(parents: DataFrame, key: str, n_parents: int, max_bits: int = BLOOM_MAX_BITS) -> np.ndarray:
-    """Bloom filter of the non-null values of ``key``, as a byte array of at most ``max_bits`` bits.
-
-    Every partition folds its keys into bit words; words are merged by bit_or on the cluster, so the
-    driver receives each word of the filter once (a result bounded by max_bits, not by the rows).
-    """
-    bits = 1 << 13
-    while bits < n_parents * 12 and bits < max_bits:
-        bits <<= 1
-
-    def fold(batches):
-        words = np.zeros(bits // 64, dtype=np.uint64)
-        for pdf in batches:
-            h1 = pdf["h1"].to_numpy(dtype=np.int64).view(np.uint64)
-            h2 = pdf["h2"].to_numpy(dtype=np.int64).view(np.uint64) | np.uint64(1)
-            for p in _positions(h1, h2, bits):
-                np.bitwise_or.at(words, p >> 6, np.uint64(1) << (p & 63).astype(np.uint64))
-        used = np.flatnonzero(words)
-        yield pd.DataFrame({"w": used.astype(np.int64), "b": words[used].view(np.int64)})
-
-    hashed = parents.filter(F.col(key).isNotNull()).select(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(7), key).alias("h2"))
-    parts = hashed.mapInPandas(fold, "w long, b long").groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
-    words = np.zeros(bits // 64, dtype=np.uint64)
-    words[parts["w"].to_numpy(dtype=np.int64)] = parts["b"].to_numpy(dtype=np.int64).view(np.uint64)
-    return words
+def life_spans(parents: DataFrame, parent_key: str, created_col: str, deleted_col: str | None, per_row: int = SPANS_PER_ROW) -> DataFrame:
+    """Rows (ref, _spans, _rows): the distinct life spans of every key in arrays of bounded length; ``_rows`` is the number
+    of rows of the key, 1 for all keys but those of very many versions."""
+    p = (
+        parents.select(
+            F.col(parent_key).alias("ref"), F.col(created_col).alias("p_created"),
+            (F.col(deleted_col) if deleted_col else F.lit(None).cast("timestamp_ntz")).alias("p_deleted"),
+        )
+        .filter(F.col("ref").isNotNull())
+        .distinct()
+    )
+    n = F.count(F.lit(1)).over(W.partitionBy("ref"))
+    dealt = p.withColumn("_rows", F.ceil(n / F.lit(per_row))).withColumn("_row", F.pmod(F.xxhash64("p_created", "p_deleted"), F.col("_rows")))
+    return dealt.groupBy("ref", "_rows", "_row").agg(F.collect_list(F.struct("p_created", "p_deleted")).alias("_spans")).drop("_row")
 
 
 def orphan_references(
@@ -58,7 +38,8 @@ def orphan_references(
     parent_key: str,
     created_col: str,
     deleted_col: str | None,
-    max_bits: int = BLOOM_MAX_BITS,
+    filter_bytes: int = FILTER_BYTES,
+    spans_per_row: int = SPANS_PER_ROW,
 ) -> DataFrame:
     """References of ``refs.ref_col`` that name no record living at the time ``refs.made_col``.
 
@@ -66,64 +47,37 @@ def orphan_references(
     (only records made after the reference) or ``deleted``. A record lives from created_col on until,
     not including, deleted_col.
 
-    1. A Bloom filter of the parent keys, of fixed greatest size, is broadcast; a reference it denies is
-       a proven orphan and needs no join. 2. Only filter-positive references meet the parents in an exact
-       join on the key (salted, as few keys may hold most references). Parents are first folded to one row
-       per distinct (key, created, deleted).
+    1. A Bloom filter of the parent keys, sized by the number of parent rows, is broadcast (in slices of the keys if it
+       would exceed ``filter_bytes``); a reference it denies is a proven orphan and needs no join. 2. Only
+       filter-positive references meet the parents' life spans in an exact join on the key, hot keys split.
 
     Null references and rows without a row key give no case. A reference without a time has period null
     and counts as orphan only if the key is missing (nothing can be said about before and after).
     A record without a creation time counts as always made. Repeated rows of one reference give one case.
     Empty references give no rows; with empty parents every reference is missing.
     """
-    spark: SparkSession = refs.sparkSession
     r = refs.select(
         F.col(row_key).alias("row_id"), F.col(ref_col).alias("ref"), F.col(made_col).alias("made")
     ).filter(F.col("row_id").isNotNull() & F.col("ref").isNotNull())
-    p = (
-        parents.select(
-            F.col(parent_key).alias("ref"), F.col(created_col).alias("p_created"),
-            (F.col(deleted_col) if deleted_col else F.lit(None).cast("timestamp_ntz")).alias("p_deleted"),
-        )
-        .filter(F.col("ref").isNotNull())
-        .distinct()
+    keys = parents.select(F.col(parent_key).alias("ref"))
+    # rows of all versions bound the number of keys; the count comes from the files' footers
+    probed = with_membership(r, ["ref"], keys, ["ref"], keys.count(), "_maybe", filter_bytes)
+    spans = life_spans(parents, parent_key, created_col, deleted_col, spans_per_row)
+    denied = probed.filter(~F.col("_maybe")).select("row_id", "ref", "made", F.lit(None).cast(spans.schema["_spans"].dataType).alias("_spans"), F.lit(None).cast("long").alias("_rows"))
+    # the keys of all references are counted, not of the positive ones: the same bound, and no filter is probed for it
+    positive = salted_join(probed.filter("_maybe").drop("_maybe"), spans, ["ref"], F.col("row_id"), "left", hot_salts(r, ["ref"]))
+    joined = denied.unionByName(positive.select("row_id", "ref", "made", "_spans", "_rows"))
+    begun = lambda s: F.coalesce(s["p_created"] <= F.col("made"), s["p_created"].isNull() | F.col("made").isNull())
+    flagged = joined.select(
+        "row_id", "ref", "made", F.coalesce("_rows", F.lit(1)).alias("_rows"), F.col("_spans").isNotNull().alias("_there"),
+        F.coalesce(F.exists("_spans", begun), F.lit(False)).alias("_begun"),
+        F.coalesce(F.exists("_spans", lambda s: begun(s) & F.coalesce(s["p_deleted"] > F.col("made"), F.lit(True))), F.lit(False)).alias("_alive"),
     )
-    n = p.count()
-    words = spark.sparkContext.broadcast(bloom_filter(p, "ref", n, max_bits))
-
-    @F.pandas_udf("boolean")
-    def might_exist(h1: pd.Series, h2: pd.Series) -> pd.Series:
-        w = words.value
-        a = h1.to_numpy(dtype=np.int64).view(np.uint64)
-        b = h2.to_numpy(dtype=np.int64).view(np.uint64) | np.uint64(1)
-        hit = np.ones(len(a), dtype=bool)
-        for q in _positions(a, b, len(w) * 64):
-            hit &= (w[q >> 6] >> (q & 63).astype(np.uint64)) & np.uint64(1) == 1
-        return pd.Series(hit)
-
-    probed = r.withColumn("_maybe", might_exist(F.xxhash64("ref"), F.xxhash64(F.lit(7), F.col("ref"))))
-    # Folded parents: one row per key with the sorted life spans; a key has few versions.
-    spans = p.groupBy("ref").agg(F.collect_set(F.struct("p_created", "p_deleted")).alias("_spans"))
-    if n <= EXACT_BROADCAST_ROWS:
-        joined = probed.join(F.broadcast(spans), probed["_maybe"] & (probed["ref"] == spans["ref"]), "left").select(
-            probed["row_id"], probed["ref"], probed["made"], "_spans"
-        )
-    else:
-        denied = probed.filter(~F.col("_maybe")).select("row_id", "ref", "made", F.lit(None).cast(spans.schema["_spans"].dataType).alias("_spans"))
-        positive = salted_join(probed.filter("_maybe").drop("_maybe"), spans, ["ref"], F.col("row_id"), "left")
-        joined = denied.unionByName(positive.select("row_id", "ref", "made", "_spans"))
-    made_before = F.exists("_spans", lambda s: F.coalesce(s["p_created"] <= F.col("made"), s["p_created"].isNull() | F.col("made").isNull()))
-    alive = F.exists(
-        "_spans",
-        lambda s: F.coalesce(s["p_created"] <= F.col("made"), s["p_created"].isNull() | F.col("made").isNull())
-        & F.coalesce(s["p_deleted"] > F.col("made"), F.lit(True)),
-    )
-    return (
-        joined.withColumn(
-            "reason",
-            F.when(F.col("_spans").isNull(), "missing").when(~made_before, "later").when(~alive, "deleted"),
-        )
-        .filter(F.col("reason").isNotNull())
-        .select("row_id", "ref", F.date_format("made", "yyyy-MM").alias("period"), "reason")
-        .distinct()
+    # what one row settles as alive is out; the others, and the few keys of several rows, are folded by reference
+    cases = (
+        flagged.filter(~F.col("_alive") | (F.col("_rows") > 1))
+        .groupBy("row_id", "ref", "made").agg(*[F.max(c).alias(c) for c in ("_there", "_begun", "_alive")])
+        .filter(~F.col("_alive"))
     )
+    reason = F.when(~F.col("_there"), "missing").when(~F.col("_begun"), "later").otherwise("deleted")
+    return cases.select("row_id", "ref", F.date_format("made", "yyyy-MM").alias("period"), reason.alias("reason")).distinct()
