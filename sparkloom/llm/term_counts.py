@@ -6,26 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def record_terms(terms: dict[str, Column]) -> Column:
-    """Array of (field_name, term, first) of one record: every occurrence once, ``first`` being 1 on one
-    occurrence of each term and 0 on its repetitions, plus one (field_name, NULL, 1) per field that stands
-    for the record itself. Sorting the terms makes repetitions neighbours, so no pairwise comparison is made."""
-    out = []
-    for field, arr in terms.items():
-        clean = F.array_sort(F.filter(F.coalesce(arr, F.array().cast("array<string>")), lambda x: x.isNotNull()))
-        marked = F.zip_with(
-            clean,
-            F.concat(F.array(F.lit(None).cast("string")), F.when(F.size(clean) > 0, F.slice(clean, 1, F.greatest(F.size(clean) - 1, F.lit(0)))).otherwise(F.array().cast("array<string>"))),
-            lambda t, before: F.struct(
-                F.lit(field).alias("field_name"), t.alias("term"), F.when(t == before, 0).otherwise(1).alias("first")
-            ),
-        )
-        # zip_with pads the empty array to one element with a null term: just the record's own marker
-        record = F.when(F.size(clean) > 0, F.array(F.struct(
-            F.lit(field).alias("field_name"), F.lit(None).cast("string").alias("term"), F.lit(1).alias("first")
-        ))).otherwise(F.filter(marked, lambda x: F.lit(False)))
-        out.append(F.concat(marked, record))
-    return F.concat(*out)
+def _runs(df: DataFrame, arrays: list[str]) -> DataFrame:
+    """Adds ``<a>_at`` for each sorted array: the places where a run of equal terms begins."""
+
+    def begins(a: str) -> Column:
+        return F.filter(F.transform(a, lambda x, i: F.when((i == 0) | (x != F.get(F.col(a), i - 1)), i)), lambda i: i.isNotNull())
+
+    return df.withColumns({f"{a}_at": begins(a) for a in arrays})
+
+
+def record_counts(field: str, a: str) -> Column:
+    """Array of (field_name, term, n) of one record: every distinct term once with its occurrences in the record, and one
+    (field_name, NULL, 0) that stands for the record itself."""
+    at = F.col(f"{a}_at")
+    counts = F.transform(at, lambda b, i: F.struct(
+        F.lit(field).alias("field_name"), F.get(F.col(a), b).alias("term"), (F.coalesce(F.get(at, i + 1), F.size(a)) - b).cast("long").alias("n")
+    ))
+    record = F.struct(F.lit(field).alias("field_name"), F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("n"))
+    return F.concat(counts, F.array(record))
 
 
 def term_counts(
@@ -41,28 +39,31 @@ def term_counts(
     records hold the term, ``common`` if more than one in ``common_one_in`` of all records do, else null.
     ``terms`` maps a field name to an array column of strings.
 
-    Repeated rows of a record count once (they carry equal content; the greatest is kept). Each record then
-    emits its terms with a first-occurrence flag; both counts are sums that are combined by hash in every
-    task before the shuffle on (field_name, term), so a term held by a third of the records costs one state
-    per task. The number of all records comes out of the same pass as the count of record markers.
+    Repeated rows of a record (equal in key and terms) count once, removed by hash; a record written with different
+    terms counts once for each writing. Each record then emits its distinct terms with their counts in it, found as
+    runs of its sorted terms; both totals are combined by hash in every task before the shuffle on (field_name, term),
+    so a term held by a third of the records costs one state per task. The number of all records comes from a marker of
+    every record and field and is read from the same exchange.
 
     A null term is none; the empty string is one. Records without terms (null or empty array) count among
     all records. A null record key is no record. No records give no rows. Other columns are not read.
     """
-    slim = records.select(F.col(record_key).alias("_key"), *[c.alias(f"_t{i}") for i, c in enumerate(terms.values())])
-    slim = slim.filter(F.col("_key").isNotNull())
-    one = slim.groupBy("_key").agg(*[F.max(f"_t{i}").alias(f"_t{i}") for i in range(len(terms))])
-    emitted = one.select(F.explode(record_terms({f: F.col(f"_t{i}") for i, f in enumerate(terms)})).alias("x")).select("x.*")
-    counted = emitted.groupBy("field_name", "term").agg(
-        F.count(F.lit(1)).alias("n_mentions"), F.sum("first").cast("long").alias("n_records")
-    )
+    arrays = [f"_t{i}" for i in range(len(terms))]
+    slim = records.select(F.col(record_key).alias("_key"), *[c.alias(a) for a, c in zip(arrays, terms.values())])
+    one = slim.filter(F.col("_key").isNotNull()).distinct()
+    clean = one.select(*[
+        F.array_sort(F.filter(F.coalesce(F.col(a), F.array().cast("array<string>")), lambda x: x.isNotNull())).alias(a) for a in arrays
+    ])
+    emitted = _runs(clean, arrays).select(F.explode(F.concat(*[record_counts(f, a) for f, a in zip(terms, arrays)])).alias("x")).select("x.*")
+    counted = emitted.groupBy("field_name", "term").agg(F.sum("n").alias("n_mentions"), F.count(F.lit(1)).alias("n_records"))
+    # Markers have no mentions: filters on that sum stay above the aggregate, so both sides below read one exchange.
     # One row per field; a field count bounds this side.
-    n_all = counted.filter(F.col("term").isNull()).select("field_name", F.col("n_records").alias("n_all"))
+    n_all = counted.filter(F.col("n_mentions") == 0).select("field_name", F.col("n_records").alias("n_all"))
     mark = F.when(F.col("n_records") < rare_below, "rare").when(
         F.col("n_records") * F.lit(common_one_in) > F.col("n_all"), "common"
     )
     return (
-        counted.filter(F.col("term").isNotNull())
+        counted.filter(F.col("n_mentions") > 0)
         .join(F.broadcast(n_all), "field_name")
         .select("field_name", "term", "n_mentions", "n_records", mark.alias("mark"))
     )
