@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.operators.bloom import with_membership
+from sparkloom.runtime import materialise
+
 LIMIT = 800
 OVERLAP = 80
 
@@ -49,63 +53,87 @@ def _joined(text: str, at: int) -> bool:
     return c in "\U0001f3fb\U0001f3fc\U0001f3fd\U0001f3fe\U0001f3ff" or (c == "\n" and b == "\r")
 
 
+#: Further pieces that are tried for a stretch whose cuts find no natural boundary.
+MORE_PIECES = 2
+#: Cuts of less strength fall inside a clause or word.
+NATURAL = 2.0
+
+
 def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[int]:
     """Cut positions so that pieces [cut - overlap, next cut) hold at most ``limit`` characters.
 
     The least number of pieces is computed; equal-length targets are placed and each is snapped to the
-    strongest boundary near it (nearest at equal strength). Where the limits leave no room for a boundary
-    a further piece is tried, up to half as many again; without boundaries the cut falls on the target, not
-    inside a character with its accents."""
+    strongest boundary near it (nearest at equal strength). A stretch of cuts without a natural boundary is placed again
+    between the natural cuts around it with up to MORE_PIECES further pieces, and the placing with the fewest such cuts is kept;
+    without boundaries the cut falls on the target, not inside a character with its accents. Time grows linearly with
+    the text: every stretch is placed a fixed number of times."""
     n_chars = len(text)
     if n_chars <= limit:
         return []
     step = limit - overlap
-    least = -(-(n_chars - overlap) // step)
     marks = boundaries(text)
-    best: list[int] | None = None
-    best_weak = None
-    for n in range(least, least + max(2, least // 2) + 1):
-        got, weak = _place(text, marks, n, limit, overlap)
-        if got is None:
+    where = sorted(marks)
+
+    def weak(cut: int) -> bool:
+        return marks.get(cut, 0.0) < NATURAL
+
+    got = _place(text, marks, where, None, n_chars, -(-(n_chars - overlap) // step), limit, overlap)
+    if got is None:
+        raise AssertionError("the least number of pieces always has room")
+    out: list[int] = []
+    k = 0
+    while k < len(got):
+        if not weak(got[k]):
+            out.append(got[k])
+            k += 1
             continue
-        if best is None or weak < best_weak:
-            best, best_weak = got, weak
-        if weak == 0:
-            break
-    if best is None:  # cannot happen with limit > overlap; kept as a plain last resort
-        best = list(range(limit, n_chars, step))
-    return best
-
-
-def _place(text: str, marks: dict[int, float], n: int, limit: int, overlap: int) -> tuple[list[int] | None, int]:
-    n_chars, step = len(text), limit - overlap
-    share = (n_chars - overlap) / n
+        j = k
+        while j < len(got) and weak(got[j]):
+            j += 1
+        best, fewest = got[k:j], j - k
+        for more in range(1, MORE_PIECES + 1):
+            again = _place(text, marks, where, out[-1] if out else None, got[j] if j < len(got) else n_chars, j - k + 1 + more, limit, overlap)
+            if again is None:
+                break
+            n = sum(map(weak, again))
+            if n < fewest:
+                best, fewest = again, n
+            if not n:
+                break
+        out.extend(best)
+        k = j
+    return out
+
+
+def _place(text: str, marks: dict[int, float], where: list[int], before: int | None, end: int, n: int, limit: int, overlap: int) -> list[int] | None:
+    """n - 1 cuts between the cut ``before`` (None: the text's beginning) and ``end``, or None if so many pieces have no room."""
+    step = limit - overlap
+    begin = overlap if before is None else before
+    share = (end - begin) / n
     room = max(40, int(share // 3))
     got: list[int] = []
-    weak = 0
+    last = before
     for k in range(1, n):
-        last = got[-1] if got else None
-        low = (last + 1) if last is not None else max(overlap, 1)
-        high = (last + step) if last is not None else limit
-        low = max(low, n_chars - (n - k) * step)  # the rest must fit
-        high = min(high, n_chars - 1)
+        low = max(overlap, 1) if last is None else last + 1
+        high = limit if last is None else last + step
+        low = max(low, end - (n - k) * step)  # the rest must fit
+        high = min(high, end - 1)
         if low > high:
-            return None, 0
-        target = min(max(round(overlap + share * k), low), high)
+            return None
+        target = min(max(round(begin + share * k), low), high)
         a, b = max(low, target - room), min(high, target + room)
-        near = [(-marks[p], abs(p - target), p) for p in range(a, b + 1) if p in marks]
+        near = [(-marks[p], abs(p - target), p) for p in where[bisect_left(where, a) : bisect_right(where, b)]]
         if near:
             at = min(near)[2]
-            weak += marks[at] < 2.0
         else:
             at = target
             while at > low and _joined(text, at):
                 at -= 1
             if _joined(text, at):
                 at = target
-            weak += 1
         got.append(at)
-    return got, weak
+        last = at
+    return got
 
 
 def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, str]]:
@@ -116,6 +144,20 @@ def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[
     return [(a, text[a:b]) for a, b in zip(starts, ends)]
 
 
+def latest_rows(df: DataFrame, key: str, fields: list[str], order: str | None) -> DataFrame:
+    """One row (row_id, fields) per key: the one with the greatest ``order``, ties to the greatest fields.
+
+    Only keys are shuffled to find those written more than once; a Bloom filter of these is broadcast, and what it denies is
+    a single row and stays where it is. Only rows that may be repeated are shuffled with their texts."""
+    keyed = df.filter(F.col(key).isNotNull())
+    slim = keyed.select(F.col(key).alias("row_id"), *([F.col(order).alias("_order")] if order else []), *fields)
+    again = materialise(slim.groupBy("row_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("row_id"), "repeated-keys")
+    marked = with_membership(slim, ["row_id"], again, ["row_id"], again.count(), "_again")
+    rank = F.struct(*(["_order"] if order else []), *fields)
+    folded = marked.filter("_again").groupBy("row_id").agg(F.max(rank).alias("_r")).select("row_id", *[f"_r.{f}" for f in fields])
+    return marked.filter(~F.col("_again")).select("row_id", *fields).unionByName(folded)
+
+
 def split_texts(df: DataFrame, key: str, fields: list[str], order: str | None = None, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """Rows (row_id, field_name, piece_no, n_pieces, start_at, piece): the pieces of every text.
 
@@ -127,11 +169,11 @@ def split_texts(df: DataFrame, key: str, fields: list[str], order: str | None =
     """
     if limit <= overlap:
         raise ValueError("limit must exceed overlap")
-    rank = F.struct(*([F.col(order)] if order else []), *[F.col(f) for f in fields])
-    one = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("row_id")).agg(F.max(rank).alias("_r"))
+    names = {f: f"_f{i}" for i, f in enumerate(fields)}
+    one = latest_rows(df.select(key, *({order} - {key, None}), *[F.col(f).alias(n) for f, n in names.items()]), key, list(names.values()), order)
     long = one.select(
         "row_id",
-        F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f"_r.{f}").alias("t")) for f in fields])).alias("x"),
+        F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(n).alias("t")) for f, n in names.items()])).alias("x"),
     ).select("row_id", "x.field_name", "x.t").filter(F.col("t").isNotNull())
 
     @F.pandas_udf("array<struct<start_at:int,piece:string>>")
