@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm.canonical_map import look_up_values, map_to_list
-from sparkloom.llm.format_dupes import canonical_key, copies, duplicate_ledger, single_relation
+from sparkloom.llm.format_dupes import canonical_key, copies, duplicate_ledger, with_single_relation
 from sparkloom.llm.leaks import find_leaks
 from sparkloom.llm.lookalikes import match_vocabulary
 from sparkloom.llm.split_text import LIMIT, split_texts
@@ -150,7 +150,8 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ledger(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    r = table(spark, sf_dir, "model_responses").select("response_id", "semantic_unit_id", "received_at", single_relation(F.col("response_text")).alias("r"))
+    slim = table(spark, sf_dir, "model_responses").select("response_id", "semantic_unit_id", "received_at", "response_text")
+    r = with_single_relation(slim, "response_text", "r")
     keyed = r.select(
         "response_id", F.year("received_at").alias("batch"),
         canonical_key(F.col("semantic_unit_id"), [F.col("r.subject"), F.col("r.predicate"), F.col("r.object")]).alias("key"),

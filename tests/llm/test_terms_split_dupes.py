@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sparkloom.llm.format_dupes import Ledger, canonical_key, copies, duplicate_ledger, single_relation
+from sparkloom.llm.format_dupes import Ledger, canonical_key, copies, duplicate_ledger, with_single_relation
 from sparkloom.llm.split_text import LIMIT, OVERLAP, boundaries, cuts, pieces, split_texts
 from sparkloom.llm.term_counts import term_counts
 
@@ -113,9 +113,7 @@ RESP = "response_id long, unit string, response_text string, batch int, key stri
 
 def keyed(spark, rows):
     df = spark.createDataFrame([(*r, 0, "c", 1) for r in rows], RESP)
-    return df.select(
-        "response_id", "unit", single_relation(F.col("response_text")).alias("r")
-    ).select("response_id", canonical_key(F.col("unit"), [F.col(f"r.{c}") for c in ("subject", "predicate", "object")]).alias("key"))
+    return with_single_relation(df, "response_text", "r").select("response_id", canonical_key(F.col("unit"), [F.col(f"r.{c}") for c in ("subject", "predicate", "object")]).alias("key"))
 
 
 def test_canonical_keys(spark):
@@ -151,7 +149,7 @@ def test_ledger_of_nothing_and_its_joins(spark):
     empty = spark.createDataFrame([], "key string, response_id long")
     ledger, members = duplicate_ledger(empty, "key", "response_id", F.lit(1))
     assert ledger.count() == 0 and copies(ledger, members).count() == 0
-    led = Ledger(spark, 4)
+    led = Ledger(spark, "joins", 4)
     led.add(spark.createDataFrame([("a", 5), ("a", 3), (None, 1)], "key string, row_id long"))
     led.add(spark.createDataFrame([("a", 2), ("b", 9)], "key string, row_id long"))
     assert sorted(map(tuple, led.read().collect())) == [("a", 3, 2), ("b", 1, 9)]
@@ -161,3 +159,42 @@ def test_ledger_of_nothing_and_its_joins(spark):
         assert "Exchange" not in plan  # buckets meet without a shuffle
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    led.remove()
+
+
+def test_a_ledger_is_opened_again_by_its_name(spark, tmp_path):
+    """A second session counts on; only touched buckets are written; broken-off moves are finished."""
+    folder = f"file://{tmp_path}"
+    first = Ledger(spark, "kept", 16, folder)
+    first.add(spark.createDataFrame([(f"k{i}", i) for i in range(300)], "key string, row_id long"))
+    other = spark.newSession()
+    again = Ledger(other, "kept", folder=folder)
+    assert again.buckets == 16 and again.version == 1
+    written = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "ledgers/kept/v1").glob("part-*")}
+    again.add(other.createDataFrame([("k7", 3), ("k7", 400), ("new", 5)], "key string, row_id long"))
+    now = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "ledgers/kept/v2").glob("part-*")}
+    assert len(set(written.items()) & set(now.items())) >= 14 and not (tmp_path / "ledgers/kept/v1").exists()
+    want = {f"k{i}": (1, i) for i in range(300)} | {"k7": (3, 3), "new": (1, 5)}
+    third = Ledger(spark.newSession(), "kept", folder=folder)
+    assert {r.key: (r.copies, r.first_id) for r in third.read().collect()} == want
+    # a failure between the pointer and the moves
+    state = {"version": 3, "buckets": 16, "from": 2, "touched": list(range(1, 16))}
+    (tmp_path / "ledgers/kept/v3").mkdir()
+    for p in (tmp_path / "ledgers/kept/v2").glob("part-*"):
+        if "_00000" not in p.name:
+            p.rename(tmp_path / "ledgers/kept/v3" / p.name)
+    third._save(state)
+    assert {r.key: (r.copies, r.first_id) for r in Ledger(spark.newSession(), "kept", folder=folder).read().collect()} == want
+
+
+def test_times_of_long_texts_grow_with_their_length():
+    import time
+
+    def seconds(n):
+        text = ("문장 하나다. " * 3000)[: n // 2] + "가" * 2500 + ("문장 하나다. " * 400_000)[: n // 2]
+        began = time.process_time()
+        holds(text) if n < 100_000 else cuts(text)
+        return time.process_time() - began
+
+    seconds(50_000)
+    assert seconds(800_000) < 12 * max(seconds(200_000), 0.05)
