@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +11,13 @@ from pyspark.sql import functions as F
 from sparkloom.llm.canonical_map import look_up_values, map_to_list
 from sparkloom.llm.format_dupes import canonical_key, copies, duplicate_ledger, with_single_relation
 from sparkloom.llm.leaks import find_leaks
-from sparkloom.llm.lookalikes import match_vocabulary
+from sparkloom.llm.lookalikes import look_matches, match_vocabulary, table_form
 from sparkloom.llm.split_text import LIMIT, split_texts
 from sparkloom.llm.stuffing import stuffed_pages
 from sparkloom.llm.term_counts import term_counts
 from sparkloom.llm.tokenize import encode
-from sparkloom.operators.skew import salted_join
+from sparkloom.operators.bloom import with_membership
+from sparkloom.operators.skew import hot_salts, salted_join
 from sparkloom.runtime import materialise, table
 
 
@@ -62,36 +64,63 @@ def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _matched_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocab = _entities(spark, sf_dir).select("name", F.greatest(F.coalesce("mention_count", F.lit(0)), F.lit(1)).alias("n_vocab"))
-    typed = _mention_fields(spark, sf_dir, ["subject", "object"]).select("name", F.lit(0).cast("long").alias("n_vocab"))
-    names = vocab.unionByName(typed).groupBy("name").agg(F.max("n_vocab").alias("n_vocab"))
-    # the matches are used twice
-    return materialise(match_vocabulary(materialise(names, "names")), "matched-names")
+def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, n_vocab, n_typed): every distinct text that is an entity's name, a subject or an object."""
+    vocab = _entities(spark, sf_dir).select(
+        "name", F.greatest(F.coalesce("mention_count", F.lit(0)), F.lit(1)).alias("n_vocab"), F.lit(0).cast("long").alias("n_typed"))
+    zero, one = F.lit(0).cast("long").alias("n_vocab"), F.lit(1).cast("long").alias("n_typed")
+    typed = _mention_fields(spark, sf_dir, ["subject", "object"]).select("name", zero, one)
+    names = vocab.unionByName(typed).groupBy("name").agg(F.max("n_vocab").alias("n_vocab"), F.sum("n_typed").alias("n_typed"))
+    return materialise(names, "names")  # read several times
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entities whose names look the same, and fields that look like an entity's name but are not equal to it."""
-    matched = _matched_names(spark, sf_dir).filter(F.col("spelling").isNotNull()).select("name", "spelling")
+    """Entities whose names look the same, and fields that look like an entity's name but are not equal to it.
+
+    Only the few mentions whose text may be one of the unequal names (by a Bloom filter of these) are shuffled."""
+    names = _names(spark, sf_dir)
     ents = _entities(spark, sf_dir).select("entity_id", "name")
-    to_entity = matched.join(ents.select(F.col("name").alias("spelling"), "entity_id"), "spelling")
+    to_entity = look_matches(names).select("name", "spelling").join(ents.select(F.col("name").alias("spelling"), "entity_id"), "spelling")
+    to_entity = materialise(to_entity, "look-alike-entities")
     pairs = (
         ents.withColumnRenamed("entity_id", "row_id").join(to_entity, "name")
         .filter(F.col("row_id") < F.col("entity_id"))
         .select(F.lit("canonical_name").alias("field_name"), "row_id", "entity_id")
     )
     unequal = to_entity.filter(F.col("name") != F.col("spelling")).select("name", "entity_id")
-    fields = salted_join(_mention_fields(spark, sf_dir, ["subject", "object"]), unequal, ["name"], F.col("row_id"))
+    counts = names.join(unequal.select("name").distinct(), "name", "left_semi")
+    typed = with_membership(_mention_fields(spark, sf_dir, ["subject", "object"]), ["name"], unequal, ["name"], unequal.count(), "_maybe")
+    fields = salted_join(typed.filter("_maybe").drop("_maybe"), unequal, ["name"], F.col("row_id"), hot=hot_salts(counts, ["name"], rows=F.col("n_typed")))
     return pairs.unionByName(fields.select("field_name", "row_id", "entity_id")).distinct()
 
 
 def p3_consistent_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct stored name with its one consistent form."""
-    return _matched_names(spark, sf_dir).groupBy("name").agg(
+    return match_vocabulary(_names(spark, sf_dir)).groupBy("name").agg(
         F.min("canonical").alias("canonical"), F.count("spelling").alias("n_spellings")
     )
 
 
+def _seen(column: str) -> str:
+    """SQL for the table form of a column: the characters whose form is one other character are translated, invisible ones and
+    white space by class, and marks composed and put in order."""
+    one = [(c, f) for o in range(0x80, 0x30000) if not 0xD800 <= o < 0xE000 and not (c := chr(o)).isspace() and len(f := table_form(c)) == 1 and f != unicodedata.normalize("NFC", c)]
+    gone = "".join(c for o in range(0x10000) if not 0xD800 <= o < 0xE000 and not (c := chr(o)).isspace() and table_form(c) == "" and o)
+    gone += "".join(chr(o) for o in (*range(0xE0001, 0xE0080), *range(0xE0100, 0xE01F0)))
+    blank = "".join(chr(o) for o in range(0x3001) if chr(o).isspace() and o != 0x20)
+    other, plain = "".join(c for c, _ in one), "".join(f for _, f in one)
+    return f"nfc_normalize(translate(nfc_normalize(translate(translate({column}, '{gone}', ''), '{blank}', '{' ' * len(blank)}')), '{other.replace(chr(39), chr(39) * 2)}', '{plain.replace(chr(39), chr(39) * 2)}'))"
+
+
+def _p3_sql() -> str:
+    return f"""WITH e AS (SELECT DISTINCT entity_id, canonical_name AS name, {_seen('canonical_name')} AS form FROM entity WHERE canonical_name IS NOT NULL),
+m AS (SELECT r.relation_mention_id AS row_id, r.subject AS s, r.object AS o FROM (SELECT unnest(relations) AS r FROM raw_svo)),
+f AS (SELECT row_id, 'subject' AS field_name, s AS name FROM m UNION ALL SELECT row_id, 'object', o FROM m),
+n AS (SELECT name, {_seen('name')} AS form FROM (SELECT DISTINCT name FROM f WHERE name IS NOT NULL))
+SELECT 'canonical_name' AS field_name, a.entity_id AS row_id, b.entity_id FROM e a JOIN e b ON a.form = b.form AND a.entity_id < b.entity_id
+UNION SELECT f.field_name, f.row_id, e.entity_id FROM f JOIN n ON f.name = n.name JOIN e ON n.form = e.form AND n.name <> e.name"""
+
+
 # -- 4: freely typed values and the list ----------------------------------------------------------
 
 
@@ -243,6 +272,7 @@ QUERIES = {
 SQL = {
     "p2_found": f"WITH {_P2} SELECT field_name, term, mark FROM x WHERE mark IS NOT NULL",
     "p2_term_counts": f"WITH {_P2} SELECT * FROM x",
+    "p3_found": _p3_sql(),
     "p6_found": f"""SELECT DISTINCT semantic_unit_id, f AS field_name FROM (
   SELECT semantic_unit_id, 'unit_text' AS f, unit_text AS t FROM semantic_units
   UNION ALL SELECT semantic_unit_id, 'context_text', context_text FROM semantic_units) WHERE length(t) > {LIMIT}""",

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sparkloom.llm.canonical_map import Dictionary, edits, look_up_values, map_to_list, plain
-from sparkloom.llm.lookalikes import LookTrie, match_vocabulary, table_form
+from sparkloom.llm.lookalikes import LookTrie, classes, look_matches, match_vocabulary, table_form
 
 ALPHABET = "가각AАΑＡa еé​﻿ 　-－1１"
 
@@ -43,13 +43,30 @@ def test_automaton_with_a_budget():
     trie = LookTrie(words)
     for _ in range(60):
         t = "".join(rng.choice("abAc​") for _ in range(rng.randrange(6)))
-        want = {w: levenshtein(table_form(w), table_form(t)) for w in words}
+        want = {w: levenshtein(classes(w), classes(t)) for w in words}
         assert dict(trie.matches(t, 2)) == {w: d for w, d in want.items() if d <= 2}
 
 
+def test_marks_change_places_past_invisible_characters():
+    a, b = "a\u0301\u200b\u0323", "a\u0323\u0301"
+    assert table_form(a) == table_form(b) and LookTrie([a]).matches(b) == [(a, 0)] and LookTrie([b]).matches(a) == [(b, 0)]
+    assert table_form("\U0001d400\ufb01\u2163") == "AfiIV" and table_form("\u2026\u00bd") == "\u2026\u00bd"
+
+
 NAMES = "name string, n_vocab long, form string, shard int"
 
 
+def test_a_budget_finds_the_same_across_shards(spark):
+    rng = random.Random(9)
+    names = sorted({"".join(rng.choice("abА́c​") for _ in range(rng.randrange(7))) for _ in range(120)})
+    rows = [(n, rng.choice([0, 1, 4]), "c", 1) for n in names]
+    for budget, per in ((1, 5), (2, 40)):
+        got = look_matches(spark.createDataFrame(rows, NAMES), budget, per).collect()
+        want = {(n, v[0], levenshtein(classes(n), classes(v[0]))) for n in names for v in rows if v[1]}
+        assert {(r.name, r.spelling, r.cost) for r in got} == {x for x in want if x[2] <= budget} and len(got) == len({(r.name, r.spelling) for r in got})
+        assert all(levenshtein(classes(r.name), classes(r.canonical)) == min(c.cost for c in got if c.name == r.name) for r in got)
+
+
 def test_match_vocabulary(spark):
     rows = [("가람", 3), ("가​람", 9), ("가람 ", 1), ("가람⁠", 0), ("", 0), (None, 5), ("홀로", 0), ("긴" * 20_000, 2), ("긴" * 20_000 + "﻿", 0)]
     got = {(r.name, r.spelling): r.canonical for r in match_vocabulary(spark.createDataFrame([(*r, "c", 1) for r in rows], NAMES), 3).collect()}
