@@ -12,7 +12,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.operators.skew import salted_join
+from sparkloom.operators.bloom import with_membership
+from sparkloom.operators.skew import hot_salts, salted_join
+from sparkloom.runtime import materialise
 
 #: Entries of the list that one broadcast dictionary may hold (by estimate 100 MB); a longer list is used in blocks.
 ENTRIES_PER_BLOCK = {"name": 2_000, "verb": 300}
@@ -92,8 +94,14 @@ def edits(a: str, b: str, most: int) -> tuple[int, float] | None:
     return rows[n][m] if rows[n][m][0] <= most else None
 
 
+#: Characters of a text from which deletions are made. Two texts within k edits share one of the forms that their beginnings of
+#: this length have with up to k characters taken out, so nothing is lost and a long text has no more forms than a short one.
+BEGINNING = 12
+
+
 def deletions(word: str, most: int) -> set[str]:
-    """The word with up to ``most`` characters taken out."""
+    """The word's beginning with up to ``most`` characters taken out."""
+    word = word[:BEGINNING]
     out = {word}
     level = {word}
     for _ in range(most):
@@ -148,7 +156,7 @@ def allowed(length: int, most: int) -> int:
 class Dictionary:
     """Symmetric-delete dictionary of one block of entries.
 
-    ``aliases``: (text, entry number); ``index``: text with characters taken out -> alias numbers.
+    ``aliases``: (text, entry number); ``index``: beginning of a text with characters taken out -> alias numbers.
     Rank of a hit: edits, weighted edits, higher reference frequency, entry id."""
 
     ids: list[str]
@@ -242,14 +250,16 @@ def look_up_values(
 
     ``entries``: rows (ref_id, canonical_name[, frequency]). ``kind`` is ``name`` or ``verb`` (endings of a
     verb are set aside, its negation is not). A symmetric-delete dictionary of the list is broadcast, in
-    blocks of at most ``entries_per_block`` entries, so that its size is bounded whatever the list; with
-    more blocks than one the best rank over the blocks is kept. Every distinct name is looked up once.
+    blocks of at most ``entries_per_block`` entries: one block is looked up at a time, the best rank so far is written to
+    the shared folder and the block's dictionary given up before the next, so a worker never holds more than
+    one, whatever the list. Every distinct name is looked up once a block.
 
     Null, blank and sign-only names mean no entry. Ties go to fewer edits, less weight, the entry with
     the higher reference frequency, then the smaller id. An empty list maps nothing. Other columns are not read.
     """
     spark = names.sparkSession
     entries_per_block = entries_per_block or ENTRIES_PER_BLOCK[kind]
+    most = MOST_EDITS[kind] if most_edits is None else most_edits
     has_freq = "frequency" in entries.columns
     listed = (
         entries.select(
@@ -260,29 +270,46 @@ def look_up_values(
         .groupBy("ref_id", "canonical_name").agg(F.max("n").alias("n"))
         .orderBy("ref_id", "canonical_name")
     )
-    # a fixed number of partitions: few bytes, much work a name, so they must not be coalesced by size
-    out = names.select("name").filter(F.col("name").isNotNull()).distinct().repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "name")
+    # few bytes but much work a name: a number of tasks by the cores, dealt by a hash that no other exchange has,
+    # as a repartition by the name itself would give way to the exchange of the distinct and be coalesced by size
+    tasks = 3 * spark.sparkContext.defaultParallelism
+    best = names.select("name").filter(F.col("name").isNotNull()).distinct()
+    rank = F.lit(None).cast("struct<edits:int,weight:double,nfreq:long,ref_id:string>")
+    best = best.withColumn("_best", rank)
     rows = listed.toLocalIterator()
-    columns = []
-    while block := list(itertools.islice(rows, entries_per_block)):
-        shared = spark.sparkContext.broadcast(Dictionary.build([(r[0], r[1], r[2]) for r in block], kind, MOST_EDITS[kind] if most_edits is None else most_edits))
-        column = f"_hit{len(columns)}"
-        out = out.withColumn(column, _look_up(shared)(F.col("name")))
-        columns.append(column)
-    if not columns:
-        return out.select("name", F.lit(None).cast("string").alias("ref_id"), F.lit(None).cast("int").alias("edits"), F.lit(None).cast("double").alias("weight"))
-    best = F.get(F.array_sort(F.filter(F.array(*columns), lambda h: h["ref_id"].isNotNull())), F.lit(0))
-    return out.withColumn("_best", best).select("name", "_best.ref_id", "_best.edits", "_best.weight")
-
-
-def map_to_list(values: DataFrame, value: str, spread: str, entries: DataFrame, kind: str = "name", most_edits: int | None = None, entries_per_block: int | None = None) -> DataFrame:
+    block = list(itertools.islice(rows, entries_per_block))
+    while block:
+        shared = spark.sparkContext.broadcast(Dictionary.build([(r[0], r[1], r[2]) for r in block], kind, most))
+        hit = best.repartition(tasks, F.xxhash64("name")).withColumn("_hit", _look_up(shared)(F.col("name")))
+        both = F.filter(F.array("_best", "_hit"), lambda h: h["ref_id"].isNotNull())
+        best = hit.select("name", F.get(F.array_sort(both), F.lit(0)).alias("_best"))
+        block = list(itertools.islice(rows, entries_per_block))
+        if block:
+            best = materialise(best, "best-entries")
+            shared.destroy()
+    return best.select("name", "_best.ref_id", "_best.edits", "_best.weight")
+
+
+def map_to_list(
+    values: DataFrame, value: str, spread: str, entries: DataFrame, kind: str = "name", most_edits: int | None = None,
+    entries_per_block: int | None = None, counts: DataFrame | None = None,
+) -> DataFrame:
     """Rows of ``values`` that mean an entry, with its (ref_id, edits, weight); see ``look_up_values``.
 
-    Hits are few rows a name and meet the values in a join salted by ``spread``, as one value may hold a third of all
-    rows. Columns of ``values`` pass through; one named like an added column is given back as ``<name>_input``."""
+    ``counts``: rows (name, n) of the distinct values with their numbers of rows, if they are at hand. Hits are few rows a
+    name. Only rows whose value may be among them, by a Bloom filter of the hits, are shuffled to meet them, hot
+    values split by ``spread``. Columns of ``values`` pass through; one named like an added column is given back as
+    ``<name>_input``."""
     for c in ("ref_id", "edits", "weight"):
         if c in values.columns and c != value:
             values = values.withColumnRenamed(c, c + "_input")
             spread = c + "_input" if spread == c else spread
-    found = look_up_values(values.select(F.col(value).alias("name")), entries, kind, most_edits, entries_per_block).filter(F.col("ref_id").isNotNull())
-    return salted_join(values, found.withColumnRenamed("name", value), [value], F.col(spread))
+    if counts is None:
+        counts = materialise(values.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("name")).agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    found = materialise(look_up_values(counts, entries, kind, most_edits, entries_per_block).filter(F.col("ref_id").isNotNull()), "mapped-values")
+    maybe = "_maybe"
+    while maybe in values.columns:
+        maybe += "_"
+    near = with_membership(values, [value], found, ["name"], found.count(), maybe).filter(maybe).drop(maybe)
+    hot = hot_salts(counts.join(found.select("name"), "name", "left_semi"), ["name"], rows=F.col("n"))
+    return salted_join(near, found.withColumnRenamed("name", value), [value], F.col(spread), hot=hot)

@@ -130,20 +130,22 @@ def _lists(spark: SparkSession, sf_dir: str) -> list[tuple[list[str], DataFrame,
     return [(["predicate"], verbs, "verb"), (["subject", "object"], names, "name")]
 
 
-def _typed_values(spark: SparkSession, sf_dir: str, fields: list[str], entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(values that are not themselves entries, entries with their frequency among the values)."""
+def _typed_values(spark: SparkSession, sf_dir: str, fields: list[str], entries: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(mentions of values that are not themselves entries, the distinct such values with their numbers, entries with their
+    frequency among the values)."""
     values = _mention_fields(spark, sf_dir, fields)
-    used = values.groupBy("name").agg(F.count(F.lit(1)).alias("frequency"))
-    ranked = entries.join(used, entries["canonical_name"] == used["name"], "left").select("ref_id", "canonical_name", "frequency")
-    return values.join(entries.select(F.col("canonical_name").alias("name")).distinct(), "name", "left_anti"), ranked
+    used = materialise(values.groupBy("name").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    listed = entries.select(F.col("canonical_name").alias("name")).distinct()
+    ranked = entries.join(used, entries["canonical_name"] == used["name"], "left").select("ref_id", "canonical_name", F.col("n").alias("frequency"))
+    return values.join(listed, "name", "left_anti"), used.join(listed, "name", "left_anti"), ranked
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields that are a misspelt or otherwise written form of a list entry."""
     parts = []
     for fields, entries, kind in _lists(spark, sf_dir):
-        own, ranked = _typed_values(spark, sf_dir, fields, entries)
-        parts.append(map_to_list(own, "name", "row_id", ranked, kind))
+        own, counts, ranked = _typed_values(spark, sf_dir, fields, entries)
+        parts.append(map_to_list(own, "name", "row_id", ranked, kind, counts=counts))
     hit = reduce(DataFrame.unionByName, parts)
     return hit.select(F.col("row_id").alias("relation_mention_id"), "field_name", "ref_id").distinct()
 
@@ -152,9 +154,9 @@ def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values that mean no entry, with their number of mentions."""
     parts = []
     for fields, entries, kind in _lists(spark, sf_dir):
-        own, ranked = _typed_values(spark, sf_dir, fields, entries)
+        own, counts, ranked = _typed_values(spark, sf_dir, fields, entries)
         n = own.distinct().groupBy("field_name", "name").agg(F.count(F.lit(1)).alias("n_mentions"))
-        miss = look_up_values(own, ranked, kind).filter(F.col("ref_id").isNull()).select("name")
+        miss = look_up_values(counts, ranked, kind).filter(F.col("ref_id").isNull()).select("name")
         parts.append(n.join(miss, "name").select("field_name", "name", "n_mentions"))
     return reduce(DataFrame.unionByName, parts)
 
