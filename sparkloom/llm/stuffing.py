@@ -1,12 +1,15 @@
-"""Keyword-stuffed and link-list pages: a hidden Markov model over lines."""
+"""Keyword-stuffed and link-list pages: a hidden Markov model over lines, fitted to the collection."""
 
 from __future__ import annotations
 
 import math
 import re
 from collections import Counter
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,27 +18,22 @@ STATES = ("prose", "links", "tags", "menu")
 LINE_WORDS = 14
 #: A page is flagged when more than this share of its words is not prose.
 SHARE = 0.5
+#: Pages to which the model is fitted at most, and files they are taken from.
+SAMPLE_PAGES, SAMPLE_FILES = 2_000, 16
+#: Rounds of the fit.
+ROUNDS = 4
+#: A word comes again and again if it makes up one in so many words of its page (and comes three times).
+AGAIN_ONE_IN = 25
 
 _LINK = re.compile(r"!?\[[^\]\n]*\]\([^)\s]*\)|(?:https?://|www\.)\S+", re.I)
 _ANCHOR = re.compile(r"!?\[([^\]\n]*)\]")
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[^\\\d\s][.!?。])\s+(?!\[|https?:|www\.)")
-_STRUCTURE = re.compile(r"\s*(?:#{1,6}\s|[-*•]?\s*제\s*\d+\s*(?:조|장|절|편)|(?:제목|법령ID)\s*:|-{3,}\s*$)")
-_ITEM = re.compile(r"\s*(?:[-*•]|\d{1,3}\\?[.)]|[가나다라마바사아자차카타파하]\\?[.)])\s+")
+_STRUCTURE = re.compile(r"\s*(?:#{1,6}\s|[-*•]?\s*제\s*\d+\s*(?:조|장|절|편)|\S{1,12}\s*:\s|-{3,}\s*$)")
+_ITEM = re.compile(r"\s*(?:[-*•]|\d{1,3}\\?[.)]|\w\\?[.)])\s+")
 _TAG_LABEL = re.compile(r"태그\s*:|\btags?\s*:", re.I)
 _TAG = re.compile(r"(?<!\S)#[^\W_][\w-]*")
 
-# Words and word ends that sentences have and lists of keywords lack.
-_FUNCTION = frozenset(
-    "a an the of to in on at by for with and or if may shall must not no is are was were be been has have had it its that which who this from as than under "
-    "unless nothing every each any all before after where when while until per only so but his her their our your he she they we you i read "
-    "및 또는 수 등 데 뒤 때 후 내 외 것 바 그 이 다만 따라 대한 관한 위한 한다 이는 더 못 안 년 전".split()
-)
-_END = re.compile(
-    r"(?<=.)(?:에서는|에서|에게|으로|까지|부터|처럼|보다|에는|에도|이란|이라|은|는|을|를|에|의|로|와|과|한|할|된|될|인|던|다|며|면|면서|하여|하고|되어|려면|거나|지만|니다|시오|까|요)\Z"
-)
-_PARTICLE = re.compile(r"(?<=..)(?:에서는|에서|에게|으로|까지|부터|에는|은|는|을|를|에|의|로|와|과)\Z")
-
 
 def lines(text: str) -> list[str]:
     """The lines of a page; sentences count as lines, and long runs of words are cut."""
@@ -54,45 +52,56 @@ def lines(text: str) -> list[str]:
     return out
 
 
-def is_function(word: str) -> bool:
-    return word in _FUNCTION or _END.search(word) is not None
+def ending(low: str) -> str:
+    """By what a word is known as one of running text or of lists: a short alphabetic word itself, the last three letters of a
+    longer one, the last character in scripts of syllables."""
+    if low[-1] >= "⺀":
+        return low[-1] if len(low) > 1 else "=" + low
+    return "=" + low if len(low) <= 4 else low[-3:]
 
 
 class _Words(dict):
-    """Word as written -> (is a function word, its stem or None), a bounded memory."""
+    """Word as written -> (ending, the word in lower case or None), a bounded memory. Short alphabetic words, which any text
+    repeats, are not counted as repetitions: None."""
 
-    def __missing__(self, word: str) -> tuple[bool, str | None]:
+    def __missing__(self, word: str) -> tuple[str, str | None]:
         low = word.lower()
-        got = (is_function(low), None if low in _FUNCTION else _PARTICLE.sub("", low))
         if len(self) >= 200_000:
             self.clear()
-        self[word] = got
+        got = self[word] = (ending(low), low if low[-1] >= "⺀" or len(low) > 3 else None)
         return got
 
 
 _KNOWN = _Words()
 
 
-def _unlinked(text: str, anchors: bool) -> str:
-    """The text without links; their anchor texts stay if asked for."""
+def _unlinked(text: str) -> str:
+    """The text with links replaced by their anchor texts."""
     if "://" not in text and "](" not in text and "www." not in text.lower():
         return text
-    return _LINK.sub((lambda m: " " + " ".join(_ANCHOR.findall(m.group())) + " ") if anchors else " ", text)
+    return _LINK.sub(lambda m: " " + " ".join(_ANCHOR.findall(m.group())) + " ", text)
+
 
+@dataclass
+class Line:
+    """What is seen of a line: words (a link counts as two), levels of link, tag, repeated and doubled, whether it is a
+    heading, and the endings of its words but the last.
 
-def stems(text: str) -> list[str]:
-    """Lower-case words without particles, function words left out."""
-    return [s for w in _WORD.findall(text) if (s := _KNOWN[w][1]) is not None]
+    link: 0 none, 1 beside words, 2 hardly anything but links. tag: 0 none, 1 some, 2 mostly tags. repeated: share of words
+    that come again and again in the page, 0 few, 1 many, 2 nearly all. doubled: share of words that the line itself
+    repeats, 0 few, 1 some, 2 many."""
 
+    words: int
+    link: int
+    tag: int
+    repeated: int
+    doubled: int
+    heading: bool
+    ends: list[str]
 
-def observe(line: str, counts: Counter, n_words: int) -> tuple[int, int, int, int, int, int]:
-    """(words, link, tag, function, repeated, doubled) of a line: its length and levels of 0..2 or 0..3.
 
-    link: 0 none, 1 beside words, 2 hardly anything but links. tag: 0 none, 1 some, 2 mostly tags. function: share
-    of function words among the words that do not end the line, 0 none, 1 some, 2 many; 3 for structure
-    (headings, contents), where it tells nothing. repeated: share of stems that come again and again in the page, 0 few,
-    1 many, 2 nearly all. doubled: share of stems that the line itself repeats, 0 few, 1 some, 2 many."""
-    words = _WORD.findall(_unlinked(line, True))
+def see(line: str, counts: Counter, n_words: int) -> Line:
+    words = _WORD.findall(_unlinked(line))
     urls = len(_LINK.findall(line)) if "://" in line or "](" in line or "www." in line.lower() else 0
     link = 0
     if urls:
@@ -102,114 +111,252 @@ def observe(line: str, counts: Counter, n_words: int) -> tuple[int, int, int, in
     if ":" in line and _TAG_LABEL.search(line):
         tags = max(tags, len(words) // 2 + 1)
     tag = 0 if not tags else 2 if tags * 2 >= len(words) else 1
-    if not words:
-        return max(1, 2 * urls), link, tag, 3, 0, 0
     known = [_KNOWN[w] for w in words]
-    if _STRUCTURE.match(line):
-        function = 3
-    else:
-        body = known[:-1] or known
-        share = sum(f for f, _ in body) / len(body)
-        function = 0 if share < 0.12 else 1 if share < 0.28 else 2
-    content = [x for _, x in known if x is not None]
+    content = [s for _, s in known if s is not None]
     repeated = doubled = 0
     if content:
-        again = max(3, n_words // 60)
-        rep = sum(counts[x] >= again for x in content) / len(content)
+        again = max(3, n_words // AGAIN_ONE_IN)
+        rep = sum(counts[s] >= again for s in content) / len(content)
         repeated = 0 if rep < 0.4 else 1 if rep < 0.75 else 2
         twice = 1 - len(set(content)) / len(content)
         doubled = 0 if twice < 0.2 else 1 if twice < 0.4 else 2
-    return len(words) + 2 * urls, link, tag, function, repeated, doubled
-
-
-def _logs(*p: float) -> tuple[float, ...]:
-    return tuple(math.log(x) for x in p)
+    return Line(max(1, len(words) + 2 * urls), link, tag, repeated, doubled, _STRUCTURE.match(line) is not None, [e for e, _ in known[:-1]])
 
 
-#: Chances of the levels of link, tag, function, repeated and doubled in each state.
-EMISSION = {
-    "prose": (_logs(0.90, 0.095, 0.005), _logs(0.97, 0.025, 0.005), _logs(0.07, 0.16, 0.47, 0.30), _logs(0.77, 0.18, 0.05), _logs(0.93, 0.06, 0.01)),
-    "links": (_logs(0.02, 0.08, 0.90), _logs(0.90, 0.07, 0.03), _logs(0.45, 0.15, 0.20, 0.20), _logs(0.60, 0.20, 0.20), _logs(0.80, 0.10, 0.10)),
-    "tags": (_logs(0.60, 0.30, 0.10), _logs(0.01, 0.09, 0.90), _logs(0.70, 0.15, 0.05, 0.10), _logs(0.60, 0.20, 0.20), _logs(0.80, 0.10, 0.10)),
-    "menu": (_logs(0.94, 0.03, 0.03), _logs(0.94, 0.05, 0.01), _logs(0.78, 0.17, 0.02, 0.03), _logs(0.08, 0.22, 0.70), _logs(0.45, 0.25, 0.30)),
-}
-START = _logs(0.70, 0.10, 0.10, 0.10)
-STAY, LEAVE = math.log(0.85), math.log(0.05)
-
-
-def viterbi(observed: list[tuple[int, ...]]) -> list[str]:
-    """The likeliest states of the lines; ties go to the state named first."""
-    if not observed:
-        return []
-    tables = [EMISSION[s] for s in STATES]
-
-    def emit(k: int, o: tuple[int, ...]) -> float:
-        t = tables[k]
-        return sum(level[x] for level, x in zip(t, o))
-
-    n = len(STATES)
-    score = [START[k] + emit(k, observed[0]) for k in range(n)]
-    back = []
-    known: dict[tuple[int, ...], list[float]] = {}
-    for o in observed[1:]:
-        e = known.get(o)
-        if e is None:
-            e = known[o] = [emit(k, o) for k in range(n)]
-        top = max(range(n), key=lambda k: score[k])
-        step, nxt = [], []
-        for k in range(n):
-            stay, come = score[k] + STAY, score[top] + LEAVE
-            step.append(k if stay >= come else top)
-            nxt.append(max(stay, come) + e[k])
-        back.append(step)
-        score = nxt
-    k = max(range(n), key=lambda k: score[k])
-    path = [k]
-    for step in reversed(back):
-        k = step[k]
-        path.append(k)
-    return [STATES[k] for k in reversed(path)]
-
-
-def label_page(text: str | None) -> list[tuple[str, int]]:
-    """(state, words) of every line of the page, a link counting as two words."""
+def see_page(text: str | None) -> list[Line]:
     if not text:
         return []
-    page = lines(text)
-    counts = Counter(stems(_unlinked(text, True)))
+    counts = Counter(s for w in _WORD.findall(_unlinked(text)) if (s := _KNOWN[w][1]) is not None)
     total = sum(counts.values())
-    seen = [observe(x, counts, total) for x in page]
-    return [(s, o[0]) for s, o in zip(viterbi([o[1:] for o in seen]), seen)]
+    return [see(x, counts, total) for x in lines(text)]
+
+
+def weak_label(x: Line, ends: int) -> int | None:
+    """The state that a line has by definition, where it leaves no doubt: hardly anything but links or tags, words of which nearly
+    all come again in the page and some in the line itself, or nothing of all that. Running text without a word twice is prose
+    however often the page repeats its words."""
+    if x.link == 2:
+        return 1
+    if x.tag == 2:
+        return 2
+    if x.link or x.tag:
+        return None
+    if x.repeated == 2 and x.doubled >= 1:
+        return 3
+    return 0 if not x.doubled and (not x.repeated or ends == 2) else None
+
+
+#: Levels of the link and tag features, and of the words: repeated, doubled and endings together.
+LEVELS = (3, 3, 36)
+
+
+def _words_level(repeated: int, doubled: int, ends: int) -> int:
+    return (repeated * 3 + doubled) * 4 + ends
+
+
+#: Lines by definition that the counts begin with, so that a state no sampled page shows still has chances.
+_DEFINED = {0: (0, 0, _words_level(0, 0, 2)), 1: (2, 0, _words_level(0, 0, 0)), 2: (0, 2, _words_level(0, 0, 0)), 3: (0, 0, _words_level(2, 2, 0))}
+
+
+@dataclass
+class Model:
+    """Log chances counted from the sample: ``ends`` of word endings (running text over lists), ``start``, ``move`` and
+    ``emit``, the last one for every level of link, tag and words in every state."""
+
+    ends: dict[str, float]
+    start: np.ndarray
+    move: np.ndarray
+    emit: list[np.ndarray]
+
+    def of_ends(self, x: Line) -> int:
+        """Level of a line's endings: 0 as in lists, 2 as in running text, 3 a heading or a lone word; 1 says nothing, as half of
+        them or more are unknown (a language the sample hardly holds) or they stand against each other."""
+        if x.heading or not x.ends:
+            return 3
+        known = [self.ends[w] for w in x.ends if w in self.ends]
+        score = sum(known) / len(x.ends) if len(known) * 2 > len(x.ends) else 0.0
+        return 0 if score < -0.3 else 1 if score < 0.3 else 2
+
+    def levels(self, x: Line) -> tuple[int, int, int]:
+        return x.link, x.tag, _words_level(x.repeated, x.doubled, self.of_ends(x))
+
+    def label(self, page: list[Line]) -> list[str]:
+        """The likeliest states of the lines; ties go to the state named first."""
+        if not page:
+            return []
+        known: dict[tuple[int, ...], list[float]] = {}
+        emit = [t.tolist() for t in self.emit]
+        move, n = self.move.tolist(), range(len(STATES))
+        score: list[float] = []
+        back = []
+        for x in page:
+            o = self.levels(x)
+            e = known.get(o)
+            if e is None:
+                e = known[o] = [sum(t[k][v] for t, v in zip(emit, o)) for k in n]
+            if not score:
+                score = [self.start[k] + e[k] for k in n]
+                continue
+            come = [max(n, key=lambda j, k=k: score[j] + move[j][k]) for k in n]
+            score = [score[j] + move[j][k] + e[k] for k, j in enumerate(come)]
+            back.append(come)
+        k = max(n, key=lambda k: score[k])
+        path = [k]
+        for come in reversed(back):
+            k = come[k]
+            path.append(k)
+        return [STATES[k] for k in reversed(path)]
+
+
+def _chances(counts: list[np.ndarray]) -> list[np.ndarray]:
+    """Counts of levels as chances; endings that say nothing have the chance of whatever endings with the other words' levels."""
+    link, tag, text = counts
+    cells = text.reshape(len(text), -1, 4)
+    cells[:, :, 1] = 0
+    out = [t / t.sum(axis=1, keepdims=True) for t in (link, tag, text)]
+    cells = out[-1].reshape(len(text), -1, 4)
+    cells[:, :, 1] = cells.sum(axis=2)
+    return out
 
 
-def stuffed_share(text: str | None) -> dict[str, float]:
+def fit(texts: list[str]) -> Model:
+    """The model of a sample of pages, without any labels given.
+
+    1. Lines that are prose, links, tags or a menu beyond doubt by their definition are counted: word endings of running text
+       against those of lists, and the levels in each state. 2. The Baum-Welch algorithm fits the chances to all lines, begun
+       from these counts; lines beyond doubt keep their state in it, so that states keep their meaning while the lines in doubt
+       and the moves between states are learned. The order of texts does not matter."""
+    pages = [p for t in texts if (p := see_page(t))]
+    plain, listed = Counter(), Counter()
+    for p in pages:
+        for x in p:
+            w = weak_label(x, 0)
+            if w is not None and not x.heading:
+                (listed if w else plain).update(x.ends)
+    a, b = max(1, sum(plain.values())), max(1, sum(listed.values()))
+    scale = 3.0  # counts below this say little
+    ends = {
+        e: math.log((plain[e] / a * min(a, b) + scale) / (listed[e] / b * min(a, b) + scale)) for e in {*plain, *listed} if plain[e] + listed[e] >= scale
+    }
+    s = len(STATES)
+    prior = [np.full((s, n), 0.5 if n < 10 else 0.1) for n in LEVELS]
+    model = Model(ends, np.zeros(s), np.zeros((s, s)), [])
+    for k, levels in _DEFINED.items():
+        for t, v in zip(prior, levels):
+            t[k, v] += 10
+    seen = [np.array([model.levels(x) for x in p]) for p in pages]
+    weak = [[weak_label(x, v[2] % 4) for x, v in zip(p, o)] for p, o in zip(pages, seen)]
+    begun = [t.copy() for t in prior]
+    for o, ws in zip(seen, weak):
+        for row, w in zip(o, ws):
+            if w is not None:
+                for t, v in zip(begun, row):
+                    t[w, v] += 1
+    emit = _chances(begun)
+    move = np.full((s, s), 0.05) + np.eye(s) * 0.8
+    start = np.full(s, 1 / s)
+    # pages of like length are stacked, the shorter ones filled up with lines that say nothing
+    groups: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    for o, ws in zip(seen, weak):
+        # a line without a link is of no link list, one without a tag of no tag list
+        may = np.array([[w == k or (w is None and (k != 1 or row[0] > 0) and (k != 2 or row[1] > 0)) for k in range(s)] for w, row in zip(ws, o)], dtype=float)
+        groups.setdefault(1 << (len(o) - 1).bit_length(), []).append((o, may))
+    stacked = []
+    for length, g in sorted(groups.items()):
+        there = np.array([[j < len(o) for j in range(length)] for o, _ in g])
+        stacked.append((*[np.stack([np.pad(x[i], ((0, length - len(x[i])), (0, 0)), constant_values=i) for x in g]) for i in (0, 1)], there))
+    for _ in range(ROUNDS):
+        n_emit, n_move, n_start = [t.copy() for t in prior], np.full((s, s), 1.0) + np.eye(s) * 8, np.ones(s)
+        for o, may, there in stacked:
+            like = may.copy()
+            for i, t in enumerate(emit):
+                like *= t.T[o[:, :, i]]
+            like[~there] = 1
+            length = o.shape[1]
+            fore = np.empty_like(like)
+            fore[:, 0] = start * like[:, 0]
+            fore[:, 0] /= fore[:, 0].sum(axis=1, keepdims=True)
+            for j in range(1, length):
+                fore[:, j] = (fore[:, j - 1] @ move) * like[:, j]
+                fore[:, j] /= fore[:, j].sum(axis=1, keepdims=True)
+            rear = np.ones_like(like[:, 0])
+            for j in range(length - 1, -1, -1):
+                post = fore[:, j] * rear
+                post /= post.sum(axis=1, keepdims=True)
+                post[~there[:, j]] = 0
+                for i, t in enumerate(n_emit):
+                    for v in np.unique(o[:, j, i]):
+                        t[:, v] += post[o[:, j, i] == v].sum(axis=0)
+                if j:
+                    ahead = like[:, j] * rear
+                    pair = fore[:, j - 1][:, :, None] * move[None] * ahead[:, None, :]
+                    pair /= pair.sum(axis=(1, 2), keepdims=True)
+                    pair[~there[:, j]] = 0
+                    n_move += pair.sum(axis=0)
+                    rear = ahead @ move.T
+                    rear /= rear.sum(axis=1, keepdims=True)
+                else:
+                    n_start += post.sum(axis=0)
+        emit = _chances(n_emit)
+        move, start = n_move / n_move.sum(axis=1, keepdims=True), n_start / n_start.sum()
+    return Model(ends, np.log(start), np.log(move), [np.log(t) for t in emit])
+
+
+def label_page(text: str | None, model: Model) -> list[tuple[str, int]]:
+    """(state, words) of every line of the page, a link counting as two words."""
+    page = see_page(text)
+    return [(s, x.words) for s, x in zip(model.label(page), page)]
+
+
+def stuffed_share(text: str | None, model: Model) -> dict[str, float]:
     """Share of the page's words in each state other than prose; zeros for a page without words."""
     words: Counter = Counter()
-    for state, n in label_page(text):
+    for state, n in label_page(text, model):
         words[state] += n
     total = sum(words.values())
     return {s: (words[s] / total if total else 0.0) for s in STATES[1:]}
 
 
-def _pages():
+def sample_pages(documents: DataFrame, key: str, text: str, pages: int = SAMPLE_PAGES, files: int = SAMPLE_FILES) -> list[str]:
+    """The texts of at most ``pages`` pages of at most ``files`` files for the fit, chosen by hash, each shorter than 100,000
+    characters: a bound on what the driver gets, whatever the collection. Only the fit uses a sample."""
+    paths = documents.inputFiles()
+    source = documents
+    if len(paths) > files:
+        chosen = pd.Series(sorted(paths))
+        chosen = chosen[pd.util.hash_pandas_object(chosen, index=False).sort_values(kind="stable").index[:files]]
+        try:
+            source = documents.filter(F.col("_metadata.file_path").isin(list(chosen)))
+        except AnalysisException:  # the pages are computed, not read
+            source = documents
+    slim = source.select(F.col(key).alias("k"), F.col(text).alias("t")).filter(F.length("t").between(1, 100_000))
+    return [r["t"] for r in slim.orderBy(F.xxhash64("k"), "k", "t").limit(pages).collect()]
+
+
+def _pages(shared):
     @F.pandas_udf("struct<links:double,tags:double,menu:double>")
     def shares(s: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([tuple(stuffed_share(t).values()) for t in s], columns=["links", "tags", "menu"])
+        model = shared.value
+        return pd.DataFrame([tuple(stuffed_share(t, model).values()) for t in s], columns=["links", "tags", "menu"])
 
     return shares
 
 
-def stuffed_pages(documents: DataFrame, key: str, text: str) -> DataFrame:
+def stuffed_pages(documents: DataFrame, key: str, text: str, model: Model | None = None) -> DataFrame:
     """Rows (doc_id, links, tags, menu, stuffed): shares of non-prose words and whether they exceed SHARE together.
 
     Lines are labelled prose, link list, tag list or menu (lists of keywords) by the likeliest path of a hidden
-    Markov model, so a heading inside a list or a link inside prose takes the label of its surroundings. Its
-    chances are the constants of this module. One Arrow pass over whole texts, no shuffle.
+    Markov model, so a heading inside a list or a link inside prose takes the label of its surroundings. Unless a
+    ``model`` is given, it is fitted to a bounded sample of the documents (``fit``); labelling covers all of them and their
+    whole texts, in one Arrow pass without a shuffle. No list of words of any language goes into it.
 
     Null, empty and blank texts have shares 0 and are not flagged. Repeated rows give repeated results; other
     columns are not read.
     """
+    if model is None:
+        model = fit(sample_pages(documents, key, text))
+    shared = documents.sparkSession.sparkContext.broadcast(model)
     slim = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("_t"))
-    scored = slim.withColumn("s", _pages()("_t"))
+    scored = slim.withColumn("s", _pages(shared)("_t"))
     share = F.col("s.links") + F.col("s.tags") + F.col("s.menu")
     return scored.select("doc_id", "s.links", "s.tags", "s.menu", (share > SHARE).alias("stuffed"))

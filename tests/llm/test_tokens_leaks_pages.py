@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sparkloom.llm.leaks import RUN, ItemIndex, find_leaks, letters
-from sparkloom.llm.stuffing import label_page, stuffed_pages, viterbi
+from sparkloom.llm.stuffing import fit, label_page, sample_pages, stuffed_pages, stuffed_share
 from sparkloom.llm.tokenize import PATTERN, VOCABULARY, Encoder, PerfectHash, encode, read_ranks
 
 tiktoken = pytest.importorskip("tiktoken")
@@ -81,8 +81,8 @@ def test_leaks_against_brute_force():
         docs.append(t[:100] + cut + t[100:])
     docs += ["", "가" * 59, "가" * 60, opening, opening[:59] + "!" + opening[59:]]
     index = ItemIndex([(i, letters(t)) for i, t in items])
-    for d in docs:
-        assert index.leaked(d) == [i for i, t in items if shares_run(t, d)]
+    for d, got in zip(docs, index.leaked([*docs, None])):
+        assert got == [i for i, t in items if shares_run(t, d)]
 
 
 def test_find_leaks(spark):
@@ -120,18 +120,53 @@ FINE = {
 }
 
 
-def test_pages(spark):
+TONGUES = {
+    "es": "El consejo se reunió ayer por la tarde en la sala principal del edificio. Los vecinos presentaron sus quejas sobre el ruido de las obras. La presidenta explicó que el contrato termina en el mes de marzo. Después de la votación se aprobó el nuevo presupuesto de la ciudad. Un grupo de jóvenes pidió más espacio para las bicicletas en las calles del centro. El alcalde respondió que el plan de movilidad se publicará antes del verano. La biblioteca abrirá los sábados a partir de la próxima semana. Varios comerciantes se mostraron preocupados por el precio de la luz. El informe de los técnicos se puede consultar en la página del ayuntamiento. La reunión terminó a las nueve de la noche con un aplauso. Los niños del barrio cantaron una canción en el patio de la escuela. El arquitecto mostró los planos de la plaza con mucho detalle. En el parque se plantarán doce árboles antes de la primavera. La policía informó de que no hubo incidentes durante la fiesta. El próximo encuentro será el primer lunes de mayo.",
+    "ru": "Вчера вечером совет собрался в главном зале здания. Жители пожаловались на шум от строительных работ. Председатель объяснила, что договор заканчивается в марте. После голосования был принят новый бюджет города. Группа молодых людей попросила больше места для велосипедов. Мэр ответил, что план будет опубликован до начала лета. Библиотека будет открыта по субботам со следующей недели. Некоторые торговцы обеспокоены ценой на электричество. Отчёт специалистов можно прочитать на сайте администрации. Встреча закончилась в девять часов вечера.",
+    "de": "Der Rat tagte gestern Abend im großen Saal des Rathauses. Die Anwohner beschwerten sich über den Lärm der Bauarbeiten. Die Vorsitzende erklärte, dass der Vertrag im März endet. Nach der Abstimmung wurde der neue Haushalt der Stadt beschlossen. Eine Gruppe junger Leute bat um mehr Platz für Fahrräder. Der Bürgermeister antwortete, dass der Plan vor dem Sommer veröffentlicht wird. Die Bücherei ist ab der nächsten Woche auch am Samstag offen. Der Bericht der Fachleute kann auf der Seite der Verwaltung gelesen werden.",
+    "zh": "委员会昨天晚上在大楼的主会议厅开会。居民们对施工噪音表示不满。主席解释说合同将于三月到期。投票之后通过了城市的新预算。一群年轻人要求为自行车提供更多空间。市长回答说该计划将在夏天之前公布。图书馆从下周起星期六也开放。一些商人对电价感到担忧。",
+    "ja": "委員会は昨日の夕方、建物の大広間で開かれた。住民は工事の騒音について不満を述べた。議長は契約が三月に終わると説明した。投票の後、市の新しい予算が承認された。若者のグループは自転車のための場所を増やすよう求めた。",
+    "ar": "اجتمع المجلس مساء أمس في القاعة الرئيسية للمبنى. اشتكى السكان من ضوضاء أعمال البناء. أوضحت الرئيسة أن العقد ينتهي في شهر مارس. بعد التصويت تمت الموافقة على الميزانية الجديدة للمدينة. طلبت مجموعة من الشباب مساحة أكبر للدراجات.",
+    "fr": "Le conseil s'est réuni hier soir dans la grande salle de la mairie. Les habitants se sont plaints du bruit des travaux dans la rue. La présidente a expliqué que le contrat se termine au mois de mars. Après le vote, le nouveau budget de la ville a été adopté. Un groupe de jeunes a demandé plus de place pour les vélos. Le maire a répondu que le plan sera publié avant l'été. La bibliothèque sera ouverte le samedi à partir de la semaine prochaine. Le rapport des experts peut être consulté sur la page de la mairie.",
+    "hi": "कल शाम भवन के मुख्य हॉल में परिषद की बैठक हुई। निवासियों ने निर्माण कार्य के शोर की शिकायत की। अध्यक्ष ने बताया कि अनुबंध मार्च में समाप्त होगा। मतदान के बाद शहर का नया बजट स्वीकृत हुआ।",
+}
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return fit(sample_pages(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), "doc_id", "text"))
+
+
+def test_pages(spark, model):
     rows = [(i, t, "c") for i, t in enumerate([*SPAM.values(), *FINE.values(), None, "", " \n ", "말" * 50_000])]
-    got = {r.doc_id: r.stuffed for r in stuffed_pages(spark.createDataFrame(rows, "doc_id long, text string, stuffed string"), "doc_id", "text").collect()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, stuffed string")
+    got = {r.doc_id: r.stuffed for r in stuffed_pages(docs, "doc_id", "text", model).collect()}
     names = [*SPAM, *FINE, "null", "empty", "blank", "one long word"]
     assert [names[i] for i in sorted(got) if got[i]] == list(SPAM)
     assert len(got) == len(rows)
-    assert stuffed_pages(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text").count() == 0
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert stuffed_pages(none, "doc_id", "text").count() == 0
+    assert stuffed_pages(docs.filter("text is null or text = ''"), "doc_id", "text").filter("stuffed").count() == 0
+
+
+@pytest.mark.parametrize("tongue", list(TONGUES))
+@pytest.mark.parametrize("between", [". ", ".\n", "\n\n"])
+def test_prose_of_any_language_is_prose(model, tongue, between):
+    assert sum(stuffed_share(TONGUES[tongue].replace(". ", between), model).values()) < 0.2
+
+
+def test_lists_of_keywords_of_other_languages(model):
+    for words in ("comprar zapatos baratos zapatos online comprar zapatos oferta ", "купить окна дешево окна цена купить окна скидка окна ", "schuhe kaufen schuhe billig schuhe online "):
+        assert sum(stuffed_share(words * 20, model).values()) > 0.9
+
+
+def test_the_fit_does_not_depend_on_order_and_starts_from_nothing():
+    texts = [*SPAM.values(), *FINE.values()]
+    a, b = fit(texts), fit(texts[::-1])
+    assert a.ends == b.ends and all(abs(x - y).max() < 1e-9 for x, y in zip([a.move, a.start, *a.emit], [b.move, b.start, *b.emit]))
+    assert label_page("", fit([])) == [] and stuffed_share(SPAM["links"], fit([]))["links"] > 0.9
 
 
-def test_the_path_smooths_single_lines():
-    link, prose = (2, 0, 3, 0, 0), (0, 0, 2, 0, 0)
-    odd = (0, 0, 0, 1, 0)
-    assert viterbi([link] * 5 + [(1, 0, 3, 0, 0)] + [link] * 5) == ["links"] * 11
-    assert viterbi([prose] * 4 + [odd] + [prose] * 4) == ["prose"] * 9
-    assert viterbi([]) == [] and label_page(None) == [] and label_page("  ") == []
+def test_the_path_smooths_single_lines(model):
+    assert [s for s, _ in label_page("\n".join([*["[a b](http://x.test/1)"] * 5, "see also http://y.test/2 and more words", *["[a b](http://x.test/1)"] * 5]), model)] == ["links"] * 11
+    assert label_page(None, model) == [] and label_page("  ", model) == []
