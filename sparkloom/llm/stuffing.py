@@ -30,6 +30,7 @@ _ANCHOR = re.compile(r"!?\[([^\]\n]*)\]")
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[^\\\d\s][.!?。])\s+(?!\[|https?:|www\.)")
 _STRUCTURE = re.compile(r"\s*(?:#{1,6}\s|[-*•]?\s*제\s*\d+\s*(?:조|장|절|편)|\S{1,12}\s*:\s|-{3,}\s*$)")
+_HEADS = frozenset("#-*•제")
 _ITEM = re.compile(r"\s*(?:[-*•]|\d{1,3}\\?[.)]|\w\\?[.)])\s+")
 _TAG_LABEL = re.compile(r"태그\s*:|\btags?\s*:", re.I)
 _TAG = re.compile(r"(?<!\S)#[^\W_][\w-]*")
@@ -41,7 +42,7 @@ def lines(text: str) -> list[str]:
     for line in text.splitlines():
         if not line.strip():
             continue
-        for part in _SENTENCE.split(line) if not _STRUCTURE.match(line) else [line]:
+        for part in [line] if _heading(line) else _SENTENCE.split(line):
             words = part.split()
             if len(words) <= LINE_WORDS:
                 if words:
@@ -82,7 +83,7 @@ def _unlinked(text: str) -> str:
     return _LINK.sub(lambda m: " " + " ".join(_ANCHOR.findall(m.group())) + " ", text)
 
 
-@dataclass
+@dataclass(slots=True)
 class Line:
     """What is seen of a line: words (a link counts as two), levels of link, tag, repeated and doubled, whether it is a
     heading, and the endings of its words but the last.
@@ -100,35 +101,45 @@ class Line:
     ends: list[str]
 
 
-def see(line: str, counts: Counter, n_words: int) -> Line:
-    words = _WORD.findall(_unlinked(line))
-    urls = len(_LINK.findall(line)) if "://" in line or "](" in line or "www." in line.lower() else 0
+def _heading(line: str) -> bool:
+    return (":" in line or line.lstrip()[:1] in _HEADS) and _STRUCTURE.match(line) is not None
+
+
+def see_page(text: str | None) -> list[Line]:
+    if not text:
+        return []
+    split = []
+    every: list[str] = []
+    for line in lines(text):
+        linked = "://" in line or "](" in line or "www." in line.lower()
+        known = [_KNOWN[w] for w in _WORD.findall(_unlinked(line) if linked else line)]
+        content = [s for _, s in known if s is not None]
+        every += content
+        split.append((line, linked, known, content))
+    least = max(3, len(every) // AGAIN_ONE_IN)
+    again = {s for s, n in Counter(every).items() if n >= least}
+    return [_see(*x, again) for x in split]
+
+
+def _see(line: str, linked: bool, known: list[tuple[str, str | None]], content: list[str], again: set[str]) -> Line:
+    urls = len(_LINK.findall(line)) if linked else 0
     link = 0
     if urls:
         outside = _WORD.findall(_ITEM.sub("", _LINK.sub(" ", line)))
         link = 2 if len(outside) <= 2 * urls else 1
     tags = len(_TAG.findall(line)) if "#" in line else 0
     if ":" in line and _TAG_LABEL.search(line):
-        tags = max(tags, len(words) // 2 + 1)
-    tag = 0 if not tags else 2 if tags * 2 >= len(words) else 1
-    known = [_KNOWN[w] for w in words]
-    content = [s for _, s in known if s is not None]
+        tags = max(tags, len(known) // 2 + 1)
+    tag = 0 if not tags else 2 if tags * 2 >= len(known) else 1
     repeated = doubled = 0
-    if content:
-        again = max(3, n_words // AGAIN_ONE_IN)
-        rep = sum(counts[s] >= again for s in content) / len(content)
-        repeated = 0 if rep < 0.4 else 1 if rep < 0.75 else 2
-        twice = 1 - len(set(content)) / len(content)
+    n = len(content)
+    if n:
+        if again:
+            rep = sum([s in again for s in content]) / n
+            repeated = 0 if rep < 0.4 else 1 if rep < 0.75 else 2
+        twice = 1 - len(set(content)) / n
         doubled = 0 if twice < 0.2 else 1 if twice < 0.4 else 2
-    return Line(max(1, len(words) + 2 * urls), link, tag, repeated, doubled, _STRUCTURE.match(line) is not None, [e for e, _ in known[:-1]])
-
-
-def see_page(text: str | None) -> list[Line]:
-    if not text:
-        return []
-    counts = Counter(s for w in _WORD.findall(_unlinked(text)) if (s := _KNOWN[w][1]) is not None)
-    total = sum(counts.values())
-    return [see(x, counts, total) for x in lines(text)]
+    return Line(max(1, len(known) + 2 * urls), link, tag, repeated, doubled, _heading(line), [e for e, _ in known[:-1]])
 
 
 def weak_label(x: Line, ends: int) -> int | None:
@@ -173,7 +184,8 @@ class Model:
         them or more are unknown (a language the sample hardly holds) or they stand against each other."""
         if x.heading or not x.ends:
             return 3
-        known = [self.ends[w] for w in x.ends if w in self.ends]
+        get = self.ends.get
+        known = [v for w in x.ends if (v := get(w)) is not None]
         score = sum(known) / len(x.ends) if len(known) * 2 > len(x.ends) else 0.0
         return 0 if score < -0.3 else 1 if score < 0.3 else 2
 
@@ -184,23 +196,35 @@ class Model:
         """The likeliest states of the lines; ties go to the state named first."""
         if not page:
             return []
-        known: dict[tuple[int, ...], list[float]] = {}
-        emit = [t.tolist() for t in self.emit]
-        move, n = self.move.tolist(), range(len(STATES))
-        score: list[float] = []
-        back = []
+        # the chances of a step to each state, its emission included, by what is seen
+        known: dict[tuple[int, ...], list[tuple[float, ...]]] = {}
+        a = b = c = d = 0.0
+        back: list[tuple[int, int, int, int]] = []
+        first = True
         for x in page:
             o = self.levels(x)
-            e = known.get(o)
-            if e is None:
-                e = known[o] = [sum(t[k][v] for t, v in zip(emit, o)) for k in n]
-            if not score:
-                score = [self.start[k] + e[k] for k in n]
+            rows = known.get(o)
+            if rows is None:
+                e = sum(t[:, v] for t, v in zip(self.emit, o))
+                rows = known[o] = [tuple(r) for r in (self.move + e).T.tolist()] + [tuple((self.start + e).tolist())]
+            if first:
+                (a, b, c, d), first = rows[4], False
                 continue
-            come = [max(n, key=lambda j, k=k: score[j] + move[j][k]) for k in n]
-            score = [score[j] + move[j][k] + e[k] for k, j in enumerate(come)]
-            back.append(come)
-        k = max(n, key=lambda k: score[k])
+            best, come = [], []
+            for ma, mb, mc, md in rows[:4]:
+                top, k = a + ma, 0
+                if b + mb > top:
+                    top, k = b + mb, 1
+                if c + mc > top:
+                    top, k = c + mc, 2
+                if d + md > top:
+                    top, k = d + md, 3
+                best.append(top)
+                come.append(k)
+            a, b, c, d = best
+            back.append(tuple(come))
+        score = (a, b, c, d)
+        k = score.index(max(score))
         path = [k]
         for come in reversed(back):
             k = come[k]
@@ -318,8 +342,8 @@ def stuffed_share(text: str | None, model: Model) -> dict[str, float]:
 
 
 def sample_pages(documents: DataFrame, key: str, text: str, pages: int = SAMPLE_PAGES, files: int = SAMPLE_FILES) -> list[str]:
-    """The texts of at most ``pages`` pages of at most ``files`` files for the fit, chosen by hash, each shorter than 100,000
-    characters: a bound on what the driver gets, whatever the collection. Only the fit uses a sample."""
+    """The texts of about ``pages`` pages (never more than twice as many) of at most ``files`` files for the fit, chosen by hash,
+    each shorter than 100,000 characters: a bound on what the driver gets, whatever the collection. Only the fit uses a sample."""
     paths = documents.inputFiles()
     source = documents
     if len(paths) > files:
@@ -330,7 +354,11 @@ def sample_pages(documents: DataFrame, key: str, text: str, pages: int = SAMPLE_
         except AnalysisException:  # the pages are computed, not read
             source = documents
     slim = source.select(F.col(key).alias("k"), F.col(text).alias("t")).filter(F.length("t").between(1, 100_000))
-    return [r["t"] for r in slim.orderBy(F.xxhash64("k"), "k", "t").limit(pages).collect()]
+    n = source.count()
+    if n > pages:
+        # pages with a low hash, about ``pages`` of them: no task sends more than its share to the driver
+        slim = slim.filter(F.xxhash64("k") < -(1 << 63) + (1 << 64) * pages // n)
+    return [r["t"] for r in slim.orderBy(F.xxhash64("k"), "k", "t").limit(2 * pages).collect()]
 
 
 def _pages(shared):
