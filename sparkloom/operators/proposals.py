@@ -25,10 +25,10 @@ def batches(rows: DataFrame, order: list[str], size: int) -> DataFrame:
         "batch", F.transform("rows", lambda r: F.struct(*[r[c].alias(c) for c in cols])).alias("rows"))
 
 
-def ask(rows: DataFrame, order: list[str], size: int, prompt: str, wrap: Callable[[Column], Column], answer: str, items: str, factory: Factory, label: str) -> tuple[DataFrame, DataFrame]:
-    """(items, errors): one call a batch. ``wrap`` makes the payload of the rows, ``answer`` is the schema of an item and
+def ask(rows: DataFrame, order: list[str], size: int, prompt: str, wrap: Callable[[Column], Column], answer: str, items: str, factory: Factory, label: str, made: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(items, errors): one call a batch; ``made`` gives the batches if the caller has made them. ``wrap`` makes the payload of the rows, ``answer`` is the schema of an item and
     ``items`` the name of the answer's array. Items are distinct per batch; errors name the batch."""
-    b = batches(rows, order, size)
+    b = batches(rows, order, size) if made is None else made
     payload = F.to_json(wrap(F.col("rows")), {"ignoreNullFields": "false"})
     got = complete(b.withColumn("_prompt", F.concat(F.lit(prompt + "\n\n입력:\n"), payload)), "batch", "_prompt", factory, label)
     parsed = got.withColumn("_items", F.from_json(strip_fence(F.col("response")), f"STRUCT<`{items}`: ARRAY<{answer}>>")[items])
@@ -101,8 +101,9 @@ def rekey_by_name(entities: DataFrame, prior: DataFrame) -> DataFrame:
 def entity_types(entities: DataFrame, prompt: str, factory: Factory, size: int = 50) -> tuple[DataFrame, DataFrame]:
     """(types, errors): entity_id, entity_type. A batch counts only if it answers every entity with one known type."""
     rows = entities.select("entity_id", "canonical_name", F.slice(F.transform("aliases", lambda a: a["name"]), 1, 10).alias("aliases"))
-    items, bad = ask(rows, ["entity_id"], size, prompt, lambda r: F.struct(r.alias("entities")), "STRUCT<entity_id: STRING, entity_type: STRING>", "entities", factory, "entity-types")
-    want = batches(rows, ["entity_id"], size).select("batch", F.explode("rows.entity_id").alias("entity_id"))
+    made = batches(rows, ["entity_id"], size)
+    items, bad = ask(rows, ["entity_id"], size, prompt, lambda r: F.struct(r.alias("entities")), "STRUCT<entity_id: STRING, entity_type: STRING>", "entities", factory, "entity-types", made)
+    want = made.select("batch", F.explode("rows.entity_id").alias("entity_id"))
     known = items.filter(F.col("entity_type").isin(ENTITY_TYPES))
     one = known.groupBy("batch", "entity_id").agg(F.count_distinct("entity_type").alias("n"), F.min("entity_type").alias("entity_type"))
     j = want.join(one, ["batch", "entity_id"], "left")

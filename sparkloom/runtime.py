@@ -59,6 +59,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return str(current.get())
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="sparkloom-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         named = "file://" + folder
@@ -79,9 +81,55 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again; cuts lineage and survives a lost executor."""
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return fs.exists(p)
+
+
+def full_path(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of its file system."""
+    p, fs = _fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file on whatever file system the path names; parent folders are made."""
+    p, fs = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(text.encode("utf-8"))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _fs(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(source.readAllBytes()).decode("utf-8")
+    finally:
+        source.close()
+
+
+def replace_path(spark: SparkSession, new: str, old: str) -> None:
+    """Renames ``new`` to ``old``, replacing it in one step."""
+    p, fs = _fs(spark, new)
+    jvm = spark._jvm
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(p), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(old)), options)
+
+
+def materialise(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, in folders by ``partition`` if given, and read it again; cuts lineage and survives a
+    lost executor."""
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition) if partition else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
-from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sparkloom.runtime import full_path, materialise, path_exists, read_text, replace_path, write_text
+
 #: Rows of one output file.
 ROWS_PER_FILE = 1_000_000
 
@@ -57,9 +57,9 @@ def write_rdb(tables: dict[str, DataFrame], folder: str, schema: str = "graph")
     for name, columns in RDB_TABLES.items():
         if name in tables:
             write_csv(_flat(tables[name], columns), f"{folder}/{name}")
-    Path(folder).mkdir(parents=True, exist_ok=True)
-    Path(folder, "schema.sql").write_text(rdb_schema(schema), encoding="utf-8")
-    Path(folder, "load.sql").write_text(rdb_load(schema, [t for t in RDB_TABLES if t in tables]), encoding="utf-8")
+    spark = next(iter(tables.values())).sparkSession
+    write_text(spark, f"{folder}/schema.sql", rdb_schema(schema))
+    write_text(spark, f"{folder}/load.sql", rdb_load(schema, [t for t in RDB_TABLES if t in tables]))
     return [t for t in RDB_TABLES if t in tables]
 
 
@@ -90,18 +90,21 @@ def rdb_load(schema: str, names: list[str]) -> str:
     return "\n".join([*out, "COMMIT;"]) + "\n"
 
 
-def numbered(df: DataFrame, order: list[str], out: str = "node_number", parts: int = 64) -> DataFrame:
-    """Consecutive numbers from 1 in order, without a single-task window: rows are dealt to ranges, numbered within
-    each, and shifted by the sizes of the ranges before (as many rows as ranges on the driver)."""
+def numbered(df: DataFrame, order: list[str], out: str = "node_number", parts: int | None = None) -> DataFrame:
+    """Consecutive numbers from 1 in order, without a single-task window. The order must tell all rows apart.
+
+    Rows are dealt to ranges and written with their range to the shared folder: the bounds of ranges are sampled, and would
+    be others when computed again. They are then numbered within each range and shifted by the sizes of the ranges before (as
+    many rows as ranges on the driver; unless given, four a core and 64 at least)."""
+    parts = parts or max(64, 4 * df.sparkSession.sparkContext.defaultParallelism)
     part, inner, shift_by = (f"_numbered_{x}_{out}" for x in ("part", "inner", "shift"))
-    ranged = df.repartitionByRange(parts, *order).withColumn(part, F.spark_partition_id())
-    inside = ranged.withColumn(inner, F.row_number().over(W.partitionBy(part).orderBy(*order)))
-    sizes = inside.groupBy(part).agg(F.max(inner).alias("n")).orderBy(part).collect()
-    shift, total = {}, 0
-    for r in sizes:
-        shift[r[part]] = total
+    ranged = materialise(df.repartitionByRange(parts, *order).withColumn(part, F.spark_partition_id()), "numbered")
+    shift, total = [], 0
+    for r in ranged.groupBy(part).agg(F.count(F.lit(1)).alias("n")).orderBy(part).collect():
+        shift.append((r[part], total))
         total += r["n"]
-    table = df.sparkSession.createDataFrame(list(shift.items()) or [(0, 0)], f"{part} int, {shift_by} long")
+    table = df.sparkSession.createDataFrame(shift or [(0, 0)], f"{part} int, {shift_by} long")
+    inside = ranged.withColumn(inner, F.row_number().over(W.partitionBy(part).orderBy(*order)))
     return inside.join(F.broadcast(table), part).withColumn(out, (F.col(inner) + F.col(shift_by)).cast("long")).drop(part, inner, shift_by)
 
 
@@ -138,60 +141,63 @@ def index_mapping(text_fields: list[str], keyword_fields: list[str], dimension:
     return {"settings": {"index": {"knn": bool(dimension)}}, "mappings": {"dynamic": "strict", "properties": props}}
 
 
-def write_manifest(folder: str, extra: dict | None = None) -> dict:
-    """manifest.json of a folder on the driver's disk: every file with its size and SHA-256 in upper case."""
-    base = Path(folder)
-    files = [
-        {"path": p.relative_to(base).as_posix(), "bytes": p.stat().st_size, "sha256": hashlib.sha256(p.read_bytes()).hexdigest().upper()}
-        for p in sorted(base.rglob("*")) if p.is_file() and p.name != "manifest.json" and not p.name.startswith((".", "_"))
-    ]
-    out = {"files": files, **(extra or {})}
-    (base / "manifest.json").write_text(json.dumps(out, ensure_ascii=False, indent=2, sort_keys=True), encoding="utf-8")
+def _hashes(spark: SparkSession, folder: str) -> list[dict]:
+    """Path, size and SHA-256 (upper case) of every file below a folder, hashed on the cluster; one small row a file."""
+    base = full_path(spark, folder).rstrip("/") + "/"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    rows = files.select("path", "length", F.upper(F.sha2("content", 256)).alias("sha256")).collect()
+    found = [{"path": r["path"].removeprefix(base), "bytes": r["length"], "sha256": r["sha256"]} for r in rows]
+    return sorted((f for f in found if not f["path"].split("/")[-1].startswith(("manifest.json", ".", "_"))), key=lambda f: f["path"])
+
+
+def write_manifest(spark: SparkSession, folder: str, extra: dict | None = None) -> dict:
+    """manifest.json of a folder on any file system: every file (2 GB at most) with its size and SHA-256 in upper case."""
+    out = {"files": _hashes(spark, folder), **(extra or {})}
+    write_text(spark, f"{folder}/manifest.json", json.dumps(out, ensure_ascii=False, indent=2, sort_keys=True))
     return out
 
 
 def write_search(result: dict[str, DataFrame], question: str, answer: str, nodes: DataFrame, edges: DataFrame, folder: str) -> dict:
-    """Artifacts of one search on the driver's disk: candidates, ranked paths, evidence, answer.md, graph.json, manifest.
+    """Artifacts of one search: candidates, ranked paths, evidence, answer.md, graph.json, manifest.
 
-    All of them are bounded by the search's bounds."""
-    base = Path(folder)
-    base.mkdir(parents=True, exist_ok=False)
+    All of them are bounded by the search's bounds. An existing folder is refused."""
+    spark = nodes.sparkSession
+    if path_exists(spark, folder):
+        raise FileExistsError(folder)
 
     def rows(df: DataFrame, *order: str) -> list[dict]:
         return [r.asDict(recursive=True) for r in df.orderBy(*order).collect()]
 
     def put(name: str, value: object) -> None:
-        (base / name).write_text(json.dumps(value, ensure_ascii=False, indent=2, sort_keys=True, default=str), encoding="utf-8")
+        write_text(spark, f"{folder}/{name}", json.dumps(value, ensure_ascii=False, indent=2, sort_keys=True, default=str))
 
     put("entity_candidates.json", rows(result["candidates"], "rank"))
     put("relation_candidates.json", rows(result["relations"], "ord"))
     put("ranked_paths.json", rows(result["paths"], "rank"))
     put("evidence.json", rows(result["evidence"], "relation_id", "evidence_rank"))
     put("graph.json", {"nodes": rows(nodes, "id"), "edges": rows(edges, "relation_id")})
-    (base / "answer.md").write_text(f"# {question}\n\n{answer}\n", encoding="utf-8")
-    return write_manifest(folder, {"question": question})
+    write_text(spark, f"{folder}/answer.md", f"# {question}\n\n{answer}\n")
+    return write_manifest(spark, folder, {"question": question})
 
 
-def verify_manifest(folder: str) -> list[str]:
-    """What differs between a folder on the driver's disk and its manifest: missing, changed and unlisted files."""
-    base = Path(folder)
-    listed = {f["path"]: f for f in json.loads((base / "manifest.json").read_text(encoding="utf-8"))["files"]}
-    there = {p.relative_to(base).as_posix(): p for p in base.rglob("*") if p.is_file() and p.name != "manifest.json" and not p.name.startswith((".", "_"))}
+def verify_manifest(spark: SparkSession, folder: str) -> list[str]:
+    """What differs between a folder and its manifest: missing, changed and unlisted files."""
+    listed = {f["path"]: f for f in json.loads(read_text(spark, f"{folder}/manifest.json"))["files"]}
+    there = {f["path"]: f for f in _hashes(spark, folder)}
     out = [f"missing {n}" for n in listed if n not in there] + [f"unlisted {n}" for n in there if n not in listed]
-    out += [f"changed {n}" for n in listed if n in there and hashlib.sha256(there[n].read_bytes()).hexdigest().upper() != listed[n]["sha256"]]
+    out += [f"changed {n}" for n in listed if n in there and there[n]["sha256"] != listed[n]["sha256"]]
     return sorted(out)
 
 
-def publish(root: str, version: str) -> str:
+def publish(spark: SparkSession, root: str, version: str) -> str:
     """Makes a written version the current one by replacing the pointer file in one step; the folder it names."""
-    target = Path(root, version)
-    if differences := verify_manifest(str(target)):
+    target = f"{root}/{version}"
+    if differences := verify_manifest(spark, target):
         raise ValueError(f"version {version} differs from its manifest: {differences[:5]}")
-    new = Path(root, ".current.new")
-    new.write_text(version, encoding="utf-8")
-    new.replace(Path(root, "current"))
-    return str(target)
+    write_text(spark, f"{root}/.current.new", version)
+    replace_path(spark, f"{root}/.current.new", f"{root}/current")
+    return target
 
 
-def current(root: str) -> str:
-    return str(Path(root, Path(root, "current").read_text(encoding="utf-8").strip()))
+def current(spark: SparkSession, root: str) -> str:
+    return f"{root}/{read_text(spark, f'{root}/current').strip()}"
