@@ -35,19 +35,25 @@ def missing_and_extra(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return j.agg(F.count_if(F.col("_b").isNull()).alias("missing"), F.count_if(F.col("_a").isNull()).alias("extra"))
 
 
-def side_by_side(**counts: DataFrame) -> DataFrame:
-    """One row from one-row frames of one column each, and passed: whether all are 0.
+def side_by_side(*frames: DataFrame, **counts: DataFrame) -> DataFrame:
+    """One row from one-row frames, of several named columns each or of one column named here, and passed: whether all are 0.
 
     The frames are tagged and pivoted by an aggregate, so no join of single rows is needed."""
-    rows = None
-    for name, df in counts.items():
-        part = df.toDF("n").select(F.lit(name).alias("name"), F.col("n").cast("long").alias("n"))
+    rows, names = None, []
+    for df in [*frames, *[df.toDF(name) for name, df in counts.items()]]:
+        names += df.columns
+        part = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("long").alias("n")) for c in df.columns])).alias("x")).select("x.*")
         rows = part if rows is None else rows.unionByName(part)
-    out = rows.agg(*[F.coalesce(F.max(F.when(F.col("name") == c, F.col("n"))), F.lit(0)).alias(c) for c in counts])
-    total = sum((F.col(c) for c in counts), F.lit(0))
+    out = rows.agg(*[F.coalesce(F.max(F.when(F.col("name") == c, F.col("n"))), F.lit(0)).alias(c) for c in names])
+    total = sum((F.col(c) for c in names), F.lit(0))
     return out.withColumn("passed", total == 0)
 
 
+def flaws(df: DataFrame, **tests: Column) -> DataFrame:
+    """One row with the number of rows that fail each test, in one pass."""
+    return df.agg(*[F.count_if(t).alias(n) for n, t in tests.items()])
+
+
 def count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
@@ -71,16 +77,18 @@ def malformed(df: DataFrame, key: str) -> DataFrame:
     return df.select(key).distinct().agg(F.count_if(~F.coalesce(is_uuid(F.col(key)), F.lit(False))))
 
 
+def _raw_flaws(raw: DataFrame) -> DataFrame:
+    return flaws(
+        mentions(raw), malformed_ids=~F.coalesce(is_uuid(F.col("relation_mention_id")), F.lit(False)),
+        blank_subjects=blank("subject"), blank_predicates=blank("predicate"), blank_objects=blank("object"))
+
+
 def _raw_checks(units: DataFrame, raw: DataFrame) -> dict[str, DataFrame]:
     m = mentions(raw)
     return dict(
         units_without_record=count(units.select("semantic_unit_id").distinct().join(raw.select("semantic_unit_id").distinct(), "semantic_unit_id", "left_anti")),
         records_without_unit=count(raw.select("semantic_unit_id").distinct().join(units.select("semantic_unit_id").distinct(), "semantic_unit_id", "left_anti")),
         doubled_mentions=count(doubled(m, "relation_mention_id")),
-        malformed_ids=m.agg(F.count_if(~F.coalesce(is_uuid(F.col("relation_mention_id")), F.lit(False)))),
-        blank_subjects=m.agg(F.count_if(blank("subject"))),
-        blank_predicates=m.agg(F.count_if(blank("predicate"))),
-        blank_objects=m.agg(F.count_if(blank("object"))),
     )
 
 
@@ -89,7 +97,7 @@ def audit_raw(units: DataFrame, raw: DataFrame) -> DataFrame:
 
     Its verdict covers these checks only; ``audit_raw_release`` has them all. Quality counters: ``raw_quality``.
     Repeated rows count once."""
-    return side_by_side(**_raw_checks(units, raw))
+    return side_by_side(_raw_flaws(raw), **_raw_checks(units, raw))
 
 
 def audit_raw_release(units: DataFrame, raw: DataFrame) -> DataFrame:
@@ -104,7 +112,7 @@ def audit_raw_release(units: DataFrame, raw: DataFrame) -> DataFrame:
     whole = mentions(raw).filter(~blank("subject") & ~blank("predicate") & ~blank("object"))
     triple = ["semantic_unit_id", "subject", "predicate", "object"]
     return side_by_side(
-        **_raw_checks(units, raw),
+        _raw_flaws(raw), **_raw_checks(units, raw),
         conflicting_units=count(conflicting(units, "semantic_unit_id", [*[c for c in SOURCE_FIELDS if c in units.columns], "unit_seq"])),
         conflicting_records=count(conflicting(raw, "semantic_unit_id", [*held, "relations"])),
         changed_sources=pairs.agg(F.count_if(~F.col("same"))), moved_records=pairs.agg(F.count_if(~F.col("placed"))),
@@ -145,22 +153,29 @@ def raw_quality(raw: DataFrame, units: DataFrame) -> DataFrame:
     return out
 
 
-def _dictionary_checks(entities: DataFrame) -> dict[str, DataFrame]:
-    one = entities.groupBy("entity_id").agg(F.min("canonical_name").alias("canonical_name"), F.min("entity_type").alias("entity_type"), F.min("mention_count").alias("mention_count"), F.min("aliases").alias("aliases"))
-    return dict(
-        wrong_ids=one.agg(F.count_if(F.col("entity_id") != stable_id("entity", F.col("canonical_name")))),
-        doubled_names=count(doubled(one, "canonical_name")),
-        unknown_types=one.agg(F.count_if(~F.coalesce(F.col("entity_type").isin(ENTITY_TYPES), F.lit(False)))),
-        not_led_by_canonical=one.agg(F.count_if(~F.coalesce(F.get(F.col("aliases"), F.lit(0))["name"] == F.col("canonical_name"), F.lit(False)))),
-        not_mentioned=one.agg(F.count_if(F.coalesce("mention_count", F.lit(0)) < 1)),
-        alias_conflicts=count(alias_conflicts(one, "entity_id")),
+def _one_entity(entities: DataFrame) -> DataFrame:
+    return entities.groupBy("entity_id").agg(F.min("canonical_name").alias("canonical_name"), F.min("entity_type").alias("entity_type"), F.min("mention_count").alias("mention_count"), F.min("aliases").alias("aliases"))
+
+
+def _dictionary_flaws(entities: DataFrame, **more: Column) -> DataFrame:
+    tests = dict(
+        wrong_ids=F.col("entity_id") != stable_id("entity", F.col("canonical_name")),
+        unknown_types=~F.coalesce(F.col("entity_type").isin(ENTITY_TYPES), F.lit(False)),
+        not_led_by_canonical=~F.coalesce(F.get(F.col("aliases"), F.lit(0))["name"] == F.col("canonical_name"), F.lit(False)),
+        not_mentioned=F.coalesce("mention_count", F.lit(0)) < 1,
     )
+    return flaws(_one_entity(entities), **{**tests, **more})
+
+
+def _dictionary_checks(entities: DataFrame) -> dict[str, DataFrame]:
+    one = _one_entity(entities)
+    return dict(doubled_names=count(doubled(one, "canonical_name")), alias_conflicts=count(alias_conflicts(one, "entity_id")))
 
 
 def audit_dictionary(entities: DataFrame) -> DataFrame:
     """Checks of an entity dictionary alone: ids recomputed, names unique, types known, aliases led by the canonical name,
     counts positive, no alias of two entities. ``audit_dictionary_release`` has those of a whole release."""
-    return side_by_side(**_dictionary_checks(entities))
+    return side_by_side(_dictionary_flaws(entities), **_dictionary_checks(entities))
 
 
 def audit_dictionary_release(entities: DataFrame, relation_types: DataFrame, raw: DataFrame, expected_types: int = 98) -> DataFrame:
@@ -180,17 +195,17 @@ def audit_dictionary_release(entities: DataFrame, relation_types: DataFrame, raw
     own = e.select(F.explode("aliases").alias("a")).filter(F.col("a.name").isin(SELF_REFERENCES)).select("a.name").distinct()
     scoped = int("scope" in entities.columns) + int("scope" in entities.schema["aliases"].dataType.elementType.names)
     n = t.agg(F.count(F.lit(1)).alias("n"))
-    stable = lambda kind, key: F.count_if(~F.col(key).eqNullSafe(stable_id(kind, F.col("canonical_name"))))
+    stable = lambda kind, key: ~F.col(key).eqNullSafe(stable_id(kind, F.col("canonical_name")))
     return side_by_side(
-        **{**_dictionary_checks(entities), "wrong_ids": e.agg(stable("entity", "entity_id"))},
+        _dictionary_flaws(entities, wrong_ids=stable("entity", "entity_id"), numeric_names=trim_all(F.col("canonical_name")).rlike(rf"\A(?:{NUMERIC_CONSTRAINT})\z")),
+        flaws(t, wrong_type_ids=stable("relation_type", "relation_type_id"),
+              types_not_led_by_canonical=~F.coalesce(F.get(F.col("aliases"), F.lit(0))["name"] == F.col("canonical_name"), F.lit(False))),
+        **_dictionary_checks(entities),
         conflicting_ids=count(conflicting(entities, "entity_id", ["canonical_name", "entity_type", "mention_count", "aliases"])),
         scope_fields=n.select(F.lit(scoped)),
         self_reference_aliases=count(own),
-        numeric_names=e.agg(F.count_if(trim_all(F.col("canonical_name")).rlike(rf"\A(?:{NUMERIC_CONSTRAINT})\z"))),
         conflicting_type_ids=count(conflicting(types, "relation_type_id", ["canonical_name", "mention_count", "aliases"])),
-        wrong_type_ids=t.agg(stable("relation_type", "relation_type_id")),
         doubled_type_names=count(doubled(t, "canonical_name")),
-        types_not_led_by_canonical=t.agg(F.count_if(~F.coalesce(F.get(F.col("aliases"), F.lit(0))["name"] == F.col("canonical_name"), F.lit(False)))),
         type_alias_conflicts=count(alias_conflicts(t, "relation_type_id")),
         unmapped_names=count(ends.join(alias_rows(e, "entity_id").select("name").distinct(), "name", "left_anti")),
         unmapped_predicates=count(predicates.join(alias_rows(t, "relation_type_id").select("name").distinct(), "name", "left_anti")),

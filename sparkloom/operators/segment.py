@@ -104,23 +104,26 @@ def segment(docs: DataFrame, key: str, text: str, path: Column | None = None, fa
         F.max("_head").alias("_head"), F.max("_num").alias("paragraph"), F.min("line_no").alias("unit_seq"), _joined("line_no", "_t").alias("t"),
         F.max(F.when(F.col("_item"), F.struct(F.length(F.replace(spaces, F.lit("\t"), F.lit("  "))).alias("indent"), F.regexp_extract("line", ITEM, 2).alias("marker")))).alias("_i"),
     )
-    in_par = W.partitionBy("doc", "art", "par").orderBy("it")
-    whole = W.partitionBy("doc", "art", "par")
-    y = items.select(
-        "*", F.max("it").over(whole).alias("n_items"), F.max(F.when(F.col("it") == 0, F.col("t"))).over(whole).alias("_intro"),
-        F.lead("_i.indent").over(in_par).alias("_next"),
-        F.collect_list(F.when(F.col("it") > 0, F.struct(F.col("it"), F.col("_i.indent").alias("indent"), F.col("_i.marker").alias("marker"), F.col("t")))).over(in_par).alias("_before"),
-    )
+    # a paragraph's items as one list; going through it once keeps the open ancestors as a stack, every one less indented than all after it
+    node = "array<struct<it:bigint,indent:int,marker:string,t:string>>"
+    rows = F.array_sort(F.collect_list(F.struct("it", "_head", "paragraph", "unit_seq", "t", "_i")))
+    listed = items.groupBy("doc", "art", "par").agg(rows.alias("_rows"))
+    none = F.array().cast(node)
+    state = F.struct(none.alias("open"), F.array().cast(f"array<{node}>").alias("ups"))
+
+    def step(acc: Column, n: Column) -> Column:
+        own = F.struct(n["it"].alias("it"), n["_i"]["indent"].alias("indent"), n["_i"]["marker"].alias("marker"), n["t"].alias("t"))
+        up = F.when(n["it"] > 0, F.filter(acc["open"], lambda o: o["indent"] < n["_i"]["indent"])).otherwise(none)
+        opened = F.when(n["it"] > 0, F.concat(up, F.array(own))).otherwise(acc["open"])
+        return F.struct(opened.cast(node).alias("open"), F.concat(acc["ups"], F.array(up.cast(node))).cast(f"array<{node}>").alias("ups"))
+
+    listed = listed.withColumn("_ups", F.aggregate("_rows", state, step)["ups"])
+    y = listed.select("doc", "art", "par", "_rows", "_ups", F.posexplode("_rows").alias("_at", "_r")).select(
+        "doc", "art", "par", "_r.*", F.get("_ups", F.col("_at")).alias("_up"), F.get("_rows", F.col("_at") + 1)["_i"]["indent"].alias("_next"),
+        F.element_at("_rows", -1)["it"].alias("n_items"), F.when(F.col("_rows")[0]["it"] == 0, F.col("_rows")[0]["t"]).alias("_intro"))
     leaf = (F.col("it") > 0) & (F.col("_next").isNull() | (F.col("_next") <= F.col("_i.indent"))) & (F.col("t") != "")
     alone = (F.col("n_items") == 0) & (F.col("t") != "")
-    # ancestors: walking back, every item less indented than all after it
-    node = "array<struct<it:bigint,indent:int,marker:string,t:string>>"
-    start = F.struct(F.col("_i.indent").alias("least"), F.array().cast(node).alias("up"))
-    walked = F.aggregate(
-        F.reverse(F.col("_before")), start,
-        lambda acc, n: F.when(n["indent"] < acc["least"], F.struct(n["indent"].alias("least"), F.concat(F.array(n), acc["up"]).cast(node).alias("up"))).otherwise(acc),
-    )["up"]
-    y = y.filter(leaf | alone).withColumn("_up", F.when(leaf, walked).otherwise(F.array().cast(node)))
+    y = y.filter(leaf | alone).withColumn("_up", F.when(leaf, F.col("_up")).otherwise(none))
     up_text = F.filter(F.transform("_up", lambda n: n["t"]), lambda t: t != "")
     intro = F.nullif(F.coalesce("_intro", F.lit("")), F.lit(""))
     governing = F.when(leaf, F.concat_ws("\n", intro, F.nullif(F.array_join(up_text, "\n"), F.lit("")))).otherwise("")
