@@ -67,14 +67,20 @@ def entity_type(canonical: Column, aliases: Column) -> Column:
     )
 
 
+#: White space in DuckDB's patterns, as (?U)\s has it here.
+_SPACE_SQL = r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
 def surface_type_sql(name: str) -> str:
-    """``surface_type`` in DuckDB's SQL, for names whose white space is plain."""
-    base = f"trim(regexp_replace(trim(regexp_replace({name}, '\\s+', ' ', 'g'), ' ,.;:()[]{{}}\"'''), '\\s*등$', ''))"
+    """``surface_type`` in DuckDB's SQL."""
+    sp = _SPACE_SQL
+    flat = f"trim(regexp_replace({name}, '{sp}+', ' ', 'g'), ' ,.;:()[]{{}}\"''')"
+    base = f"regexp_replace(regexp_replace({flat}, '{sp}*등$', ''), '^{sp}+|{sp}+$', '', 'g')"
     return (
-        f"CASE WHEN {base} = '' THEN NULL WHEN {base} IN ({', '.join(repr(a) for a in ACTIVITIES)}) THEN 'CONCEPT' "
+        f"CASE WHEN {flat} = '' THEN NULL WHEN {base} IN ({', '.join(repr(a) for a in ACTIVITIES)}) THEN 'CONCEPT' "
         f"WHEN regexp_matches({base}, '(?:{'|'.join(LEGAL_ENDS)})$') THEN 'LEGAL_INSTRUMENT' "
         f"WHEN regexp_matches({base}, '(?:{'|'.join(ORGANIZATION_ENDS)})$') THEN 'ORGANIZATION' "
-        f"WHEN regexp_matches({base}, '의\\s*장$') OR regexp_matches({base}, '(?:{'|'.join(PERSON_ENDS)})$') THEN 'PERSON' "
+        f"WHEN regexp_matches({base}, '의{sp}*장$') OR regexp_matches({base}, '(?:{'|'.join(PERSON_ENDS)})$') THEN 'PERSON' "
         f"WHEN regexp_matches({base}, '(?:{'|'.join([*CONCEPT_ENDS, CONCEPT_SPACED_END])})$') THEN 'CONCEPT' END"
     )
 

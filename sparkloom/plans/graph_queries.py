@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -278,14 +280,15 @@ def contextual_candidates(spark: SparkSession, d: str) -> DataFrame:
     return n.withColumn("needs_context", T.needs_context(F.col("name")))
 
 
-@query(f"WITH {_ENT} SELECT entity_id, canonical_name, {surface_type_sql('canonical_name')} AS rule_type FROM ent WHERE regexp_matches(canonical_name, '^[ -~가-힣]*$')")
+@query(f"WITH {_ENT} SELECT entity_id, canonical_name, {surface_type_sql('canonical_name')} AS rule_type FROM ent")
 def entity_rule_types(spark: SparkSession, d: str) -> DataFrame:
-    """Type of every plainly written canonical name by rule (names with other characters: see entity_types)."""
-    e = _entity(spark, d).filter(F.col("canonical_name").rlike(r"\A[ -~가-힣]*\z"))
-    return e.select("entity_id", "canonical_name", surface_type(F.col("canonical_name")).alias("rule_type"))
+    """Type of every canonical name by rule."""
+    return _entity(spark, d).select("entity_id", "canonical_name", surface_type(F.col("canonical_name")).alias("rule_type"))
 
 
-@query()
+@query(f"""WITH {_ENT}, x AS (SELECT entity_id, canonical_name, {surface_type_sql('canonical_name')} AS own,
+  list_filter(list_transform(list_filter(aliases, lambda a: a.name IS NOT NULL), lambda a: {surface_type_sql('a.name')}), lambda t: t IS NOT NULL)[1] AS other FROM ent)
+SELECT entity_id, canonical_name, coalesce(own, other, 'OTHER') AS entity_type, CASE WHEN own IS NOT NULL THEN 'canonical_rule' WHEN other IS NOT NULL THEN 'alias_rule' ELSE 'fallback_other' END AS method FROM x""")
 def entity_types(spark: SparkSession, d: str) -> DataFrame:
     t = entity_type(F.col("canonical_name"), F.transform("aliases", lambda a: a["name"]))
     return _entity(spark, d).select("entity_id", "canonical_name", t["entity_type"].alias("entity_type"), t["method"].alias("method"))
@@ -342,7 +345,16 @@ def parsed_responses(spark: SparkSession, d: str) -> DataFrame:
     return r.select("response_id", "semantic_unit_id", T.parse_relations(F.col("response_text")).alias("relations"))
 
 
-@query()
+def _terms_sql(text: str, particles: list[str], stop: list[str], most: int) -> str:
+    bare = f"list_transform(regexp_extract_all({text}, '[0-9A-Za-z가-힣]+'), lambda w: regexp_replace(w, '^(.{{2,}}?)(?:{'|'.join(particles)})$', '\\1'))"
+    kept = f"list_filter({bare}, lambda w: length(w) >= 2 AND w NOT IN ({', '.join(repr(x) for x in stop)}))"
+    return f"list_filter({kept}, lambda w, i: list_position({kept}, w) = i)[1:{most}]"
+
+
+_RETRIEVAL_TERMS = _terms_sql("text", T.QUERY_PARTICLES, T.QUERY_STOP_WORDS, T.QUERY_TERMS)
+
+
+@query(f"""SELECT item_id, {_RETRIEVAL_TERMS} AS retrieval_terms, {_terms_sql("lower(text)", T.SEARCH_PARTICLES, T.SEARCH_STOP_WORDS, T.SEARCH_TERMS)} AS ranking_terms FROM benchmark""")
 def query_terms(spark: SparkSession, d: str) -> DataFrame:
     b = table(spark, d, "benchmark")
     return b.select("item_id", T.query_terms(F.col("text")).alias("retrieval_terms"), T.search_terms(F.col("text")).alias("ranking_terms"))
@@ -352,14 +364,19 @@ def query_terms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _bundle(spark: SparkSession, d: str) -> graphmap.GraphBundle:
-    rt = table(spark, d, "relation_type")
-    index = rt.select(F.col("canonical_name").alias("name"), F.col("relation_type_id").alias("id"), "canonical_name")
-    return graphmap.map_to_graph(_mentions(spark, d), dictionary.alias_winners(_entity(spark, d), "entity_id"), index, rt, strict=False)
+    """The graph of all mentions with a predicate: predicates beyond the relation types are types of their own."""
+    rt = table(spark, d, "relation_type").select("relation_type_id", "canonical_name", "polarity").distinct()
+    m = _mentions(spark, d).filter(T.trim_all(F.col("predicate")) != "")
+    own = m.select(T.trim_all(F.col("predicate")).alias("canonical_name")).distinct().join(rt.select("canonical_name").distinct(), "canonical_name", "left_anti")
+    types = rt.unionByName(own.select(stable_id("relation_type", F.col("canonical_name")).alias("relation_type_id"), "canonical_name", T.infer_polarity(F.col("canonical_name")).alias("polarity")))
+    index = types.select(F.col("canonical_name").alias("name"), F.col("relation_type_id").alias("id"), "canonical_name")
+    return graphmap.map_to_graph(m, dictionary.alias_winners(_entity(spark, d), "entity_id"), index, types)
 
 
 _SP = "[\\s\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 _TRIM = lambda c: f"regexp_replace({c}, '^{_SP}+|{_SP}+$', '', 'g')"
-_MAP = f"""{_M}, {_WIN}, mm AS (SELECT m.*, {_TRIM('m.predicate')} AS p, t.relation_type_id FROM m JOIN relation_type t ON t.canonical_name = {_TRIM('m.predicate')}),
+_MAP = f"""{_M}, {_WIN}, mp AS (SELECT *, {_TRIM('predicate')} AS p FROM m WHERE {_TRIM('predicate')} <> ''),
+mm AS (SELECT mp.*, coalesce(t.relation_type_id, {stable_id_sql('relation_type', 'p')}) AS relation_type_id FROM mp LEFT JOIN relation_type t ON t.canonical_name = p),
 e0 AS (SELECT *, 'subject' AS role, {_TRIM('subject')} AS raw_name FROM mm UNION ALL SELECT *, 'object', {_TRIM('object')} FROM mm),
 e1 AS (SELECT *, CASE WHEN raw_name IN ({', '.join(repr(x) for x in T.SELF_REFERENCES)}) THEN {_TRIM("coalesce(document_title, '')")} ELSE raw_name END AS resolved,
   raw_name IN ({', '.join(repr(x) for x in T.SELF_REFERENCES)}) AS own FROM e0 WHERE raw_name <> ''),
@@ -373,7 +390,7 @@ tr AS (SELECT s.entity_id AS source_entity_id, s.relation_type_id, o.entity_id A
 @query(f"""WITH {_MAP} SELECT {stable_id_sql('relation', 'source_entity_id', 'relation_type_id', 'target_entity_id')} AS relation_id, source_entity_id, relation_type_id, target_entity_id, count(*)::BIGINT AS evidence_count
 FROM tr GROUP BY source_entity_id, relation_type_id, target_entity_id""")
 def graph_edges(spark: SparkSession, d: str) -> DataFrame:
-    """Edges of all mentions whose predicate is an entry of the relation types."""
+    """Edges of all mentions with a predicate."""
     return _bundle(spark, d).relations.select("relation_id", "source_entity_id", "relation_type_id", "target_entity_id", "evidence_count")
 
 
@@ -402,6 +419,19 @@ def unmapped_entities(spark: SparkSession, d: str) -> DataFrame:
     return _bundle(spark, d).unmapped_entities
 
 
+@query(f"WITH {_M} SELECT count(*) > 0 AS refused FROM m WHERE predicate IS NOT NULL AND {_TRIM('predicate')} NOT IN (SELECT canonical_name FROM relation_type)")
+def mapping_fails_closed(spark: SparkSession, d: str) -> DataFrame:
+    """Whether mapping by the relation types alone is refused, as it is if any predicate is none of them."""
+    rt = table(spark, d, "relation_type")
+    index = rt.select(F.col("canonical_name").alias("name"), F.col("relation_type_id").alias("id"), "canonical_name")
+    try:
+        graphmap.map_to_graph(_mentions(spark, d), dictionary.alias_winners(_entity(spark, d), "entity_id"), index, rt)
+        refused = False
+    except graphmap.UnmappedRelationError:
+        refused = True
+    return spark.createDataFrame([(refused,)], "refused boolean")
+
+
 @query(f"WITH {_M} SELECT DISTINCT {_TRIM('predicate')} AS predicate FROM m WHERE predicate IS NOT NULL AND {_TRIM('predicate')} NOT IN (SELECT canonical_name FROM relation_type)")
 def unmapped_predicates(spark: SparkSession, d: str) -> DataFrame:
     index = table(spark, d, "relation_type").select(F.col("canonical_name").alias("name"))
@@ -529,7 +559,13 @@ def rrf_hybrid(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.fuse({"keyword": kw, "vector": _knn(spark, d)}, TOP).select("query_id", "doc", "matched_by", "rank")
 
 
-@query()
+@query(f"""WITH {_ENT}, n AS (SELECT DISTINCT entity_id AS doc, lower(n) AS name FROM (SELECT entity_id, canonical_name AS n FROM ent UNION ALL SELECT entity_id, unnest(aliases).name FROM ent) WHERE n IS NOT NULL),
+q AS (SELECT DISTINCT item_id AS query_id, text FROM benchmark UNION ALL SELECT 0, '{QUESTION}'),
+t AS (SELECT query_id, unnest(list_transform({_RETRIEVAL_TERMS}, lambda w: lower(w))) AS term FROM q),
+s AS (SELECT query_id, doc, name, {retrieval.INSIDE} + CASE WHEN name = term THEN {retrieval.EQUAL} ELSE 0 END AS s FROM n JOIN t ON contains(name, term)
+  UNION ALL SELECT query_id, doc, name, {retrieval.WHOLE} FROM n JOIN q ON lower(text) = name),
+m AS (SELECT query_id, doc, max(s)::DOUBLE AS score FROM (SELECT query_id, doc, name, sum(s) AS s FROM s GROUP BY ALL) GROUP BY query_id, doc)
+SELECT query_id, doc, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc) AS rank FROM m) WHERE rank <= {TOP}""")
 def name_search(spark: SparkSession, d: str) -> DataFrame:
     """Entities whose names hold terms of the test items."""
     e = retrieval.entity_names(_entity(spark, d))
@@ -592,12 +628,44 @@ def edge_evidence(spark: SparkSession, d: str) -> DataFrame:
     return a.select("relation_id", "relation_mention_id", "document_id", "evidence_rank")
 
 
+#: Prepared search tables by application and folder: they outlive one question.
+_PREPARED: dict = {}
+
+
+def search_tables(spark: SparkSession, d: str):
+    """The tables of ``d`` prepared for searching, once a session."""
+    from sparkloom.pipeline import GraphStore, prepare
+
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _PREPARED:
+        _PREPARED[key] = prepare(GraphStore(_entity(spark, d), _edges(spark, d), table(spark, d, "evidence"), table(spark, d, "semantic_units"), table(spark, d, "source_document")))
+    return _PREPARED[key]
+
+
+@query(f"""WITH {_EDGES},
+x AS (SELECT source_entity_id AS id, relation_id FROM edges UNION SELECT target_entity_id, relation_id FROM edges)
+SELECT 'best' AS part, sum(least(n, 200))::BIGINT AS n_rows FROM (SELECT id, count(*) AS n FROM x GROUP BY 1)
+UNION ALL SELECT 'edges', count(*) FROM edges
+UNION ALL SELECT 'names', count(*) FROM (SELECT DISTINCT entity_id, lower(n) FROM (SELECT entity_id, canonical_name AS n FROM entity UNION ALL SELECT entity_id, unnest(aliases).name FROM entity) WHERE n IS NOT NULL)
+UNION ALL SELECT 'units', count(DISTINCT semantic_unit_id) FROM semantic_units""")
+def search_index(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the tables prepared for searching."""
+    index = search_tables(spark, d)
+    parts = [("best", index.best), ("edges", index.edges), ("names", index.names), ("units", index.units)]
+    return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("part"), "n_rows") for name, df in parts])
+
+
 def run_search(spark: SparkSession, d: str, question: str, bounds: paths.SearchBounds | None = None) -> dict[str, DataFrame]:
     """The whole search of one question: candidates, paths, evidence, ranking."""
-    from sparkloom.pipeline import GraphStore, search
+    from sparkloom.pipeline import search
+
+    return search(spark, search_tables(spark, d), question, bounds or paths.SearchBounds())
 
-    store = GraphStore(_entity(spark, d), _edges(spark, d), table(spark, d, "evidence"), table(spark, d, "semantic_units"), table(spark, d, "source_document"))
-    return search(spark, store, question, bounds or paths.SearchBounds())
+
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS number FROM orders")
+def order_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """Orders numbered by date without a single-task window."""
+    return numbered(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], "number").select("o_orderkey", "number")
 
 
 @query()
@@ -613,7 +681,28 @@ def search_payload(spark: SparkSession, d: str) -> DataFrame:
     return paths.graph_payload(r["paths"], r["candidates"])[0]
 
 
-@query()
+def _quality_sql(n: str) -> str:
+    t = f"trim({n}, ' ')"
+    poor = ", ".join(repr(x) for x in paths.POOR_NAMES)
+    return f"(length({t}) BETWEEN 2 AND 60 AND {t} NOT IN ({poor}) AND NOT contains({t}, '\ufffd') AND NOT regexp_matches({t}, '^[0-9]+$') AND NOT regexp_matches({t}, '^제?[0-9]+(?:조|항|호|목)'))"
+
+
+_PAIR = "list_transform(l_docs, lambda a: [a, list_filter(r_docs, lambda b: b <> a)[1]])"
+
+
+@query(f"""WITH {_EDGES}, ev AS (SELECT DISTINCT relation_id, document_id FROM evidence WHERE relation_id IS NOT NULL AND document_id IS NOT NULL),
+f AS (SELECT relation_id, list_sort(list(document_id)) AS docs FROM ev GROUP BY 1),
+x AS (SELECT relation_id, relation_type_name, evidence_count, docs, source_entity_id AS mid, source_name AS mid_name, target_entity_id AS far, target_name AS far_name FROM edges JOIN f USING (relation_id)
+  UNION ALL SELECT relation_id, relation_type_name, evidence_count, docs, target_entity_id, target_name, source_entity_id, source_name FROM edges JOIN f USING (relation_id)),
+g AS (SELECT *, count(*) OVER (PARTITION BY mid) AS degree, row_number() OVER (PARTITION BY mid ORDER BY evidence_count DESC, relation_id, far) AS rn FROM x
+  WHERE {_quality_sql('mid_name')} AND mid_name NOT IN ({', '.join(repr(x) for x in paths.POOR_MIDDLES)})),
+r AS (SELECT * FROM g WHERE degree BETWEEN 2 AND 80 AND rn <= 30 AND {_quality_sql('far_name')}),
+p AS (SELECT l.mid, l.mid_name, l.far AS l_far, l.far_name AS l_name, l.relation_id AS l_rel, l.docs AS l_docs, l.evidence_count AS l_n, l.relation_type_name AS l_type, l.degree,
+  r.far AS r_far, r.far_name AS r_name, r.relation_id AS r_rel, r.docs AS r_docs, r.evidence_count AS r_n, r.relation_type_name AS r_type
+  FROM r l JOIN r r ON l.mid = r.mid AND l.rn < r.rn AND l.far <> r.far),
+o AS (SELECT *, list_filter({_PAIR}, lambda x: x[2] IS NOT NULL)[1] AS two FROM p)
+SELECT mid AS middle_id, mid_name AS middle_name, l_far AS start_id, l_name AS start_name, r_far AS end_id, r_name AS end_name, l_rel AS left_relation_id, r_rel AS right_relation_id,
+  two[1] AS doc_a, two[2] AS doc_b, round(2.0 + ln(1 + l_n) + ln(1 + r_n) + len(list_distinct([l_name, mid_name, r_name, l_type, r_type])) * 0.15 - ln(1 + degree) * 0.3, 6) AS score FROM o WHERE two IS NOT NULL""")
 def cross_document_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of edges through a middle entity with evidence in different documents."""
     ev = table(spark, d, "evidence").select("relation_id", "document_id")
@@ -641,7 +730,8 @@ def vertex_numbers(spark: SparkSession, d: str) -> DataFrame:
     return numbered(_entity(spark, d).select("entity_id", "canonical_name"), ["canonical_name", "entity_id"]).select("entity_id", "node_number")
 
 
-@query()
+@query(f"""WITH {_ENT} SELECT entity_id AS key, 0 AS part, json_object('index', json_object('_index', 'entities', '_id', entity_id))::VARCHAR AS line FROM ent
+UNION ALL SELECT entity_id, 1, json_object('canonical_name', canonical_name, 'entity_id', entity_id, 'entity_type', entity_type, 'mention_count', mention_count)::VARCHAR FROM ent""")
 def bulk_ndjson_lines(spark: SparkSession, d: str) -> DataFrame:
     e = _entity(spark, d).select("entity_id", "canonical_name", "entity_type", "mention_count")
     return bulk_lines(e, "entity_id", "entities")
