@@ -13,7 +13,7 @@ from sparkloom.clients import HttpCompletion, extract_relations, resolve_context
 from sparkloom.functions.text import lexical_key
 from sparkloom.operators import audit, dictionary, mentions, paths, proposals
 from sparkloom.operators.segment import segment
-from sparkloom.pipeline import DictionaryBuild, GraphStore, evaluate_question, grounded_answer, ingest, search
+from sparkloom.pipeline import DictionaryBuild, GraphStore, evaluate_question, grounded_answer, ingest, prepare, search
 from sparkloom.runtime import session, ship_package
 from sparkloom.server import make_server
 from sparkloom.sources import sinks
@@ -110,7 +110,7 @@ def run(a: argparse.Namespace, spark: SparkSession) -> int:  # noqa: C901
         case "search-query" | "search-cross-document-qa" | "search-web":
             t = {n: load(spark, f"{a.input}/{n}.parquet") for n in ("entity", "relation", "relation_type", "evidence", "semantic_units", "source_document")}
             edges = paths.with_type_names(t["relation"], t["relation_type"])
-            store = GraphStore(t["entity"].groupBy("entity_id").agg(F.min("canonical_name").alias("canonical_name"), F.min("aliases").alias("aliases")), edges, t["evidence"], t["semantic_units"], t["source_document"])
+            store = prepare(GraphStore(t["entity"].groupBy("entity_id").agg(F.min("canonical_name").alias("canonical_name"), F.min("aliases").alias("aliases")), edges, t["evidence"], t["semantic_units"], t["source_document"]))
             bounds = paths.SearchBounds(a.hops)
             if a.command == "search-web":
 

@@ -229,6 +229,27 @@ def search_terms_of(text: str) -> list[str]:
     return out[:SEARCH_TERMS]
 
 
+def query_terms_of(text: str) -> list[str]:
+    """``query_terms`` of a text known on the driver."""
+    out: list[str] = []
+    for w in re.findall(_WORDS, text):
+        w = next((w[: -len(p)] for p in QUERY_PARTICLES if w.endswith(p) and len(w) - len(p) >= 2), w)
+        if len(w) >= 2 and w not in QUERY_STOP_WORDS and w not in out:
+            out.append(w)
+    return out[:QUERY_TERMS]
+
+
+def compact_of(text: str) -> str:
+    """``compact`` of a text known on the driver."""
+    return re.sub("[^0-9a-z가-힣]", "", text.lower())
+
+
+def strength_of(value: str | None, compact_query: str) -> float:
+    """``match_strength`` of a value known on the driver."""
+    v = compact_of(value or "")
+    return min(1.0, len(v) / 10.0) if len(v) >= 2 and v in compact_query else 0.0
+
+
 def compact(x: Column) -> Column:
     return F.regexp_replace(F.lower(x), "[^0-9a-z가-힣]", "")
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import math
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparkloom.functions.text import compact, match_strength, search_terms_of
+from sparkloom.functions.text import compact_of, search_terms_of, strength_of
 
 # Cues by which a question asks for the actor, the target, a way through.
 ACTOR_CUES = ["누가", "주체", "어느 기관", "어떤 기관"]
@@ -56,16 +59,15 @@ def expand(frontier: DataFrame, edges: DataFrame, per_entity: int, max_edges: in
     return one.orderBy(F.desc("preferred"), F.desc("evidence_count"), "relation_id").limit(max_edges)
 
 
-def edge_relevance(query: str, branching: Column, current: Column, relation_score: Column) -> Column:
-    """Score of stepping over an edge from the current entity; sums to six digits."""
-    q = F.lit(query)
-    s = relation_score + 0.35 * match_strength(F.col("source_name"), q) + 0.35 * match_strength(F.col("target_name"), q) + 0.25 * match_strength(F.col("relation_type_name"), q)
-    s = s + F.least(F.lit(0.2), F.log1p("evidence_count") / 20) - F.least(F.lit(0.22), F.log1p(F.greatest(branching - 1, F.lit(0))) / 18)
-    if any(c in query for c in ACTOR_CUES):
-        s = s + F.when(current == F.col("target_entity_id"), 0.15).otherwise(0.0)
-    if any(c in query for c in TARGET_CUES):
-        s = s + F.when(current == F.col("source_entity_id"), 0.15).otherwise(0.0)
-    return s
+def edge_relevance(query: str, edge: dict, branching: int, current: str, relation_score: float, strength: Callable[[str | None], float]) -> float:
+    """Score of stepping over an edge from the current entity; sums to nine digits. ``strength`` is that of a name in the query."""
+    s = relation_score + 0.35 * strength(edge["source_name"]) + 0.35 * strength(edge["target_name"]) + 0.25 * strength(edge["relation_type_name"])
+    s += min(0.2, math.log1p(edge["evidence_count"] or 0) / 20) - min(0.22, math.log1p(max(branching - 1, 0)) / 18)
+    if current == edge["target_entity_id"] and any(c in query for c in ACTOR_CUES):
+        s += 0.15
+    if current == edge["source_entity_id"] and any(c in query for c in TARGET_CUES):
+        s += 0.15
+    return round(s, 9)
 
 
 @dataclass
@@ -112,81 +114,124 @@ class SearchTrace:
 STATE = "entity_ids array<string>, entity_names array<string>, relation_ids array<string>, type_names array<string>, score double"
 
 
+@dataclass
+class Path:
+    """A simple path with its score."""
+
+    entity_ids: list[str]
+    entity_names: list[str]
+    relation_ids: list[str]
+    type_names: list[str]
+    score: float
+
+    @property
+    def hops(self) -> int:
+        return len(self.relation_ids)
+
+    @property
+    def order(self) -> tuple:
+        return (-self.score, self.hops, self.entity_ids, self.relation_ids)
+
+
+#: The best edges of each of some entities: (entities, bound for each) -> (entity, edge with the EDGE columns, preferred).
+Lookup = Callable[[list[str], int], list[tuple[str, object, bool]]]
+
+
+def walk_paths(seeds: list[tuple[str, str, float]], lookup: Lookup, query: str, bounds: SearchBounds, scores: dict[str, float], trace: SearchTrace | None = None, budget: TimeBudget | None = None) -> list[Path]:
+    """All generated simple paths of a beam search from the seeds (entity_id, name, score of 1 at most).
+
+    Each hop looks up the best edges of the beam's end entities, ranks those at every state by relevance, and continues
+    with the ``beam`` best states; all paths stay eligible for the ranking. At most beam * per_entity edges and as many paths
+    of a hop pass through the driver, whatever the size of the graph. A ``budget`` shrinks the bounds as its time runs out
+    and ends the search between hops when none is left."""
+    limit_by = budget.limit if budget else (lambda base, label: base)
+    kept = [Path([e], [n], [], [], float(s)) for e, n, s in sorted(seeds, key=lambda x: (-x[2], x[0]))[: bounds.beam]]
+    generated: list[Path] = []
+    asked = compact_of(query)
+    strength = functools.cache(lambda name: strength_of(name, asked))
+    for hop in range(1, bounds.hops + 1):
+        ends = sorted({p.entity_ids[-1] for p in kept})
+        if not ends or (budget and budget.used() >= 1):
+            break
+        per_entity, beam = limit_by(bounds.per_entity, f"hop_{hop}_neighbors"), limit_by(bounds.beam, f"hop_{hop}_beam")
+        limit = max(1, min(MAX_EDGES, len(ends) * per_entity * 2))
+        edges = {e["relation_id"]: (not preferred, e["evidence_count"] is None, -(e["evidence_count"] or 0), e["relation_id"], e) for _, e, preferred in lookup(ends, per_entity)}
+        # a self-loop stands twice in its entity's adjacency, and is then passed over as a revisit
+        near: dict[str, list] = {e: [] for e in ends}
+        for *_, e in sorted(edges.values(), key=lambda x: x[:4])[:limit]:
+            for cur, other, name in ((e["source_entity_id"], e["target_entity_id"], e["target_name"]), (e["target_entity_id"], e["source_entity_id"], e["source_name"])):
+                if cur in near:
+                    near[cur].append((e, other, name))
+        steps = {
+            cur: sorted(((-edge_relevance(query, e, len(at), cur, scores.get(e["relation_id"], 0.0), strength), e["relation_id"], other, name, e["relation_type_name"]) for e, other, name in at), key=lambda x: x[:3])[:per_entity]
+            for cur, at in near.items()
+        }
+        made = [
+            Path([*p.entity_ids, other], [*p.entity_names, name], [*p.relation_ids, rel], [*p.type_names, kind], round(p.score - less / hop, 9))
+            for p in kept for less, rel, other, name, kind in steps[p.entity_ids[-1]] if other not in p.entity_ids
+        ]
+        generated += made
+        kept = sorted(made, key=lambda p: (-p.score, p.entity_ids, p.relation_ids))[:beam]
+        if trace is not None:
+            trace.hops.append({"hop": hop, "frontier_entities": len(ends), "query_edge_limit": limit, "generated_paths": len(made), "retained_paths": len(kept)})
+    return generated
+
+
 def find_paths(seeds: DataFrame | list, edges: DataFrame, query: str, bounds: SearchBounds, relation_scores: DataFrame | dict[str, float] | None = None, trace: SearchTrace | None = None, budget: TimeBudget | None = None) -> DataFrame:
-    """All generated simple paths: (entity_ids, entity_names, relation_ids, type_names, hops, score).
-
-    seeds: rows (entity_id, name, score), score 1 at most; relation_scores: relation_id -> score of preferred relations
-    (rows relation_id, rscore). Each hop expands the beam's end entities within the bounds, ranks the
-    edges at every state by relevance, and continues with the ``beam`` best states; all paths stay eligible for the
-    ranking. At most ``beam`` states, MAX_EDGES edges and beam * per_entity paths of a hop pass through the driver, whatever
-    the size of the graph; that cuts lineage between hops. A ``budget`` shrinks the bounds as its time runs out and ends the
-    search between hops when none is left."""
+    """``walk_paths`` over a table of edges: (entity_ids, entity_names, relation_ids, type_names, score, hops).
+
+    seeds: rows (entity_id, name, score); relation_scores: relation_id -> score of preferred relations
+    (rows relation_id, rscore). One job a hop."""
     spark = edges.sparkSession
-    limit_by = budget.limit if budget else (lambda base, label: base)
     if isinstance(relation_scores, DataFrame):
         relation_scores = {r["relation_id"]: r["rscore"] for r in relation_scores.orderBy(F.desc("rscore"), "relation_id").limit(MAX_EDGES).collect()}
     scores = relation_scores or {}
     preferred = sorted(scores, key=lambda r: (-scores[r], r))[:MAX_EDGES]
-    rel = spark.createDataFrame([(r, float(scores[r])) for r in preferred], "relation_id string, rscore double")
     if isinstance(seeds, DataFrame):
         seeds = [(r["entity_id"], r["name"], r["score"]) for r in seeds.orderBy(F.desc("score"), "entity_id").limit(bounds.beam).collect()]
-    first = sorted(seeds, key=lambda x: (-x[2], x[0]))[: bounds.beam]
-    kept = [([e], [n], [], [], float(s)) for e, n, s in first]
-    generations: list[tuple] = []
-    for hop in range(1, bounds.hops + 1):
-        by_end = sorted({s[0][-1] for s in kept})
-        if not by_end or (budget and budget.used() >= 1):
-            break
-        per_entity, beam = limit_by(bounds.per_entity, f"hop_{hop}_neighbors"), limit_by(bounds.beam, f"hop_{hop}_beam")
-        frontier = spark.createDataFrame([(e,) for e in by_end], "cur string")
-        limit = max(1, min(MAX_EDGES, len(by_end) * per_entity * 2))
-        found = expand(frontier.withColumnRenamed("cur", "entity_id"), edges, per_entity, limit, preferred)
-        found = found.join(F.broadcast(rel), "relation_id", "left").withColumn("rscore", F.coalesce("rscore", F.lit(0.0)))
-        # a self-loop stands twice in its entity's adjacency, and is then passed over as a revisit
-        end = F.explode(F.array(
-            F.struct(F.col("source_entity_id").alias("cur"), F.col("target_entity_id").alias("other"), F.col("target_name").alias("name")),
-            F.struct(F.col("target_entity_id").alias("cur"), F.col("source_entity_id").alias("other"), F.col("source_name").alias("name"))))
-        ends = found.select("*", end.alias("e")).select(*found.columns, "e.*").join(F.broadcast(frontier), "cur", "left_semi")
-        ends = ends.withColumn("branching", F.count(F.lit(1)).over(W.partitionBy("cur")))
-        ends = ends.withColumn("step", F.round(edge_relevance(query, F.col("branching"), F.col("cur"), F.col("rscore")), 9))
-        ends = ends.withColumn("rn", F.row_number().over(W.partitionBy("cur").orderBy(F.desc("step"), "relation_id", "other"))).filter(F.col("rn") <= per_entity)
-        # one job a hop; its rows are bounded by MAX_EDGES, and the paths made of them by beam * per_entity
-        near: dict[str, list] = {}
-        for r in ends.select("cur", "rn", "relation_id", "relation_type_name", "other", "name", "step").collect():
-            near.setdefault(r["cur"], []).append(r)
-        made = []
-        for ids, names, rels, types, score in kept:
-            for r in sorted(near.get(ids[-1], ()), key=lambda r: r["rn"]):
-                if r["other"] not in ids:
-                    made.append(([*ids, r["other"]], [*names, r["name"]], [*rels, r["relation_id"]], [*types, r["relation_type_name"]], round(score + r["step"] / hop, 9)))
-        generations += [(*m, hop) for m in made]
-        kept = sorted(made, key=lambda m: (-m[4], m[0], m[2]))[:beam]
-        if trace is not None:
-            trace.hops.append({"hop": hop, "frontier_entities": len(by_end), "query_edge_limit": limit, "generated_paths": len(made), "retained_paths": len(kept)})
-    return spark.createDataFrame(generations, STATE + ", hops int")
+
+    def lookup(ends: list[str], per_entity: int):
+        frontier = spark.createDataFrame([(e,) for e in ends], "entity_id string")
+        return [(r["frontier_id"], r.asDict(), r["preferred"]) for r in neighbors(frontier, edges, per_entity, preferred).collect()]
+
+    made = walk_paths(seeds, lookup, query, bounds, scores, trace, budget)
+    return spark.createDataFrame([(p.entity_ids, p.entity_names, p.relation_ids, p.type_names, p.score, p.hops) for p in made], STATE + ", hops int")
 
 
-def score_paths(paths: DataFrame, query: str) -> DataFrame:
+def score_paths(paths: list[Path], query: str) -> list[Path]:
     """Paths with their score by length and by the names the query holds, one per (entities, relations)."""
-    names = F.array_distinct(F.filter(F.transform("entity_names", F.trim), lambda n: F.length(n) >= 2))
-    matched = F.size(F.filter(names, lambda n: F.instr(F.lit(query), n) > 0))
-    boost = matched * 0.18
-    if VIA_CUE in query:
-        boost = boost + F.when((F.col("hops") >= 2) & (F.size(names) > 0) & (matched == F.size(names)), 0.45).otherwise(0.0)
-    scored = paths.withColumn("score", F.round(F.col("score") / (F.lit(1.0) + 0.7 * F.col("hops")) + boost, 9))
-    return scored.groupBy("entity_ids", "relation_ids").agg(
-        F.max("score").alias("score"), F.any_value("entity_names").alias("entity_names"), F.any_value("type_names").alias("type_names"), F.any_value("hops").alias("hops"))
-
-
-def reserve_preferred(paths: DataFrame, preferred: DataFrame, limit: int) -> DataFrame:
-    """The pool for ranking: the best path of each preferred relation (relation_id, ord) first, filled up by score."""
-    order = F.struct((-F.col("score")).alias("s"), "hops", "entity_ids", "relation_ids")
-    best = paths.select(order.alias("o"), F.explode("relation_ids").alias("relation_id")).join(preferred, "relation_id").groupBy("relation_id", "ord").agg(F.min("o").alias("o"))
-    held = best.groupBy("o.relation_ids", "o.entity_ids").agg(F.min("ord").alias("ord"))
-    j = paths.join(held, ["relation_ids", "entity_ids"], "left")
-    # paths over the same relations count once
-    one = j.groupBy("relation_ids").agg(F.min_by(F.struct(*[c for c in j.columns if c != "relation_ids"]), F.struct(F.col("ord").isNull(), "ord", (-F.col("score")).alias("s"), "hops", "entity_ids")).alias("r")).select("relation_ids", "r.*")
-    return one.orderBy(F.col("ord").isNull(), "ord", F.desc("score"), "hops", "entity_ids").limit(limit).drop("ord")
+    best: dict[tuple, Path] = {}
+    named = functools.cache(lambda n: n in query)
+    for p in paths:
+        names = {n.strip(" ") for n in p.entity_names if n and len(n.strip(" ")) >= 2}
+        matched = sum(map(named, names))
+        boost = matched * 0.18 + (0.45 if VIA_CUE in query and p.hops >= 2 and names and matched == len(names) else 0.0)
+        q = replace(p, score=round(p.score / (1.0 + 0.7 * p.hops) + boost, 9))
+        key = (tuple(p.entity_ids), tuple(p.relation_ids))
+        if key not in best or q.score > best[key].score:
+            best[key] = q
+    return list(best.values())
+
+
+def reserve_preferred(paths: list[Path], preferred: list[str], limit: int) -> list[Path]:
+    """The pool for ranking: the best path of each preferred relation first, in their order, filled up by score. Paths over the
+    same relations count once."""
+    place = {r: i for i, r in enumerate(preferred)}
+    best: dict[str, Path] = {}
+    for p in paths:
+        for r in p.relation_ids:
+            if r in place and (r not in best or p.order < best[r].order):
+                best[r] = p
+    held: dict[int, int] = {}
+    for r, p in best.items():
+        held[id(p)] = min(held.get(id(p), len(place)), place[r])
+    one: dict[tuple, tuple] = {}
+    for p in paths:
+        rank = (held.get(id(p), len(place)), -p.score, p.hops, p.entity_ids)
+        key = tuple(p.relation_ids)
+        if key not in one or rank < one[key][0]:
+            one[key] = (rank, p)
+    return [p for _, p in sorted(one.values(), key=lambda x: x[0])[:limit]]
 
 
 def attach_evidence(relation_ids: DataFrame, evidence: DataFrame, units: DataFrame, documents: DataFrame, per_relation: int) -> DataFrame:
@@ -210,26 +255,31 @@ def attach_evidence(relation_ids: DataFrame, evidence: DataFrame, units: DataFra
     return first.withColumn("evidence_rank", F.row_number().over(per_rel).cast("long")).filter(F.col("evidence_rank") <= per_relation)
 
 
-def rank_by_evidence(pool: DataFrame, attached: DataFrame, query: str, limit: int) -> DataFrame:
-    """The pool with document titles, evidence score and final rank."""
-    q = F.lit(query)
-    own = search_terms_of(query)
-    terms = F.transform(F.array(*[F.lit(t) for t in own]).cast("array<string>"), compact)
-    text = compact(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("document_title", "context_text", "unit_text", "raw_subject", "raw_predicate", "raw_object")]))
-    cover = F.when(F.size(terms) > 0, F.size(F.filter(terms, lambda t: F.instr(text, t) > 0)) / F.size(terms)).otherwise(0.0)
-    title = F.when(F.size(terms) > 0, match_strength(F.coalesce("document_title", F.lit("")), q)).otherwise(0.0)
-    per = attached.groupBy("relation_id").agg(F.max(cover).alias("cover"), F.max(title).alias("title"), F.collect_set("document_id").alias("docs"), F.collect_set("document_title").alias("titles"))
-    x = pool.select("*", F.explode("relation_ids").alias("relation_id")).join(per, "relation_id", "left")
-    keys = [c for c in pool.columns]
-    g = x.groupBy(*keys).agg(
-        F.coalesce(F.max("cover"), F.lit(0.0)).alias("cover"), F.coalesce(F.max("title"), F.lit(0.0)).alias("title"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("docs")))).alias("document_ids"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("titles")))).alias("document_titles"))
-    s = F.round(F.col("score") + 0.55 * F.col("cover") + 0.35 * F.col("title"), 6)
-    order = [F.desc("score"), F.desc(F.size("document_ids")), F.col("hops"), F.col("relation_ids"), F.col("entity_ids")]
-    top = g.withColumn("score", s).drop("cover", "title").orderBy(*order).limit(limit)
-    # at most ``limit`` rows are numbered
-    return top.withColumn("rank", F.row_number().over(W.orderBy(*order)).cast("long"))
+def rank_by_evidence(pool: list[Path], attached: list[dict], query: str, limit: int) -> list[tuple[Path, list[str], list[str]]]:
+    """(path with its final score, document ids, document titles) of the best paths: evidence that holds terms of the query and
+    titles the query names add to the score."""
+    q = compact_of(query)
+    terms = [compact_of(t) for t in search_terms_of(query)]
+    cover: dict[str, float] = {}
+    title: dict[str, float] = {}
+    docs: dict[str, set[str]] = {}
+    titles: dict[str, set[str]] = {}
+    for e in attached:
+        r = e["relation_id"]
+        text = compact_of(" ".join(e[c] or "" for c in ("document_title", "context_text", "unit_text", "raw_subject", "raw_predicate", "raw_object")))
+        if terms:
+            cover[r] = max(cover.get(r, 0.0), sum(t in text for t in terms) / len(terms))
+            title[r] = max(title.get(r, 0.0), strength_of(e["document_title"], q))
+        docs.setdefault(r, set()).add(e["document_id"])
+        if e["document_title"] is not None:
+            titles.setdefault(r, set()).add(e["document_title"])
+    out = []
+    for p in pool:
+        score = p.score + 0.55 * max((cover.get(r, 0.0) for r in p.relation_ids), default=0.0) + 0.35 * max((title.get(r, 0.0) for r in p.relation_ids), default=0.0)
+        own = sorted(set().union(*[docs.get(r, set()) for r in p.relation_ids]))
+        out.append((replace(p, score=round(score, 6)), own, sorted(set().union(*[titles.get(r, set()) for r in p.relation_ids]))))
+    out.sort(key=lambda x: (-x[0].score, -len(x[1]), x[0].hops, x[0].relation_ids, x[0].entity_ids))
+    return out[:limit]
 
 
 def quality_name(name: Column) -> Column:
@@ -241,26 +291,35 @@ def cross_document_candidates(edges: DataFrame, evidence: DataFrame, least_degre
     """Two edges meeting in a middle entity with evidence from different documents, scored.
 
     Middles of too few or too many edges are out (hubs ask nothing definite); of the rest the ``keep`` edges of most
-    evidence are paired, so a middle gives at most keep*(keep-1)/2 pairs. evidence: relation_id, document_id."""
-    docs = evidence.filter(F.col("document_id").isNotNull()).groupBy("relation_id").agg(F.min("document_id").alias("doc_lo"), F.max("document_id").alias("doc_hi"))
+    evidence are paired, so a middle gives at most keep*(keep-1)/2 pairs. evidence: relation_id, document_id. doc_a and doc_b
+    are the first documents, by id, of the left and of the right edge that differ: the left edge's first one with the right
+    edge's first other, else the left edge's second with the right edge's only one."""
+    each = evidence.filter(F.col("document_id").isNotNull() & F.col("relation_id").isNotNull()).select("relation_id", "document_id").distinct()
+    first = each.groupBy("relation_id").agg(F.min("document_id").alias("doc_1"), F.max("document_id").alias("_last"))
+    # the second is looked for only where there are two
+    several = first.filter(F.col("doc_1") < F.col("_last")).select("relation_id", "doc_1")
+    second = each.join(several, "relation_id").filter(F.col("document_id") > F.col("doc_1")).groupBy("relation_id").agg(F.min("document_id").alias("doc_2"))
+    docs = first.drop("_last").join(second, "relation_id", "left")
     e = edges.join(docs, "relation_id")
     ends = e.select("*", F.explode(F.array(
         F.struct(F.col("source_entity_id").alias("mid"), F.col("source_name").alias("mid_name"), F.col("target_entity_id").alias("far"), F.col("target_name").alias("far_name")),
         F.struct(F.col("target_entity_id").alias("mid"), F.col("target_name").alias("mid_name"), F.col("source_entity_id").alias("far"), F.col("source_name").alias("far_name")),
-    )).alias("x")).select("relation_id", "relation_type_name", "evidence_count", "doc_lo", "doc_hi", "x.*")
+    )).alias("x")).select("relation_id", "relation_type_name", "evidence_count", "doc_1", "doc_2", "x.*")
     ends = ends.filter(quality_name(F.col("mid_name")) & ~F.col("mid_name").isin(POOR_MIDDLES))
     degree = ends.groupBy("mid").agg(F.count(F.lit(1)).alias("degree")).filter(F.col("degree").between(least_degree, most_degree))
     ranked = ends.join(degree, "mid").withColumn("rn", F.row_number().over(W.partitionBy("mid").orderBy(F.desc("evidence_count"), "relation_id", "far"))).filter(F.col("rn") <= keep)
     ranked = ranked.filter(quality_name(F.col("far_name")))
     left, right = ranked.alias("l"), ranked.alias("r")
-    apart = ~((F.col("l.doc_lo") == F.col("l.doc_hi")) & (F.col("r.doc_lo") == F.col("r.doc_hi")) & (F.col("l.doc_lo") == F.col("r.doc_lo")))
-    pairs = left.join(right, (F.col("l.mid") == F.col("r.mid")) & (F.col("l.rn") < F.col("r.rn")) & (F.col("l.far") != F.col("r.far")) & apart)
+    apart = F.col("l.doc_1") != F.col("r.doc_1")
+    pairs = left.join(right, (F.col("l.mid") == F.col("r.mid")) & (F.col("l.rn") < F.col("r.rn")) & (F.col("l.far") != F.col("r.far")) & (apart | F.col("r.doc_2").isNotNull() | F.col("l.doc_2").isNotNull()))
+    doc_a = F.when(apart | F.col("r.doc_2").isNotNull(), F.col("l.doc_1")).otherwise(F.col("l.doc_2"))
+    doc_b = F.when(apart, F.col("r.doc_1")).otherwise(F.coalesce("r.doc_2", "r.doc_1"))
     words = F.size(F.array_distinct(F.array("l.far_name", "l.mid_name", "r.far_name", "l.relation_type_name", "r.relation_type_name")))
     score = F.round(2.0 + F.log1p("l.evidence_count") + F.log1p("r.evidence_count") + words * 0.15 - F.log1p("l.degree") * 0.3, 6)
     return pairs.select(
         F.col("l.mid").alias("middle_id"), F.col("l.mid_name").alias("middle_name"), F.col("l.far").alias("start_id"), F.col("l.far_name").alias("start_name"),
         F.col("r.far").alias("end_id"), F.col("r.far_name").alias("end_name"), F.col("l.relation_id").alias("left_relation_id"), F.col("r.relation_id").alias("right_relation_id"),
-        F.least("l.doc_lo", "r.doc_lo").alias("doc_a"), F.greatest("l.doc_hi", "r.doc_hi").alias("doc_b"), score.alias("score"))
+        doc_a.alias("doc_a"), doc_b.alias("doc_b"), score.alias("score"))
 
 
 def select_questions(found: DataFrame, count: int = 10) -> list[dict]:
@@ -275,13 +334,14 @@ def select_questions(found: DataFrame, count: int = 10) -> list[dict]:
     for r in rows.toLocalIterator():
         rel = tuple(sorted((r.left_relation_id, r.right_relation_id)))
         end = tuple(sorted((r.start_id, r.end_id)))
-        pair = (r.doc_a, r.doc_b)
+        pair = tuple(sorted((r.doc_a, r.doc_b)))
         if r.middle_id in mids or rel in rels or end in ends or docs.get(pair, 0) >= 2:
             continue
         mids.add(r.middle_id), rels.add(rel), ends.add(end)
         docs[pair] = docs.get(pair, 0) + 1
         question = f"‘{r.start_name}’와 ‘{r.end_name}’는 ‘{r.middle_name}’를 거쳐 어떻게 연결되며, 각 연결의 근거 법령은 무엇인가?"
-        chosen.append({**r.asDict(), "question": question, "expected_relation_ids": rel})
+        number = f"crossdoc-{len(chosen) + 1:02d}-{hashlib.sha256('|'.join(rel).encode()).hexdigest()[:10]}"
+        chosen.append({**r.asDict(), "question_id": number, "question": question, "expected_relation_ids": rel})
         if len(chosen) == count:
             break
     return chosen

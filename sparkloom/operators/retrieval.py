@@ -214,16 +214,28 @@ def fuse(ranked: dict[str, DataFrame], top: int) -> DataFrame:
     return fused.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= top)
 
 
-def merge_seeds(entities: DataFrame, relations: DataFrame) -> DataFrame:
-    """(entity_id, name, score, via_relation): entity candidates, and endpoints of relation candidates at 0.8 of the
-    relation's score; the higher score counts. entities: entity_id, name, score. relations: source_entity_id,
-    source_name, target_entity_id, target_name, score."""
-    ends = relations.select(F.explode(F.array(
-        F.struct(F.col("source_entity_id").alias("entity_id"), F.col("source_name").alias("name")),
-        F.struct(F.col("target_entity_id").alias("entity_id"), F.col("target_name").alias("name")),
-    )).alias("e"), "score").select("e.entity_id", "e.name", (F.col("score") * 0.8).alias("score"), F.lit(1).alias("p"))
-    rows = entities.select("entity_id", "name", "score", F.lit(0).alias("p")).unionByName(ends).filter(F.col("entity_id").isNotNull())
-    return rows.groupBy("entity_id").agg(
-        F.min_by("name", F.struct("p", "name")).alias("name"), F.max("score").alias("score"),
-        (F.max(F.when(F.col("p") == 1, F.col("score"))) > F.coalesce(F.max(F.when(F.col("p") == 0, F.col("score"))), F.lit(float("-inf")))).alias("via_relation"),
-    ).withColumn("via_relation", F.coalesce("via_relation", F.lit(False)))
+def fuse_lists(ranked: dict[str, list[str]], top: int) -> list[tuple[str, float, list[str], int]]:
+    """``fuse`` of short ranked lists of one query on the driver: (doc, score, matched_by, rank)."""
+    score: dict[str, float] = {}
+    by: dict[str, list[str]] = {}
+    for label, docs in ranked.items():
+        for rank, doc in enumerate(docs, 1):
+            score[doc] = score.get(doc, 0.0) + 1.0 / (RRF + rank)
+            by.setdefault(doc, []).append(label)
+    order = sorted(score, key=lambda d: (-round(score[d], 9), d))[:top]
+    return [(d, round(score[d], 9), by[d], i) for i, d in enumerate(order, 1)]
+
+
+def merge_seeds(entities: list[tuple[str, str, float]], relations: list[tuple[object, float]]) -> list[tuple[str, str, float]]:
+    """(entity_id, name, score): entity candidates, and endpoints of relation candidates (edge, score) at 0.8 of the relation's
+    score; the higher score counts, and the candidate's name before the endpoint's."""
+    out: dict[str, tuple[str, float]] = {e: (n, s) for e, n, s in entities if e is not None}
+    ends: dict[str, tuple[str, float]] = {}
+    for edge, s in relations:
+        for e, n in ((edge["source_entity_id"], edge["source_name"]), (edge["target_entity_id"], edge["target_name"])):
+            if e is not None:
+                name, best = ends.get(e, (n, 0.0))
+                ends[e] = (min(name, n) if name and n else name or n, max(best, s * 0.8))
+    for e, (n, s) in ends.items():
+        out[e] = (out[e][0], max(out[e][1], s)) if e in out else (n, s)
+    return [(e, n, s) for e, (n, s) in out.items()]

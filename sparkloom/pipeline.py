@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, replace
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.clients import CompletionClient, EmbeddingClient, embed, extract_relations
 from sparkloom.functions.ids import stable_id
-from sparkloom.functions.text import citation_keys
+from sparkloom.functions.text import citation_keys, query_terms_of
 from sparkloom.operators import dictionary, graphmap, paths, retrieval
 from sparkloom.operators.mentions import endpoints, mentions, sanitize_records
+from sparkloom.operators.search_index import SearchIndex, best_edges, evidence_of, prepare_search
+from sparkloom.operators.search_index import candidates as retrieve
 from sparkloom.operators.segment import segment
 from sparkloom.sources import sinks
 from sparkloom.sources.readers import read_markdown
@@ -32,42 +34,73 @@ class GraphStore:
     relation_vectors: DataFrame | None = None
 
 
-def search(spark: SparkSession, store: GraphStore, question: str, bounds: paths.SearchBounds, top: int = 8, top_relations: int = 20,
-           embedder: Callable[[], EmbeddingClient] | None = None, budget: paths.TimeBudget | None = None) -> dict[str, DataFrame]:
+def prepare(store: GraphStore) -> SearchIndex:
+    """The tables of a store written for many searches."""
+    return prepare_search(store.entities, store.edges, store.evidence, store.units, store.documents, store.entity_vectors, store.relation_vectors)
+
+
+def search(spark: SparkSession, store: GraphStore | SearchIndex, question: str, bounds: paths.SearchBounds, top: int = 8, top_relations: int = 20,
+           embedder: Callable[[], EmbeddingClient] | None = None, budget: paths.TimeBudget | None = None, diagnostics: dict | None = None) -> dict[str, DataFrame]:
     """Candidates, paths with evidence, and the evidence rows of one question.
 
     Keyword (and, with vectors and an embedder, vector) ranks of entities, by canonical names and aliases, and of relations, by the
-    words and the terms without particles of the question, are fused; relation candidates lend their endpoints as seeds; paths are generated within the bounds; evidence is joined for the pool of paths only."""
-    q = spark.createDataFrame([(0, question.strip())], "query_id long, text string")
-    store = replace(store, edges=store.edges.persist())  # read by every hop; lost parts are computed anew
-    ranked = {"keyword": retrieval.keyword_names(retrieval.entity_names(store.entities), "entity_id", "name", q, top * 2)}
-    qv = embed(q, "query_id", "text", embedder) if embedder is not None else None
-    if store.entity_vectors is not None and qv is not None:
-        ranked["vector"] = retrieval.nearest(store.entity_vectors, "entity_id", "embedding", qv, top * 2)
-    fused = retrieval.fuse(ranked, top)
-    names = store.entities.select(F.col("entity_id").alias("doc"), F.col("canonical_name").alias("name"))
-    entities = fused.join(names, "doc").select(F.col("doc").alias("entity_id"), "name", "score", "rank")
-    related = {"keyword": retrieval.keyword_relations(store.edges, q, top_relations * 2)}
-    if store.relation_vectors is not None and qv is not None:
-        related["vector"] = retrieval.nearest(store.relation_vectors, "relation_id", "embedding", qv, top_relations * 2)
-    rel = retrieval.fuse(related, top_relations).join(store.edges.withColumnRenamed("relation_id", "doc"), "doc").select(
-        F.col("doc").alias("relation_id"), "source_entity_id", "source_name", "target_entity_id", "target_name",
-        "score", F.col("rank").alias("ord"))
-    # candidate lists are of bounded length; they are kept as rows to cut lineage before the hops
-    entities = spark.createDataFrame(entities.collect(), "entity_id string, name string, score double, rank long")
-    rel_rows = rel.collect()
-    rel = spark.createDataFrame(rel_rows, "relation_id string, source_entity_id string, source_name string, target_entity_id string, target_name string, score double, ord long")
-    seeds = [(r["entity_id"], r["name"], r["score"]) for r in retrieval.merge_seeds(entities, rel).collect()]
-    most = max((x[2] for x in seeds), default=1.0) or 1.0
-    top_rel = max((r["score"] for r in rel_rows), default=1.0) or 1.0
-    made = paths.find_paths([(e, n, x / most) for e, n, x in seeds], store.edges, question, bounds, {r["relation_id"]: r["score"] / top_rel for r in rel_rows}, budget=budget)
-    found = paths.score_paths(made, question)
+    words and the terms without particles of the question, are fused; relation candidates lend their endpoints as seeds; paths are
+    generated within the bounds; evidence is looked up for the pool of paths only. A plain store is prepared first; give a
+    prepared one to ask several questions. All lists that the driver holds are bounded by the bounds. ``diagnostics``, if
+    given, receives the hops, the bounds that the budget cut, and whether it ran out (``status`` ``timeout``: the result then holds what
+    was found so far)."""
+    index = store if isinstance(store, SearchIndex) else prepare(store)
+    question = question.strip()
+    terms = [t.lower() for t in query_terms_of(question)]
+    asked = list(dict.fromkeys(re.findall("[0-9A-Za-z가-힣]+", question.lower())))
+    named, related = retrieve(index, question, asked, terms, top * 2, top_relations * 2)
+    names = dict(named)
+    edges = {r["relation_id"]: r for r in related}
+    lists, relation_lists = {"keyword": [e for e, _ in named]}, {"keyword": list(edges)}
+    qv = embed(spark.createDataFrame([(0, question)], "query_id long, text string"), "query_id", "text", embedder) if embedder is not None else None
+
+    def nearest(vectors: DataFrame, key: str, most: int) -> list[str]:
+        return [r["doc"] for r in retrieval.nearest(vectors, key, "embedding", qv, most).orderBy("rank").collect()]
+
+    if index.entity_vectors is not None and qv is not None:
+        lists["vector"] = nearest(index.entity_vectors, "entity_id", top * 2)
+        if missing := [e for e in lists["vector"] if e not in names]:
+            names |= {r["entity_id"]: r["canonical_name"] for r in index.names.filter(F.col("entity_id").isin(missing)).collect()}
+    if index.relation_vectors is not None and qv is not None:
+        relation_lists["vector"] = nearest(index.relation_vectors, "relation_id", top_relations * 2)
+        if missing := [r for r in relation_lists["vector"] if r not in edges]:
+            edges |= {r["relation_id"]: r.asDict() for r in index.edges.filter(F.col("relation_id").isin(missing)).collect()}
+    entities = [(e, names[e], s, by, rank) for e, s, by, rank in retrieval.fuse_lists(lists, top) if e in names]
+    relations = [(edges[r], s, by, rank) for r, s, by, rank in retrieval.fuse_lists(relation_lists, top_relations) if r in edges]
+    seeds = retrieval.merge_seeds([(e, n, s) for e, n, s, _, _ in entities], [(e, s) for e, s, _, _ in relations])
+    most = max((s for _, _, s in seeds), default=1.0) or 1.0
+    top_rel = max((s for _, s, _, _ in relations), default=1.0) or 1.0
+    preferred = [e for e, _, _, _ in relations]
+    trace = paths.SearchTrace()
+    made = paths.walk_paths(
+        [(e, n, s / most) for e, n, s in seeds], lambda ends, per: best_edges(index, ends, per, preferred), question, bounds,
+        {e["relation_id"]: s / top_rel for e, s, _, _ in relations}, trace, budget)
     if budget:
         bounds = replace(bounds, paths=budget.limit(bounds.paths, "paths"), evidence=budget.limit(bounds.evidence, "evidence"))
-    pool = paths.reserve_preferred(found, rel.select("relation_id", "ord"), bounds.paths * 3)
-    used = pool.select(F.explode("relation_ids").alias("relation_id")).distinct()
-    attached = paths.attach_evidence(used, store.evidence, store.units, store.documents, bounds.evidence)
-    return {"candidates": entities, "relations": rel, "paths": paths.rank_by_evidence(pool, attached, question, bounds.paths), "evidence": attached}
+    pool = paths.reserve_preferred(paths.score_paths(made, question), [e["relation_id"] for e in preferred], bounds.paths * 3)
+    attached = evidence_of(index, sorted({r for p in pool for r in p.relation_ids}), bounds.evidence)
+    ranked = paths.rank_by_evidence(pool, attached, question, bounds.paths)
+    if diagnostics is not None:
+        out_of_time = bool(budget and budget.used() >= 1)
+        diagnostics |= {"status": "timeout" if out_of_time else "ok", "hops": trace.hops, "cut": budget.notes if budget else [], "pool": len(pool)}
+    kinds = dict(index.evidence.dtypes)
+    columns = ["relation_id", "relation_mention_id", "semantic_unit_id", "document_id", "document_title", "source_ref", "context_text", "unit_text", "raw_subject", "raw_predicate", "raw_object", "evidence_rank"]
+    schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in columns)
+    return {
+        "candidates": spark.createDataFrame(entities, "entity_id string, name string, score double, matched_by array<string>, rank long"),
+        "relations": spark.createDataFrame(
+            [(e["relation_id"], e["source_entity_id"], e["source_name"], e["target_entity_id"], e["target_name"], s, by, rank) for e, s, by, rank in relations],
+            "relation_id string, source_entity_id string, source_name string, target_entity_id string, target_name string, score double, matched_by array<string>, ord long"),
+        "paths": spark.createDataFrame(
+            [(p.relation_ids, p.entity_ids, p.entity_names, p.type_names, p.hops, p.score, d, t, i) for i, (p, d, t) in enumerate(ranked, 1)],
+            "relation_ids array<string>, entity_ids array<string>, entity_names array<string>, type_names array<string>, hops int, score double, document_ids array<string>, document_titles array<string>, rank long"),
+        "evidence": spark.createDataFrame([tuple(e[c] for c in columns) for e in attached], schema),
+    }
 
 
 def grounded_answer(result: dict[str, DataFrame], paths_used: int = 5, items: int = 15) -> tuple[str, list[dict]]:
@@ -150,6 +183,5 @@ def ingest(spark: SparkSession, source: str, target: str, factory: Callable[[],
     sinks.write_rdb(tables, f"{target}/rdb")
     sinks.write_property_graph(bundle.entities, bundle.relations, f"{target}/graph")
     sinks.write_bulk(bundle.entities.select("entity_id", "canonical_name", "entity_type", "mention_count"), "entity_id", "entities", f"{target}/search")
-    if Path(target).is_dir():
-        sinks.write_manifest(target)
+    sinks.write_manifest(spark, target)
     return bundle

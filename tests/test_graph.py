@@ -362,6 +362,11 @@ def test_cross_document_questions(spark):
     found = paths.cross_document_candidates(s.edges, docs)
     assert {(r.left_relation_id, r.right_relation_id) for r in found.collect()} == {("r1", "r2"), ("r2", "r3")}
     assert len(paths.select_questions(found, 10)) == 2
+    assert paths.select_questions(found, 10)[0]["question_id"].startswith("crossdoc-01-")
+    # the two documents come from different edges
+    mixed = spark.createDataFrame([("r1", "A"), ("r1", "Z"), ("r2", "M"), ("r2", None), ("r3", "M"), ("r3", "N")], "relation_id string, document_id string")
+    pairs = {(r.left_relation_id, r.right_relation_id): (r.doc_a, r.doc_b) for r in paths.cross_document_candidates(s.edges, mixed).collect()}
+    assert pairs == {("r1", "r2"): ("A", "M"), ("r2", "r3"): ("M", "N")}
     same = docs.withColumn("document_id", F.lit("d"))
     assert paths.cross_document_candidates(s.edges, same).count() == 0
 
@@ -432,6 +437,11 @@ def test_readers_and_sinks(spark, tmp_path):
     assert [r.id for r in readers.bulk_ids(spark, str(tmp_path / "bulk")).collect()] == ["e1"]
     n = spark.range(1000).withColumn("g", F.col("id") % 3)
     assert [r[0] for r in sinks.numbered(n, ["g", "id"], parts=7).orderBy("g", "id").select("node_number").collect()] == list(range(1, 1001))
+    big = spark.range(400_000, numPartitions=64).select(F.xxhash64("id").alias("h"), "id")  # more rows than the sampler of ranges takes
+    many = sinks.numbered(big, ["h"])
+    for _ in range(2):
+        assert many.agg(F.count_distinct("node_number"), F.min("node_number"), F.max("node_number")).first()[:] == (400_000, 1, 400_000)
+    assert many.join(many.withColumnRenamed("h", "h2").withColumn("node_number", F.col("node_number") - 1), "node_number").filter("h >= h2").count() == 0
     assert sinks.index_mapping(["name"], ["id"], 8)["mappings"]["dynamic"] == "strict"
     (tmp_path / "s.toml").write_text('[run]\nhops = 3\nin_path = "x"\n')
     assert readers.read_settings(str(tmp_path / "s.toml"))["run"]["in_path"] == str(tmp_path / "x")
@@ -444,18 +454,18 @@ def test_readers_and_sinks(spark, tmp_path):
         readers.read_overrides(spark, str(tmp_path / "o.jsonl"))
 
 
-def test_published_versions(tmp_path):
+def test_published_versions(spark, tmp_path):
     for v in ("v1", "v2"):
         (tmp_path / v).mkdir()
         (tmp_path / v / "a.txt").write_text(v)
-        sinks.write_manifest(str(tmp_path / v))
-    assert sinks.publish(str(tmp_path), "v1") == sinks.current(str(tmp_path))
+        sinks.write_manifest(spark, str(tmp_path / v))
+    assert sinks.publish(spark, str(tmp_path), "v1") == sinks.current(spark, str(tmp_path))
     (tmp_path / "v2/a.txt").write_text("changed")
     (tmp_path / "v2/b.txt").write_text("new")
-    assert sinks.verify_manifest(str(tmp_path / "v2")) == ["changed a.txt", "unlisted b.txt"]
+    assert sinks.verify_manifest(spark, str(tmp_path / "v2")) == ["changed a.txt", "unlisted b.txt"]
     with pytest.raises(ValueError):
-        sinks.publish(str(tmp_path), "v2")
-    assert sinks.current(str(tmp_path)).endswith("v1")
+        sinks.publish(spark, str(tmp_path), "v2")
+    assert sinks.current(spark, str(tmp_path)).endswith("v1")
 
 
 def test_merging_and_evidence_samples(spark):
@@ -521,4 +531,14 @@ def test_streamed_ingest_adds_nothing_twice(spark, tmp_path):
     (src / "2.json").write_text('{"k":"a","v":1}\n{"k":"c","v":2}\n{"k":"c","v":2}\n')
     run()
     assert sorted(r.k for r in spark.read.parquet(str(out / "records")).collect()) == ["a", "c"]
+    (src / "3.json").write_text('{"k":"b","v":5}\n{"k":"c","v":9}\n')
+    run()
+    assert sorted((r.k, r.v) for r in spark.read.parquet(str(out / "records")).collect()) == [("a", 1), ("b", 5), ("c", 2)]
     assert [r.k for r in spark.read.parquet(str(out / "errors")).collect()] == ["b"]
+    # a target that cannot be read fails the batch; it is not taken for an empty one
+    for p in (out / "keys").rglob("*.parquet"):
+        p.write_bytes(b"broken")
+        (p.parent / f".{p.name}.crc").unlink(missing_ok=True)
+    (src / "4.json").write_text('{"k":"a","v":1}\n')
+    with pytest.raises(Exception):
+        run()
