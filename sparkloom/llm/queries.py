@@ -12,7 +12,7 @@ from sparkloom.llm.canonical_map import look_up_values, map_to_list
 from sparkloom.llm.format_dupes import canonical_key, copies, duplicate_ledger, with_single_relation
 from sparkloom.llm.leaks import find_leaks
 from sparkloom.llm.lookalikes import look_matches, match_vocabulary, table_form
-from sparkloom.llm.split_text import LIMIT, split_texts
+from sparkloom.llm.split_text import LIMIT, OVERLAP, split_texts
 from sparkloom.llm.stuffing import stuffed_pages
 from sparkloom.llm.term_counts import term_counts
 from sparkloom.llm.tokenize import encode
@@ -177,6 +177,17 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p6_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pieces of every text must add up to: the whole text again (by its digest), each within the limit and beginning
+    with the end of the one before. One text's pieces meet in one row."""
+    p = p6_pieces(spark, sf_dir).groupBy("row_id", "field_name").agg(
+        F.array_sort(F.collect_list(F.struct("piece_no", "n_pieces", "start_at", "piece"))).alias("p"))
+    text = F.array_join(F.transform("p", lambda x, i: F.when(i == 0, x["piece"]).otherwise(F.substr(x["piece"], F.lit(OVERLAP + 1)))), "")
+    joined = F.forall(F.transform("p", lambda x, i: F.when(i == 0, F.lit(True)).otherwise(F.startswith(x["piece"], F.right(F.get(F.col("p"), i - 1)["piece"], F.lit(OVERLAP))))), lambda ok: ok)
+    counted = F.forall(F.transform("p", lambda x, i: (x["piece_no"] == i + 1) & (x["n_pieces"] == F.size("p")) & (F.length(x["piece"]) <= LIMIT)), lambda ok: ok)
+    return p.select(F.col("row_id").alias("semantic_unit_id"), "field_name", F.length(text).cast("long").alias("n_chars"), F.md5(text).alias("digest"), (joined & counted).alias("sound"))
+
+
 # -- 7: duplicates hidden by formatting -----------------------------------------------------------
 
 
@@ -263,6 +274,7 @@ QUERIES = {
     "p4_unmatched": p4_unmatched,
     "p6_found": p6_found,
     "p6_pieces": p6_pieces,
+    "p6_restored": p6_restored,
     "p7_found": p7_found,
     "p7_ledger": p7_ledger,
     "p8_ids": p8_ids,
@@ -278,6 +290,9 @@ SQL = {
     "p6_found": f"""SELECT DISTINCT semantic_unit_id, f AS field_name FROM (
   SELECT semantic_unit_id, 'unit_text' AS f, unit_text AS t FROM semantic_units
   UNION ALL SELECT semantic_unit_id, 'context_text', context_text FROM semantic_units) WHERE length(t) > {LIMIT}""",
+    "p6_restored": """WITH one AS (SELECT semantic_unit_id, max(ROW(updated_at, unit_text, context_text)) AS r FROM semantic_units WHERE semantic_unit_id IS NOT NULL GROUP BY 1),
+t AS (SELECT semantic_unit_id, 'unit_text' AS field_name, r[2] AS t FROM one UNION ALL SELECT semantic_unit_id, 'context_text', r[3] FROM one)
+SELECT semantic_unit_id, field_name, length(t)::BIGINT AS n_chars, md5(t) AS digest, true AS sound FROM t WHERE t IS NOT NULL""",
     "p7_found": f"WITH {_P7} SELECT keep_id, response_id AS copy_id FROM g WHERE response_id <> keep_id",
     "p9_found": _P9,
     "p9_items": f"SELECT item_id, count(*)::BIGINT AS n_documents FROM ({_P9}) GROUP BY item_id",
