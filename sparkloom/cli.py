@@ -112,19 +112,33 @@ def run(a: argparse.Namespace, spark: SparkSession) -> int:  # noqa: C901
             edges = paths.with_type_names(t["relation"], t["relation_type"])
             store = prepare(GraphStore(t["entity"].groupBy("entity_id").agg(F.min("canonical_name").alias("canonical_name"), F.min("aliases").alias("aliases")), edges, t["evidence"], t["semantic_units"], t["source_document"]))
             bounds = paths.SearchBounds(a.hops)
+
+            def ask(question: str) -> dict:
+                return search(spark, store, question, bounds, budget=paths.TimeBudget(a.seconds) if a.seconds else None)
+
             if a.command == "search-web":
 
                 def answer(question: str) -> dict:
-                    result = search(spark, store, question, bounds)
+                    result = ask(question)
                     text, cited = grounded_answer(result)
                     return {"answer": text, "evidence": cited, "paths": [r.asDict() for r in result["paths"].orderBy("rank").collect()]}
 
                 make_server(answer, port=a.port).serve_forever()
             elif a.command == "search-query":
-                print(grounded_answer(search(spark, store, a.query, bounds))[0])
+                result = ask(a.query)
+                text = grounded_answer(result)[0]
+                if a.artifacts:
+                    sinks.write_search(result, a.query, text, *paths.graph_payload(result["paths"], result["candidates"]), a.artifacts)
+                print(text)
             else:
                 chosen = paths.select_questions(paths.cross_document_candidates(edges, t["evidence"]), a.count)
-                found = [evaluate_question(q, search(spark, store, q["question"], bounds)["paths"]) for q in chosen]
+                rows = []
+                for q in chosen:
+                    result = ask(q["question"])
+                    rows.append({**q, "answer": grounded_answer(result)[0], "found_by": evaluate_question(q, result["paths"])})
+                found = [r["found_by"] for r in rows]
+                if a.artifacts:
+                    sinks.write_questions(spark, rows, a.artifacts)
                 print(json.dumps({"questions": len(chosen), "answered": sum(x is not None for x in found)}))
                 return int(len(chosen) < a.count or None in found)
     return 0
@@ -181,6 +195,8 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--query", required=name == "search-query")
         c.add_argument("--count", type=int, default=10)
         c.add_argument("--port", type=int, default=8765)
+        c.add_argument("--seconds", type=float, help="time budget of one search")
+        c.add_argument("--artifacts", help="folder for the results of a query or of the questions")
     return p
 
 

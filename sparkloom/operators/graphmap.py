@@ -74,14 +74,15 @@ def invalid_overrides(overrides: DataFrame, relation_dictionary: DataFrame) -> D
 
 
 def map_relations(m: DataFrame, relation_index: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-    """Mentions with relation_type_id and its mapping_status; unresolved ones are left out."""
-    ix = relation_index.select(F.col("name").alias("_p"), F.col("id").alias("_rid"))
-    j = m.withColumn("_p", trim_all(F.col("predicate"))).join(ix, "_p", "left")
+    """Mentions with relation_type_id and its mapping_status; unresolved ones are left out.
+
+    A name that the index repeats has its smallest id, so no mention is doubled. Few predicates hold many mentions: index and
+    overrides are one side of one salted join."""
+    ix = relation_index.select(F.col("name").alias("_p"), F.col("id").alias("_rid"), F.lit(None).cast("string").alias("_oid"))
     if overrides is not None:
-        o = overrides.select(F.col("raw_predicate").alias("_p"), F.col("relation_type_id").alias("_oid")).distinct()
-        j = j.join(o, "_p", "left")
-    else:
-        j = j.withColumn("_oid", F.lit(None).cast("string"))
+        ix = ix.unionByName(overrides.select(F.col("raw_predicate").alias("_p"), F.lit(None).cast("string").alias("_rid"), F.col("relation_type_id").alias("_oid")))
+    ix = ix.filter(F.col("_p").isNotNull()).groupBy("_p").agg(F.min("_rid").alias("_rid"), F.min("_oid").alias("_oid"))
+    j = salted_join(m.withColumn("_p", trim_all(F.col("predicate"))), ix, ["_p"], F.col("relation_mention_id"), "left")
     return j.select(
         *m.columns, F.col("_p").alias("raw_predicate"), F.coalesce("_rid", "_oid").alias("relation_type_id"),
         F.when(F.col("_rid").isNotNull(), "dictionary_alias").otherwise("forced_dictionary_mapping").alias("relation_mapping_status"),

@@ -180,6 +180,18 @@ def write_search(result: dict[str, DataFrame], question: str, answer: str, nodes
     return write_manifest(spark, folder, {"question": question})
 
 
+def write_questions(spark: SparkSession, rows: list[dict], folder: str) -> dict:
+    """Artifacts of discovered questions (a bounded list of rows with question_id, question, answer and found_by): questions.jsonl, one
+    Markdown file a question, and the manifest with how many were found and whether all were. An existing folder is refused."""
+    if path_exists(spark, folder):
+        raise FileExistsError(folder)
+    write_text(spark, f"{folder}/questions.jsonl", "".join(json.dumps(r, ensure_ascii=False, sort_keys=True, default=str) + "\n" for r in rows))
+    for r in rows:
+        write_text(spark, f"{folder}/answers/{r['question_id']}.md", f"# {r['question']}\n\n{r['answer']}\n")
+    found = sum(r["found_by"] is not None for r in rows)
+    return write_manifest(spark, folder, {"question_count": len(rows), "expected_path_found_count": found, "passed": bool(rows) and found == len(rows)})
+
+
 def verify_manifest(spark: SparkSession, folder: str) -> list[str]:
     """What differs between a folder and its manifest: missing, changed and unlisted files."""
     listed = {f["path"]: f for f in json.loads(read_text(spark, f"{folder}/manifest.json"))["files"]}

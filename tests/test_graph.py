@@ -11,7 +11,7 @@ from sparkloom.clients import HashEmbedding, StubCompletion, check_loopback, emb
 from sparkloom.functions.ids import stable_id
 from sparkloom.operators import audit, dictionary, graphmap, paths, retrieval
 from sparkloom.operators.mentions import align, coverage, endpoints, mentions, sanitize_records
-from sparkloom.pipeline import DictionaryBuild, GraphStore, grounded_answer, ingest, search, written_answer
+from sparkloom.pipeline import DictionaryBuild, GraphStore, grounded_answer, ingest, prepare, search, written_answer
 from sparkloom.sources import readers, sinks
 from sparkloom.streaming.ingest import ingest_stream
 
@@ -54,6 +54,14 @@ def test_mapping(spark):
         graphmap.map_to_graph(m, ix, rix, rt, spark.createDataFrame([("모르다", "zz")], over.schema))
 
 
+def test_repeated_index_names_double_no_mention(spark):
+    m = spark.createDataFrame([("m1", "한다"), ("m2", " 한다"), ("m3", "간다"), ("m4", None)], "relation_mention_id string, predicate string")
+    index = spark.createDataFrame([("한다", "b"), ("한다", "a"), (None, "c")], "name string, id string")
+    forced = spark.createDataFrame([("간다", "z"), ("한다", "y")], "raw_predicate string, relation_type_id string")
+    got = {(r.relation_mention_id, r.relation_type_id, r.relation_mapping_status) for r in graphmap.map_relations(m, index, forced).collect()}
+    assert got == {("m1", "a", "dictionary_alias"), ("m2", "a", "dictionary_alias"), ("m3", "z", "forced_dictionary_mapping")}
+
+
 def test_alias_conflicts(spark):
     *_, entities = graph_inputs(spark)
     twice = entities.unionByName(spark.createDataFrame([("e2", "나람", 9, [("가람", 9, False), ("가람이", 3, False)])], entities.schema))
@@ -338,8 +346,7 @@ def store(spark):
 
 
 def test_search_of_a_chain(spark, tmp_path):
-    s = store(spark)
-    s.entity_vectors = None
+    s = prepare(replace(store(spark), entity_vectors=None))
     r = search(spark, s, "가람원은 라온청과 어떻게 연결되는가?", paths.SearchBounds(paths=20))
     rows = r["paths"].orderBy("rank").collect()
     whole = [x for x in rows if x.entity_names == ["가람원", "나라청", "다온원", "라온청"]]
@@ -352,6 +359,13 @@ def test_search_of_a_chain(spark, tmp_path):
     assert {n.id for n in nodes.collect()} == {"a", "b", "c", "d"} and links.count() == 3
     m = sinks.write_search(r, "질문", text, nodes, links, str(tmp_path / "run"))
     assert len(m["files"]) == 6 and len(json.loads((tmp_path / "run/graph.json").read_text())["edges"]) == 3
+    notes: dict = {}
+    late = search(spark, s, "가람원은 라온청과 어떻게 연결되는가?", paths.SearchBounds(), budget=paths.TimeBudget(0.0), diagnostics=notes)
+    assert notes["status"] == "timeout" and late["paths"].count() == 0 and late["candidates"].count() > 0
+    rows = [{"question_id": "crossdoc-01-x", "question": "질문", "answer": text, "found_by": "exact_relations"}, {"question_id": "crossdoc-02-y", "question": "둘", "answer": "", "found_by": None}]
+    made = sinks.write_questions(spark, rows, str(tmp_path / "qa"))
+    assert [f["path"] for f in made["files"]] == ["answers/crossdoc-01-x.md", "answers/crossdoc-02-y.md", "questions.jsonl"] and not made["passed"]
+    assert sinks.verify_manifest(spark, str(tmp_path / "qa")) == []
     with pytest.raises(ValueError):
         paths.SearchBounds(hops=4)
 
