@@ -9,7 +9,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +17,8 @@ STATES = ("prose", "links", "tags", "menu")
 LINE_WORDS = 14
 #: A page is flagged when more than this share of its words is not prose.
 SHARE = 0.5
-#: Pages to which the model is fitted at most, and files they are taken from.
-SAMPLE_PAGES, SAMPLE_FILES = 2_000, 16
+#: Pages to which the model is fitted, about.
+SAMPLE_PAGES = 2_000
 #: Rounds of the fit.
 ROUNDS = 4
 #: A word comes again and again if it makes up one in so many words of its page (and comes three times).
@@ -341,20 +340,12 @@ def stuffed_share(text: str | None, model: Model) -> dict[str, float]:
     return {s: (words[s] / total if total else 0.0) for s in STATES[1:]}
 
 
-def sample_pages(documents: DataFrame, key: str, text: str, pages: int = SAMPLE_PAGES, files: int = SAMPLE_FILES) -> list[str]:
-    """The texts of about ``pages`` pages (never more than twice as many) of at most ``files`` files for the fit, chosen by hash,
-    each shorter than 100,000 characters: a bound on what the driver gets, whatever the collection. Only the fit uses a sample."""
-    paths = documents.inputFiles()
-    source = documents
-    if len(paths) > files:
-        chosen = pd.Series(sorted(paths))
-        chosen = chosen[pd.util.hash_pandas_object(chosen, index=False).sort_values(kind="stable").index[:files]]
-        try:
-            source = documents.filter(F.col("_metadata.file_path").isin(list(chosen)))
-        except AnalysisException:  # the pages are computed, not read
-            source = documents
-    slim = source.select(F.col(key).alias("k"), F.col(text).alias("t")).filter(F.length("t").between(1, 100_000))
-    n = source.count()
+def sample_pages(documents: DataFrame, key: str, text: str, pages: int = SAMPLE_PAGES) -> list[str]:
+    """The texts of about ``pages`` pages (never more than twice as many) for the fit, chosen by the hash of their key from all the
+    collection, however many files hold it, each shorter than 100,000 characters: a bound on what the driver gets. Only the
+    fit uses a sample."""
+    slim = documents.select(F.col(key).alias("k"), F.col(text).alias("t")).filter(F.length("t").between(1, 100_000))
+    n = documents.count()
     if n > pages:
         # pages with a low hash, about ``pages`` of them: no task sends more than its share to the driver
         slim = slim.filter(F.xxhash64("k") < -(1 << 63) + (1 << 64) * pages // n)

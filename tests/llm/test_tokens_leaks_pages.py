@@ -149,6 +149,18 @@ def test_pages(spark, model):
     assert stuffed_pages(docs.filter("text is null or text = ''"), "doc_id", "text").filter("stuffed").count() == 0
 
 
+def test_the_sample_and_the_result_do_not_depend_on_the_number_of_files(spark, tmp_path):
+    whole = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    whole.repartition(40, "doc_id").write.parquet(str(tmp_path / "in 40 files"))
+    parts = spark.read.parquet(str(tmp_path / "in 40 files"))
+    assert len(parts.inputFiles()) > 16
+    for pages in (100, 2_000):
+        sample = sample_pages(parts, "doc_id", "text", pages)
+        assert sample and sample == sample_pages(whole, "doc_id", "text", pages)
+    found = [{r.doc_id for r in stuffed_pages(d, "doc_id", "text").filter("stuffed").collect()} for d in (whole, parts)]
+    assert found[0] and found[0] == found[1]
+
+
 @pytest.mark.parametrize("tongue", list(TONGUES))
 @pytest.mark.parametrize("between", [". ", ".\n", "\n\n"])
 def test_prose_of_any_language_is_prose(model, tongue, between):
