@@ -144,13 +144,13 @@ def _see(line: str, linked: bool, known: list[tuple[str, str | None]], content:
 def weak_label(x: Line, ends: int) -> int | None:
     """The state that a line has by definition, where it leaves no doubt: hardly anything but links or tags, words of which nearly
     all come again in the page and some in the line itself, or nothing of all that. Running text without a word twice is prose
-    however often the page repeats its words."""
+    however often the page repeats its words, and beside a link if it doesn't: else a sample with few such pages takes them for links."""
     if x.link == 2:
         return 1
     if x.tag == 2:
         return 2
     if x.link or x.tag:
-        return None
+        return 0 if not x.tag and not x.repeated and not x.doubled and ends == 2 else None
     if x.repeated == 2 and x.doubled >= 1:
         return 3
     return 0 if not x.doubled and (not x.repeated or ends == 2) else None

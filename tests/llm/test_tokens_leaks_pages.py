@@ -172,6 +172,16 @@ def test_lists_of_keywords_of_other_languages(model):
         assert sum(stuffed_share(words * 20, model).values()) > 0.9
 
 
+def test_prose_with_links_is_prose_though_the_sample_holds_few_such_pages():
+    plain = [
+        "위원회는 신청을 받은 때에는 지체 없이 그 사실을 당사자에게 통지하여야 한다.", "담당자는 보고서를 매년 작성하여 누리집에 게시한다.",
+        "이 규정은 공포한 날부터 시행한다.", "기관은 정당한 이유 없이 자료를 다른 용도로 사용할 수 없다.",
+    ]
+    linked = "\n\n".join(f"{s} [원문](https://act{i}.test/a{i})" for i, s in enumerate(plain)) + "\n\n#서식 #양식 #자료"
+    few = fit([*[PROSE * 8, *plain] * 40, *[linked] * 4, SPAM["links"]])
+    assert sum(stuffed_share(linked, few).values()) < 0.2 and stuffed_share(SPAM["links"], few)["links"] > 0.9
+
+
 def test_the_fit_does_not_depend_on_order_and_starts_from_nothing():
     texts = [*SPAM.values(), *FINE.values()]
     a, b = fit(texts), fit(texts[::-1])
